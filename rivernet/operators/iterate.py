@@ -10,12 +10,13 @@
 
 Every key is composite: the ``keys`` columns (at least ``wrid``) plus the
 vertex id, because vertex ids are unique inside one water region only.
-Lineage is cut with reliable ``checkpoint()`` into the session's
+Lineage is cut by writing parquet tables into the session's
 ``spark.checkpoint.dir`` so a lost executor recomputes a few rounds only.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
@@ -25,13 +26,18 @@ from pyspark.sql import functions as F
 from ..session import ensure_checkpoint_dir
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the reliable checkpoint folder (cuts lineage)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    kept = keep(df)  # computed once: the checkpoint writer reads the cache
-    out = kept.checkpoint(eager=True)
-    kept.unpersist()
-    return out
+def scratch_path(spark, tag: str) -> str:
+    """A fresh folder under the session's checkpoint folder."""
+    base = ensure_checkpoint_dir(spark)
+    return f"{base.rstrip('/')}/rivernet-{uuid.uuid4().hex}/{tag}"
+
+
+def cut(df: DataFrame, tag: str = "t") -> DataFrame:
+    """Write ``df`` as a parquet table in the checkpoint folder and read it
+    back: one job, lineage cut, and the table survives executor loss."""
+    path = scratch_path(df.sparkSession, tag)
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def keep(df: DataFrame) -> DataFrame:
@@ -85,7 +91,7 @@ def connected_components(vertices: DataFrame, edges: DataFrame,
 
 def reach(arcs: DataFrame, sources: DataFrame, keys: Sequence[str] = ("wrid",),
           a: str = "a", b: str = "b", src: str = "src",
-          max_hops: int | None = None, checkpoint_every: int = 4) -> DataFrame:
+          max_hops: int | None = None) -> DataFrame:
     """All vertices reachable from each source over ``a -> b`` arcs.
 
     ``sources`` has ``keys + [src]``; ``arcs`` has ``keys + [a, b]``.  Extra key
@@ -94,34 +100,27 @@ def reach(arcs: DataFrame, sources: DataFrame, keys: Sequence[str] = ("wrid",),
     ``hop`` = fewest arcs.  Cycles are safe: a vertex is expanded once.
     """
     keys = list(keys)
+    spark = arcs.sparkSession
     arcs = keep(arcs.select(*keys, F.col(a).alias("_a"), F.col(b).alias("_b")).distinct()
                 .repartition(*keys, "_a"))
+    base = scratch_path(spark, "reach")
     seeds = sources.select(*keys, F.col(src).alias("src")).distinct()
-    visited = cut(seeds.select(*keys, "src", F.col("src").alias("v"), F.lit(0).alias("hop")))
-    frontier = visited
+    seeds.select(*keys, "src", F.col("src").alias("v")).write.parquet(f"{base}/hop=0")
+    frontier = spark.read.parquet(f"{base}/hop=0")
     hop = 0
-    layers = []
     while max_hops is None or hop < max_hops:
         hop += 1
+        visited = spark.read.parquet(base).select(*keys, "src", "v")
         cand = (frontier.withColumnRenamed("v", "_a").join(arcs, [*keys, "_a"])
-                .select(*keys, "src", F.col("_b").alias("v"))
-                .distinct())
-        new = keep(cand.join(visited, [*keys, "src", "v"], "left_anti")
-                   .withColumn("hop", F.lit(hop)))
-        if new.isEmpty():
-            new.unpersist()
+                .select(*keys, "src", F.col("_b").alias("v")))
+        new = cand.join(visited, [*keys, "src", "v"], "left_anti").distinct()
+        new.write.parquet(f"{base}/hop={hop}")
+        frontier = spark.read.parquet(f"{base}/hop={hop}")
+        if frontier.isEmpty():
             break
-        layers.append(new)
-        visited = visited.unionByName(new)
-        if hop % checkpoint_every == 0:
-            visited = cut(visited)
-            frontier = cut(new)
-            for layer in layers:
-                layer.unpersist()
-            layers = []
-        else:
-            frontier = new
-    return visited.where(F.col("hop") > 0).withColumnRenamed("src", src)
+    arcs.unpersist()
+    out = spark.read.parquet(base)
+    return out.where(F.col("hop") > 0).select(*keys, F.col("src").alias(src), "v", "hop")
 
 
 def diameter(reached: DataFrame, keys: Sequence[str] = ("wrid",)) -> DataFrame:

@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.network import Network, compile_network, edge_table
+from ..operators.paths import lake_combinations
 from ..operators.summary import lake_summary
 from ..sources.fixtures import network_inputs
 from . import oracle as O
@@ -33,10 +34,16 @@ def q_lake_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lake_summary(fixture_network(spark, sf_dir))
 
 
+def q_lake_combinations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lake_combinations(fixture_network(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "G12_lake_summary": q_lake_summary,
+    "G11_lake_combinations": q_lake_combinations,
 }
 
 ORACLE: dict[str, str] = {
     "G12_lake_summary": O.LAKE_SUMMARY_SQL,
+    "G11_lake_combinations": O.LAKE_COMBINATIONS_SQL,
 }

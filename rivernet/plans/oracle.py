@@ -139,3 +139,155 @@ SELECT v.wrid, v.cluster, v.lakeid AS "lakeID", v.typ, v.indegree, v.outdegree,
 FROM nw_vert v LEFT JOIN rc_agg g ON g.wrid = v.wrid AND g.src = v.vid
 WHERE v.lake
 """
+
+
+def _stat_sql(col: str, prefix: str) -> str:
+    return f"""min({col}) AS {prefix}_minimum, max({col}) AS {prefix}_maximum,
+       avg({col}) AS {prefix}_average, stddev_pop({col}) AS {prefix}_stddev,
+       var_pop({col}) AS {prefix}_variance, quantile_disc({col}, 0.25) AS {prefix}_first_quartile,
+       median({col}) AS {prefix}_median, quantile_disc({col}, 0.75) AS {prefix}_third_quartile,
+       quantile_disc({col}, 0.9) AS {prefix}_percentile_90"""
+
+
+STAT_NAMES = [f"{p}_{s}" for p in ("altitude", "slope") for s in (
+    "minimum", "maximum", "average", "stddev", "variance", "first_quartile", "median",
+    "third_quartile", "percentile_90")]
+
+
+def _zero(c: str, src: str = "s") -> str:
+    return f"CASE WHEN {src}.{c} IS NULL OR isnan({src}.{c}) THEN 0e0 ELSE {src}.{c} END AS {c}"
+
+
+# edge statistics (A4, A5, X4) and arcs with attributes
+EDGE_CTES: list[tuple[str, str]] = [
+    ("ed_stats", f"""
+SELECT CAST(line_cat % 5 AS INT) AS wrid, line_cat,
+       {_stat_sql('altitude', 'altitude')},
+       {_stat_sql('slope', 'slope')}
+FROM fx_samples GROUP BY line_cat"""),
+    ("ed_edges", f"""
+SELECT l.wrid, l.line_cat AS cat, l.length_m,
+       {', '.join(_zero(c) for c in STAT_NAMES)}
+FROM fx_lines l LEFT JOIN ed_stats s ON s.wrid = l.wrid AND s.line_cat = l.line_cat"""),
+    ("pc_arcs", f"""
+SELECT a.wrid, a.src, a.dst, a.line_cat AS cat, coalesce(e.length_m, 0e0) AS length_m,
+       {', '.join(f'coalesce(e.{c}, 0e0) AS {c}' for c in STAT_NAMES)}
+FROM nw_nat a LEFT JOIN ed_edges e ON e.wrid = a.wrid AND e.cat = a.line_cat"""),
+    ("pc_walk", """
+SELECT wrid, src AS a, dst AS b, 0 AS lab, cat, CAST(round(length_m * 1000) AS BIGINT) AS len_mm,
+       * EXCLUDE (wrid, src, dst, cat) FROM pc_arcs
+UNION ALL
+SELECT wrid, dst AS a, src AS b, 1 AS lab, cat, CAST(round(length_m * 1000) AS BIGINT) AS len_mm,
+       * EXCLUDE (wrid, src, dst, cat) FROM pc_arcs"""),
+]
+
+_ARC_T = "STRUCT(dst BIGINT, lab INTEGER, cat BIGINT, src BIGINT)[]"
+
+
+def _paths_cte(name: str, seeds: str, arcs: str) -> list[tuple[str, str]]:
+    """All simple paths from the seeds (brute force), then the best one per
+    end by (hops, len_mm, arc list)."""
+    return [
+        (f"{name}_all", f"""
+SELECT wrid, src, src AS v, 0 AS hops, CAST(0 AS BIGINT) AS len_mm,
+       CAST([] AS {_ARC_T}) AS arcs, [src] AS vs FROM {seeds}
+UNION ALL
+SELECT p.wrid, p.src, w.b, p.hops + 1, p.len_mm + w.len_mm,
+       list_append(p.arcs, {{'dst': w.b, 'lab': w.lab, 'cat': w.cat, 'src': w.a}}),
+       list_append(p.vs, w.b)
+FROM {name}_all p JOIN {arcs} w ON w.wrid = p.wrid AND w.a = p.v
+WHERE NOT list_contains(p.vs, w.b)"""),
+        (f"{name}_best", f"""
+SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY wrid, src, v
+                                            ORDER BY hops, len_mm, arcs) AS rn
+               FROM {name}_all) t WHERE rn = 1"""),
+    ]
+
+
+def _dir_sql(lab: int, prefix: str) -> str:
+    on = f"FILTER (WHERE lab = {lab})"
+
+    def wavg(c):
+        return (f"coalesce(sum({c} * length_m) {on} / nullif(sum(length_m) {on}, 0), 0e0)")
+
+    def cdeg(x):
+        return f"CAST(round(degrees(atan({x})) * 100) AS INTEGER)"
+
+    vals = [
+        f"CAST(round(sum(len_mm) {on} / 1000e0) AS INTEGER)",
+        f"CAST(round(min(altitude_minimum) {on}) AS INTEGER)",
+        f"CAST(round({wavg('altitude_average')}) AS INTEGER)",
+        f"CAST(round(max(altitude_maximum) {on}) AS INTEGER)",
+        cdeg(wavg("slope_average")),
+        cdeg(wavg("slope_third_quartile")),
+        cdeg(wavg("slope_percentile_90")),
+        cdeg(f"max(slope_percentile_90) {on}"),
+        cdeg(wavg("slope_maximum")),
+        cdeg(f"max(slope_maximum) {on}"),
+        cdeg(wavg("slope_stddev")),
+    ]
+    names = ["length", "altitude_min", "altitude_mean", "altitude_max", "slope_mean",
+             "slope_third_quart", "slope_perc_90", "slope_perc_90_max", "slope_max",
+             "slope_max_max", "slope_stddev"]
+    return ",\n       ".join(
+        f"CASE WHEN count(*) {on} > 0 THEN {v} ELSE -9999 END AS {prefix}_{n}"
+        for v, n in zip(vals, names))
+
+
+COMBINATION_CTES: list[tuple[str, str]] = [
+    ("pc_ends", "SELECT wrid, cluster, vid FROM nw_vert WHERE lake"),
+    ("pc_roots", "SELECT wrid, min(vid) AS src FROM pc_ends GROUP BY wrid, cluster"),
+    *_paths_cte("pc_g8", "pc_roots", "pc_walk"),
+    ("pc_keep", """
+SELECT DISTINCT b.wrid, unnest(b.vs) AS vid FROM pc_g8_best b
+JOIN pc_ends e ON e.wrid = b.wrid AND e.vid = b.v"""),
+    ("pc_pruned", """
+SELECT w.* FROM pc_walk w
+WHERE EXISTS (SELECT 1 FROM pc_keep k WHERE k.wrid = w.wrid AND k.vid = w.a)
+  AND EXISTS (SELECT 1 FROM pc_keep k WHERE k.wrid = w.wrid AND k.vid = w.b)"""),
+    ("pc_seeds", "SELECT wrid, vid AS src FROM pc_ends"),
+    *_paths_cte("pc_pp", "pc_seeds", "pc_pruned"),
+    ("pc_pairs", """
+SELECT b.wrid, b.src AS from_lake, b.v AS to_lake, e.cluster, b.arcs, b.vs
+FROM pc_pp_best b JOIN pc_ends e ON e.wrid = b.wrid AND e.vid = b.v
+WHERE b.v > b.src"""),
+    ("pc_long", """
+SELECT p.wrid, p.from_lake, p.to_lake, w.*  EXCLUDE (wrid)
+FROM (SELECT wrid, from_lake, to_lake, unnest(arcs) AS arc FROM pc_pairs) p
+JOIN pc_walk w ON w.wrid = p.wrid AND w.a = p.arc.src AND w.b = p.arc.dst
+              AND w.lab = p.arc.lab AND w.cat = p.arc.cat"""),
+    ("pc_stats", f"""
+SELECT wrid, from_lake, to_lake,
+       CAST(round(sum(len_mm) / 1000e0) AS INTEGER) AS total_stream_length,
+       CAST(round(degrees(atan(max(slope_maximum))) * 100) AS INTEGER) AS total_slope_max_max,
+       {_dir_sql(1, 'upstream')},
+       {_dir_sql(0, 'downstream')}
+FROM pc_long GROUP BY wrid, from_lake, to_lake"""),
+    ("pc_along", """
+SELECT p.wrid, p.from_lake, p.to_lake,
+       coalesce(string_agg(CAST(x.vid AS VARCHAR), ',' ORDER BY x.vid) FILTER (WHERE v.lake), '')
+           AS lakes_along,
+       coalesce(string_agg(CAST(x.vid AS VARCHAR), ',' ORDER BY x.vid) FILTER (WHERE v.typ = 3), '')
+           AS confluences_along
+FROM pc_pairs p, (SELECT wrid, from_lake, to_lake, unnest(vs) AS vid FROM pc_pairs) x, nw_vert v
+WHERE x.wrid = p.wrid AND x.from_lake = p.from_lake AND x.to_lake = p.to_lake
+  AND v.wrid = x.wrid AND v.vid = x.vid
+GROUP BY p.wrid, p.from_lake, p.to_lake"""),
+]
+
+COMBINATION_COLUMNS = (["wrid", "from_lake", "to_lake", "cluster", "lakes_along",
+                        "confluences_along", "total_stream_length", "total_slope_max_max"]
+                       + [f"{d}_{f}" for d in ("upstream", "downstream") for f in (
+                           "length", "altitude_min", "altitude_mean", "altitude_max",
+                           "slope_mean", "slope_third_quart", "slope_perc_90",
+                           "slope_perc_90_max", "slope_max", "slope_max_max", "slope_stddev")])
+
+LAKE_COMBINATIONS_SQL = with_clause(
+    NETWORK_CTES, EDGE_CTES, COMBINATION_CTES,
+    views=NETWORK_VIEWS + ("fx_samples",)) + f"""
+SELECT p.wrid, p.from_lake, p.to_lake, p.cluster, a.lakes_along, a.confluences_along,
+       {', '.join('s.' + c for c in COMBINATION_COLUMNS[6:])}
+FROM pc_pairs p
+JOIN pc_along a USING (wrid, from_lake, to_lake)
+JOIN pc_stats s USING (wrid, from_lake, to_lake)
+"""
