@@ -206,3 +206,23 @@ def compile_network(lines: DataFrame, nodes: DataFrame, edges: DataFrame,
     v = cut(v.select(*VERTEX_COLUMNS))
     arcs = cut(arcs.select(*ARC_COLUMNS))
     return Network(v, arcs)
+
+
+def max_lake_id(nodes: DataFrame) -> DataFrame:
+    """Largest lake id per region (the offset of X5)."""
+    return nodes.groupBy("wrid").agg(F.max("lakeid").alias("max_lakeid"))
+
+
+def assign_node_lake(nodes: DataFrame, cat: str = "node_id") -> DataFrame:
+    """Nodes without a lake get ``cat + max(lakeid)`` of their region, so
+    that every node has a vertex id that cannot clash with a lake id."""
+    m = max_lake_id(nodes)
+    return (nodes.join(m, "wrid", "left")
+            .withColumn("lakeid", F.coalesce(F.col("lakeid"),
+                                             F.col(cat) + F.coalesce("max_lakeid", F.lit(0))))
+            .drop("max_lakeid"))
+
+
+def attach_lake_area(nodes: DataFrame, lakes: DataFrame) -> DataFrame:
+    """``area_ha`` of the node's lake (left join on ``(wrid, lakeid)``)."""
+    return nodes.join(lakes.select("wrid", "lakeid", "area_ha"), ["wrid", "lakeid"], "left")

@@ -179,3 +179,12 @@ def lake_combinations(network: Network, focal: DataFrame | None = None,
     out = pairs.join(along, ["wrid", "from_lake", "to_lake"]).join(
         stats, ["wrid", "from_lake", "to_lake"])
     return out.select(*COMBINATION_COLUMNS)
+
+
+def lake_pairs(ends: DataFrame) -> DataFrame:
+    """J11 + O3: all unordered lake pairs of a cluster, ``from_lake <
+    to_lake``.  The equi-join on ``(wrid, cluster)`` is where a very large
+    cluster concentrates; AQE's skew-join split handles the hot key."""
+    a = ends.select("wrid", "cluster", F.col("vid").alias("from_lake"))
+    b = ends.select("wrid", "cluster", F.col("vid").alias("to_lake"))
+    return a.join(b, ["wrid", "cluster"]).where(F.col("from_lake") < F.col("to_lake"))

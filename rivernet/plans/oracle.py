@@ -234,8 +234,9 @@ def _dir_sql(lab: int, prefix: str) -> str:
         for v, n in zip(vals, names))
 
 
-COMBINATION_CTES: list[tuple[str, str]] = [
-    ("pc_ends", "SELECT wrid, cluster, vid FROM nw_vert WHERE lake"),
+def combination_ctes(ends_where: str = "lake") -> list[tuple[str, str]]:
+    return [
+    ("pc_ends", f"SELECT wrid, cluster, vid FROM nw_vert WHERE {ends_where}"),
     ("pc_roots", "SELECT wrid, min(vid) AS src FROM pc_ends GROUP BY wrid, cluster"),
     *_paths_cte("pc_g8", "pc_roots", "pc_walk"),
     ("pc_keep", """
@@ -248,7 +249,7 @@ WHERE EXISTS (SELECT 1 FROM pc_keep k WHERE k.wrid = w.wrid AND k.vid = w.a)
     ("pc_seeds", "SELECT wrid, vid AS src FROM pc_ends"),
     *_paths_cte("pc_pp", "pc_seeds", "pc_pruned"),
     ("pc_pairs", """
-SELECT b.wrid, b.src AS from_lake, b.v AS to_lake, e.cluster, b.arcs, b.vs
+SELECT b.wrid, b.src AS from_lake, b.v AS to_lake, e.cluster, b.hops, b.len_mm, b.arcs, b.vs
 FROM pc_pp_best b JOIN pc_ends e ON e.wrid = b.wrid AND e.vid = b.v
 WHERE b.v > b.src"""),
     ("pc_long", """
@@ -273,7 +274,10 @@ FROM pc_pairs p, (SELECT wrid, from_lake, to_lake, unnest(vs) AS vid FROM pc_pai
 WHERE x.wrid = p.wrid AND x.from_lake = p.from_lake AND x.to_lake = p.to_lake
   AND v.wrid = x.wrid AND v.vid = x.vid
 GROUP BY p.wrid, p.from_lake, p.to_lake"""),
-]
+    ]
+
+
+COMBINATION_CTES = combination_ctes()
 
 COMBINATION_COLUMNS = (["wrid", "from_lake", "to_lake", "cluster", "lakes_along",
                         "confluences_along", "total_stream_length", "total_slope_max_max"]
@@ -282,12 +286,172 @@ COMBINATION_COLUMNS = (["wrid", "from_lake", "to_lake", "cluster", "lakes_along"
                            "slope_mean", "slope_third_quart", "slope_perc_90",
                            "slope_perc_90_max", "slope_max", "slope_max_max", "slope_stddev")])
 
-LAKE_COMBINATIONS_SQL = with_clause(
-    NETWORK_CTES, EDGE_CTES, COMBINATION_CTES,
-    views=NETWORK_VIEWS + ("fx_samples",)) + f"""
+COMBINATION_TAIL = f"""
 SELECT p.wrid, p.from_lake, p.to_lake, p.cluster, a.lakes_along, a.confluences_along,
        {', '.join('s.' + c for c in COMBINATION_COLUMNS[6:])}
 FROM pc_pairs p
 JOIN pc_along a USING (wrid, from_lake, to_lake)
 JOIN pc_stats s USING (wrid, from_lake, to_lake)
 """
+EDGE_VIEWS = NETWORK_VIEWS + ("fx_samples",)
+LAKE_COMBINATIONS_SQL = with_clause(NETWORK_CTES, EDGE_CTES, COMBINATION_CTES,
+                                    views=EDGE_VIEWS) + COMBINATION_TAIL
+
+
+def _net(select: str) -> str:
+    return with_clause(NETWORK_CTES, views=NETWORK_VIEWS) + select
+
+
+def _edges(select: str) -> str:
+    return with_clause(NETWORK_CTES, EDGE_CTES, views=EDGE_VIEWS) + select
+
+
+def _pairs(select: str) -> str:
+    return with_clause(NETWORK_CTES, EDGE_CTES, COMBINATION_CTES, views=EDGE_VIEWS) + select
+
+
+def _r9(cols) -> str:
+    return ", ".join(f"round({c}, 6) AS {c}" for c in cols)
+
+
+def _from(sql: str, cols: str) -> str:
+    return f"SELECT {cols} FROM (\n{sql}\n) q"
+
+
+SLOPE_STATS = ("minimum", "maximum", "average", "stddev", "variance", "first_quartile",
+               "median", "third_quartile", "percentile_90")
+
+DIAMETER_CTES = [
+    ("dm_walk", """
+SELECT wrid, vid AS src, vid AS v, 0 AS hop, cluster_nv AS nv FROM nw_vert
+UNION
+SELECT w.wrid, w.src, a.dst, w.hop + 1, w.nv FROM dm_walk w
+JOIN nw_nat a ON a.wrid = w.wrid AND a.src = w.v
+WHERE w.hop + 1 < w.nv"""),
+]
+
+FOCAL_COMBINATIONS_SQL = with_clause(
+    NETWORK_CTES, EDGE_CTES, combination_ctes("area_ha >= 5"), views=EDGE_VIEWS) + COMBINATION_TAIL
+
+NETWORK_ORACLE: dict[str, str] = {
+    "G12_lake_summary": LAKE_SUMMARY_SQL,
+    "G11_lake_combinations": LAKE_COMBINATIONS_SQL,
+    "X7_focal_combinations": FOCAL_COMBINATIONS_SQL,
+    "S4_read_topology": with_clause(views=("fx_lines",)) + """
+SELECT wrid, CAST(line_cat AS INTEGER) AS line_cat, CAST(from_node AS INTEGER) AS from_node,
+       CAST(to_node AS INTEGER) AS to_node FROM fx_lines""",
+    "X1_slope_to_cdeg": with_clause(views=("fx_samples",)) + """
+SELECT line_cat, slope, CAST(round(degrees(atan(slope)) * 100) AS INTEGER) AS slope_cdeg
+FROM fx_samples""",
+    "X2_slope_degrees": _edges("SELECT wrid, cat, " + ", ".join(
+        f"round(degrees(atan(slope_{s})), 6) AS slope_{s}_deg" for s in SLOPE_STATS)
+        + " FROM ed_edges"),
+    "X3_coerce_scalar": """
+WITH t AS (
+  SELECT CAST(o_totalprice AS VARCHAR) AS raw FROM orders
+  UNION ALL SELECT p_name FROM part
+  UNION ALL SELECT CAST(c_custkey AS VARCHAR) FROM customer
+), c AS (SELECT raw, TRY_CAST(trim(raw) AS DOUBLE) AS d FROM t)
+SELECT raw,
+       CASE WHEN d IS NOT NULL AND d = floor(d) AND abs(d) < 9.2e18 THEN CAST(d AS BIGINT) END AS as_long,
+       CASE WHEN d IS NOT NULL AND NOT (d = floor(d) AND abs(d) < 9.2e18) THEN d END AS as_double,
+       CASE WHEN d IS NULL THEN trim(raw) END AS as_text
+FROM c""",
+    "X5_assign_node_lake": with_clause(views=("fx_nodes",)) + """
+SELECT n.wrid, n.node_id,
+       coalesce(CASE WHEN n.area_ha IS NOT NULL THEN n.lakeid END, n.node_id + coalesce(m.mx, 0)) AS lakeid
+FROM fx_nodes n LEFT JOIN (SELECT wrid, max(lakeid) AS mx FROM fx_nodes
+                           WHERE area_ha IS NOT NULL GROUP BY wrid) m ON m.wrid = n.wrid""",
+    "X6_is_lake": _net("SELECT wrid, vid, lake FROM nw_typ"),
+    "X12_canonical_pair": with_clause(views=("fx_adjacency",)) + """
+SELECT wrid, greatest(left_lake, right_lake) AS from_lakeid, least(left_lake, right_lake) AS to_lakeid
+FROM fx_adjacency""",
+    "X14_round_metres": with_clause(views=("fx_lines",)) + """
+SELECT wrid, line_cat, CAST(round(length_m) AS INTEGER) AS length_m FROM fx_lines""",
+    "G4_collapse_vertices": _net("SELECT wrid, vid, lakeid, area_ha FROM nw_v0"),
+    "J6_resolve_endpoints": _net("SELECT wrid, src, dst, line_cat FROM nw_arcs0"),
+    "X10_drop_self_loops": _net("SELECT wrid, src, dst, line_cat FROM nw_arcs1"),
+    "J10_adjacency_arcs": _net("SELECT wrid, src, dst, line_cat FROM nw_arcs"),
+    "U1_distinct_vertices": _net("SELECT wrid, vid, lakeid, area_ha FROM nw_v1"),
+    "J8_attach_edge_attrs": _edges(f"""
+SELECT a.wrid, a.src, a.dst, a.line_cat AS cat, round(coalesce(e.length_m, 0e0), 6) AS length_m,
+       {', '.join(f'round(coalesce(e.{c}, 0e0), 6) AS {c}' for c in STAT_NAMES)}
+FROM nw_arcs a LEFT JOIN ed_edges e ON e.wrid = a.wrid AND e.cat = a.line_cat"""),
+    "A4_A5_X4_edge_table": _edges(
+        f"SELECT wrid, cat, round(length_m, 6) AS length_m, {_r9(STAT_NAMES)} FROM ed_edges"),
+    "G7_components": _net("SELECT wrid, vid, cluster FROM nw_comp"),
+    "A7_X11_degrees_typ": _net("SELECT wrid, vid, indegree, outdegree, typ FROM nw_typ"),
+    "A8_cluster_stats": _net("""
+SELECT wrid, cluster, round(cluster_lake_area_ha, 6) AS cluster_lake_area_ha, cluster_lake_n
+FROM nw_cstat WHERE cluster_lake_n >= 2"""),
+    "X15_drop_small_clusters": _net(
+        "SELECT wrid, vid, cluster, typ, indegree, outdegree, cluster_lake_n FROM nw_vert"),
+    "U2_cluster_set": _net("SELECT DISTINCT wrid, cluster FROM nw_vert"),
+    "G5_X8_X9_U3_arcs": _net("""
+SELECT wrid, src, dst, line_cat, 'downstream' AS direction, 0 AS dir_weight FROM nw_nat
+UNION ALL
+SELECT wrid, dst, src, line_cat, 'upstream', 0 FROM nw_nat"""),
+    "A6_max_lake_id": with_clause(views=("fx_nodes",)) + """
+SELECT wrid, max(lakeid) AS max_lakeid FROM fx_nodes WHERE area_ha IS NOT NULL GROUP BY wrid""",
+    "J5_attach_lake_area": with_clause(views=("fx_nodes",)) + """
+SELECT n.wrid, n.lakeid, n.node_id, l.area_ha
+FROM fx_nodes n LEFT JOIN (SELECT DISTINCT wrid, lakeid, area_ha FROM fx_nodes
+                           WHERE area_ha IS NOT NULL) l ON l.wrid = n.wrid AND l.lakeid = n.lakeid""",
+    "A15_O6_region_guard": _net("""
+, rg AS (
+  SELECT wrid FROM fx_nodes UNION SELECT wrid FROM fx_lines UNION SELECT wrid FROM nw_arcs
+), rg2 AS (
+SELECT r.wrid,
+       CAST(least(coalesce((SELECT count(*) FROM fx_lines l WHERE l.wrid = r.wrid), 0), 10) AS INTEGER) AS streams,
+       CAST(least(coalesce((SELECT count(DISTINCT lakeid) FROM fx_nodes n WHERE n.wrid = r.wrid
+                            AND n.area_ha > 0), 0), 10) AS INTEGER) AS lakes,
+       CAST(least(coalesce((SELECT count(*) FROM nw_arcs a WHERE a.wrid = r.wrid), 0), 10) AS INTEGER) AS arcs,
+       CAST(least(coalesce((SELECT count(DISTINCT cluster) FROM nw_vert v WHERE v.wrid = r.wrid), 0), 10) AS INTEGER) AS clusters
+FROM rg r)
+SELECT *, CASE WHEN streams = 0 THEN 'no streams' WHEN lakes < 2 THEN 'fewer than two lakes'
+               WHEN arcs = 0 THEN 'no arcs' WHEN clusters = 0 THEN 'no cluster with two lakes'
+          END AS skip_reason
+FROM rg2"""),
+    "A16_X16_network_report": _net("""
+SELECT v.wrid, v.cluster, count(*) AS n_vertices,
+       coalesce((SELECT count(*) FROM nw_nat a JOIN nw_vert s ON s.wrid = a.wrid AND s.vid = a.src
+                 WHERE s.wrid = v.wrid AND s.cluster = v.cluster), 0) AS n_arcs,
+       count(DISTINCT CASE WHEN v.lake THEN v.lakeid END) AS n_lakes,
+       CAST(count(DISTINCT CASE WHEN v.lake THEN v.lakeid END)
+            * (count(DISTINCT CASE WHEN v.lake THEN v.lakeid END) - 1) / 2 AS BIGINT) AS n_pairs,
+       count(DISTINCT CASE WHEN v.lake THEN v.lakeid END) <> max(v.cluster_lake_n) AS lake_count_differs
+FROM nw_vert v GROUP BY v.wrid, v.cluster"""),
+    "O4_assign_category": with_clause(views=("fx_lines",)) + """
+SELECT wrid, line_cat, row_number() OVER (PARTITION BY wrid ORDER BY line_cat) AS cat FROM fx_lines""",
+    "G6_reach": with_clause(NETWORK_CTES, REACH_CTES, views=NETWORK_VIEWS)
+    + "SELECT wrid, dir, src, v, hop FROM rc_reach",
+    "G14_diameter": with_clause(NETWORK_CTES, DIAMETER_CTES, views=NETWORK_VIEWS) + """
+SELECT wrid, max(h) AS diameter FROM (
+  SELECT wrid, src, v, min(hop) AS h FROM dm_walk WHERE v <> src GROUP BY wrid, src, v) t
+GROUP BY wrid""",
+    "O1_first_downstream_lake": _from(LAKE_SUMMARY_SQL, 'wrid, "lakeID", first_downstream_lake'),
+    "O2_ordered_reach_list": _from(LAKE_SUMMARY_SQL, 'wrid, "lakeID", downstream_lakes, upstream_lakes'),
+    "A13_reach_totals": _from(LAKE_SUMMARY_SQL, 'wrid, "lakeID", downstream_lakes_n, '
+                              'downstream_lakes_area_ha, upstream_lakes_n, upstream_lakes_area_ha'),
+    "A14_neighborhood_size": _from(LAKE_SUMMARY_SQL, 'wrid, "lakeID", neighborhood_size'),
+    "J11_O3_lake_pairs": _net("""
+SELECT a.wrid, a.cluster, a.vid AS from_lake, b.vid AS to_lake
+FROM nw_vert a JOIN nw_vert b ON a.wrid = b.wrid AND a.cluster = b.cluster AND a.vid < b.vid
+WHERE a.lake AND b.lake"""),
+    "G8_prune_to_paths": _pairs("SELECT DISTINCT wrid, vid FROM pc_keep"),
+    "G9_shortest_paths": _pairs("""
+SELECT wrid, from_lake, to_lake, hops, len_mm,
+       array_to_string(list_transform(arcs, lambda x: CAST(x.dst AS VARCHAR) || ':' || CAST(x.lab AS VARCHAR)
+                                      || ':' || CAST(x.cat AS VARCHAR)), ',') AS arc_ids
+FROM pc_pairs"""),
+    "G10_path_subgraph": _pairs("""
+SELECT wrid, from_lake, to_lake, CAST(i - 1 AS INTEGER) AS seq, arcs[i].src AS a, arcs[i].dst AS b,
+       arcs[i].lab AS lab, arcs[i].cat AS cat
+FROM (SELECT *, generate_subscripts(arcs, 1) AS i FROM pc_pairs) t"""),
+    "A10_path_totals": _from(LAKE_COMBINATIONS_SQL,
+                             "wrid, from_lake, to_lake, total_stream_length, total_slope_max_max"),
+    "A11_X13_path_direction_stats": _from(LAKE_COMBINATIONS_SQL, "wrid, from_lake, to_lake, " + ", ".join(
+        c for c in COMBINATION_COLUMNS if c.startswith(("upstream", "downstream")))),
+    "A12_lakes_along": _from(LAKE_COMBINATIONS_SQL,
+                             "wrid, from_lake, to_lake, lakes_along, confluences_along"),
+}
