@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .iterate import cut
+
 
 def consecutive_ids(df: DataFrame, key: str, keys=("wrid",), out: str = "cat",
                     partitions: int | None = None) -> DataFrame:
@@ -25,6 +27,9 @@ def consecutive_ids(df: DataFrame, key: str, keys=("wrid",), out: str = "cat",
              .sortWithinPartitions(*keys, key)
              .withColumns({"_pid": F.spark_partition_id(),
                            "_m": F.monotonically_increasing_id()}))
+    # the id columns are computed once and stored: a second evaluation could
+    # sample other range bounds and number the rows differently
+    local = cut(local, "ids")
     counts = local.groupBy(*keys, "_pid").agg(F.count("*").alias("_n"),
                                                F.min("_m").alias("_m0"))
     offsets = counts.withColumn(

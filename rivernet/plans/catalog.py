@@ -381,3 +381,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE: dict[str, str] = dict(O.NETWORK_ORACLE)
+
+
+def _extend():
+    from . import spatial_queries as SQ
+    QUERIES.update(SQ.QUERIES)
+    ORACLE.update(SQ.ORACLE)
+
+
+_extend()
