@@ -108,3 +108,18 @@ def combination_count(n) -> Column:
     """Number of unordered pairs of n lakes."""
     nc = _c(n).cast("long")
     return (nc * (nc - 1) / 2).cast("long")
+
+
+def fixed_round(x, digits: int = 6) -> Column:
+    """Half-up rounding written as ``floor(x * 10^d + 0.5) / 10^d``: the same
+    IEEE operations in every engine, so equal inputs give equal outputs
+    (engines' own ``round`` differ on exact decimal ties)."""
+    q = float(10 ** digits)
+    return F.floor(_c(x) * q + 0.5) / q
+
+
+def exact_avg(x, scale: int) -> Column:
+    """Average of ``x`` quantised to ``10^-scale``, summed as integers: the
+    result does not depend on partitioning or summation order."""
+    q = float(10 ** scale)
+    return F.sum(F.round(_c(x) * q).cast("long")) / F.count(_c(x)) / q

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.exprs import STATS, classify_vertex, direction_weight, fill_edge_stats, is_lake
+from ..functions.exprs import STATS, classify_vertex, exact_avg, fill_edge_stats, is_lake
 from .iterate import connected_components, cut
 
 STAT_COLUMNS = [f"{p}_{s}" for p in ("altitude", "slope") for s in STATS]
@@ -31,7 +31,7 @@ class Network:
 
 def edge_profile(samples: DataFrame, value: str, prefix: str,
                  keys=("wrid", "cat"), quantiles: str = "disc",
-                 deviation: str = "pop") -> DataFrame:
+                 deviation: str = "pop", fixed_scale: int | None = None) -> DataFrame:
     """A4/A5: nine statistics of ``value`` per edge.
 
     Quartiles and the 90th percentile are nearest-rank (``percentile_disc``)
@@ -39,6 +39,8 @@ def edge_profile(samples: DataFrame, value: str, prefix: str,
     interpolated median; stddev/variance are population figures unless
     ``deviation="samp"``.  Exact per edge: the values of one edge are sorted
     inside one aggregation buffer, and an edge holds few cells.
+    ``fixed_scale`` sums the average as integers of ``10^-fixed_scale`` so the
+    mean is the same for any partitioning.
     """
     v = F.col(value)
 
@@ -52,7 +54,7 @@ def edge_profile(samples: DataFrame, value: str, prefix: str,
     return samples.groupBy(*keys).agg(
         F.min(v).alias(f"{prefix}_minimum"),
         F.max(v).alias(f"{prefix}_maximum"),
-        F.avg(v).alias(f"{prefix}_average"),
+        (F.avg(v) if fixed_scale is None else exact_avg(v, fixed_scale)).alias(f"{prefix}_average"),
         sd(v).alias(f"{prefix}_stddev"),
         var(v).alias(f"{prefix}_variance"),
         q(0.25).alias(f"{prefix}_first_quartile"),
@@ -62,14 +64,16 @@ def edge_profile(samples: DataFrame, value: str, prefix: str,
     )
 
 
-def edge_table(lines: DataFrame, samples: DataFrame, keys=("wrid",)) -> DataFrame:
+def edge_table(lines: DataFrame, samples: DataFrame, keys=("wrid",),
+               fixed_scale: int | None = None) -> DataFrame:
     """Edges = lines with their altitude and slope profiles.
 
     ``samples`` has ``keys + [line_cat, altitude, slope]``; lines without
     samples get 0 statistics, as NaN/NULL become 0 in the reference."""
     k = list(keys)
-    alt = edge_profile(samples, "altitude", "altitude", keys=(*k, "line_cat"))
-    slo = edge_profile(samples, "slope", "slope", keys=(*k, "line_cat"))
+    alt = edge_profile(samples, "altitude", "altitude", keys=(*k, "line_cat"),
+                       fixed_scale=fixed_scale)
+    slo = edge_profile(samples, "slope", "slope", keys=(*k, "line_cat"), fixed_scale=fixed_scale)
     stats = alt.join(slo, [*k, "line_cat"], "full")
     e = (lines.select(*k, "line_cat", "length_m")
          .join(stats, [*k, "line_cat"], "left")

@@ -33,8 +33,7 @@ def directed_arcs(arcs: DataFrame) -> DataFrame:
 
 def reach_both(network: Network, sources: DataFrame) -> DataFrame:
     """G6 from ``sources(wrid, src)`` both ways: ``(wrid, dir, src, v, hop)``."""
-    s = sources.select("wrid", "src").crossJoin(
-        sources.sparkSession.createDataFrame([("down",), ("up",)], "dir string"))
+    s = sources.select("wrid", "src", F.explode(F.array(F.lit("down"), F.lit("up"))).alias("dir"))
     return reach(directed_arcs(network.arcs), s, keys=("wrid", "dir"))
 
 

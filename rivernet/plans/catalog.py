@@ -26,6 +26,9 @@ from . import oracle as O
 
 _CACHE: dict[tuple, object] = {}
 
+# fixture values carry at most 5 decimals: averages are summed exactly at 1e-5
+FIXED_SCALE = 5
+
 
 def _memo(spark: SparkSession, sf_dir: str, name: str, build):
     key = (spark.sparkContext.applicationId, sf_dir, name)
@@ -41,7 +44,7 @@ def _inputs(spark, sf_dir):
 def fixture_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     def build():
         inp = _inputs(spark, sf_dir)
-        return I.cut(N.edge_table(inp["lines"], inp["samples"]), "edges")
+        return I.cut(N.edge_table(inp["lines"], inp["samples"], fixed_scale=FIXED_SCALE), "edges")
     return _memo(spark, sf_dir, "edges", build)
 
 
@@ -76,8 +79,8 @@ def _stages(spark, sf_dir):
 
 
 def _r9(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Round every double column (default 6 decimals)."""
-    return df.select(*[F.round(c, digits).alias(c) if t == "double" else F.col(c)
+    """Round every double column (default 6 decimals, engine-independent)."""
+    return df.select(*[X.fixed_round(c, digits).alias(c) if t == "double" else F.col(c)
                        for c, t in df.dtypes])
 
 
@@ -384,9 +387,13 @@ ORACLE: dict[str, str] = dict(O.NETWORK_ORACLE)
 
 
 def _extend():
+    from . import raster_queries as RQ
     from . import spatial_queries as SQ
-    QUERIES.update(SQ.QUERIES)
-    ORACLE.update(SQ.ORACLE)
+    for mod in (SQ, RQ):
+        QUERIES.update(mod.QUERIES)
+        ORACLE.update(mod.ORACLE)
+    for k, v in ORACLE.items():
+        ORACLE[k] = O.expand_r6(v)
 
 
 _extend()

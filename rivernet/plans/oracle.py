@@ -143,7 +143,8 @@ WHERE v.lake
 
 def _stat_sql(col: str, prefix: str) -> str:
     return f"""min({col}) AS {prefix}_minimum, max({col}) AS {prefix}_maximum,
-       avg({col}) AS {prefix}_average, stddev_pop({col}) AS {prefix}_stddev,
+       sum(CAST(round({col} * 1e5) AS BIGINT)) / count({col}) / 1e5 AS {prefix}_average,
+       stddev_pop({col}) AS {prefix}_stddev,
        var_pop({col}) AS {prefix}_variance, quantile_disc({col}, 0.25) AS {prefix}_first_quartile,
        median({col}) AS {prefix}_median, quantile_disc({col}, 0.75) AS {prefix}_third_quartile,
        quantile_disc({col}, 0.9) AS {prefix}_percentile_90"""
@@ -311,7 +312,7 @@ def _pairs(select: str) -> str:
 
 
 def _r9(cols) -> str:
-    return ", ".join(f"round({c}, 6) AS {c}" for c in cols)
+    return ", ".join(f"r6({c}) AS {c}" for c in cols)
 
 
 def _from(sql: str, cols: str) -> str:
@@ -344,7 +345,7 @@ SELECT wrid, CAST(line_cat AS INTEGER) AS line_cat, CAST(from_node AS INTEGER) A
 SELECT line_cat, slope, CAST(round(degrees(atan(slope)) * 100) AS INTEGER) AS slope_cdeg
 FROM fx_samples""",
     "X2_slope_degrees": _edges("SELECT wrid, cat, " + ", ".join(
-        f"round(degrees(atan(slope_{s})), 6) AS slope_{s}_deg" for s in SLOPE_STATS)
+        f"r6(degrees(atan(slope_{s}))) AS slope_{s}_deg" for s in SLOPE_STATS)
         + " FROM ed_edges"),
     "X3_coerce_scalar": """
 WITH t AS (
@@ -374,11 +375,11 @@ SELECT wrid, line_cat, CAST(round(length_m) AS INTEGER) AS length_m FROM fx_line
     "J10_adjacency_arcs": _net("SELECT wrid, src, dst, line_cat FROM nw_arcs"),
     "U1_distinct_vertices": _net("SELECT wrid, vid, lakeid, area_ha FROM nw_v1"),
     "J8_attach_edge_attrs": _edges(f"""
-SELECT a.wrid, a.src, a.dst, a.line_cat AS cat, round(coalesce(e.length_m, 0e0), 6) AS length_m,
-       {', '.join(f'round(coalesce(e.{c}, 0e0), 6) AS {c}' for c in STAT_NAMES)}
+SELECT a.wrid, a.src, a.dst, a.line_cat AS cat, r6(coalesce(e.length_m, 0e0)) AS length_m,
+       {', '.join(f'r6(coalesce(e.{c}, 0e0)) AS {c}' for c in STAT_NAMES)}
 FROM nw_arcs a LEFT JOIN ed_edges e ON e.wrid = a.wrid AND e.cat = a.line_cat"""),
     "A4_A5_X4_edge_table": _edges(
-        f"SELECT wrid, cat, round(length_m, 6) AS length_m, {_r9(STAT_NAMES)} FROM ed_edges"),
+        f"SELECT wrid, cat, r6(length_m) AS length_m, {_r9(STAT_NAMES)} FROM ed_edges"),
     "G7_components": _net("SELECT wrid, vid, cluster FROM nw_comp"),
     "A7_X11_degrees_typ": _net("SELECT wrid, vid, indegree, outdegree, typ FROM nw_typ"),
     "A8_cluster_stats": _net("""
@@ -455,3 +456,25 @@ FROM (SELECT *, generate_subscripts(arcs, 1) AS i FROM pc_pairs) t"""),
     "A12_lakes_along": _from(LAKE_COMBINATIONS_SQL,
                              "wrid, from_lake, to_lake, lakes_along, confluences_along"),
 }
+
+
+def expand_r6(sql: str) -> str:
+    """Write ``r6(e)`` out as ``floor((e) * 1e6 + 0.5) / 1e6`` (the rounding
+    of ``functions.exprs.fixed_round``), keeping the SQL a single statement."""
+    out, i = [], 0
+    while True:
+        j = sql.find("r6(", i)
+        if j < 0 or (j > 0 and (sql[j - 1].isalnum() or sql[j - 1] == "_")):
+            if j < 0:
+                out.append(sql[i:])
+                return "".join(out)
+            out.append(sql[i:j + 3])
+            i = j + 3
+            continue
+        depth, k = 1, j + 3
+        while depth:
+            depth += {"(": 1, ")": -1}.get(sql[k], 0)
+            k += 1
+        inner = expand_r6(sql[j + 3:k - 1])
+        out.append(sql[i:j] + f"(floor(({inner}) * 1e6 + 0.5) / 1e6)")
+        i = k
