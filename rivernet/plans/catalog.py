@@ -338,6 +338,11 @@ def q_lakes_along(spark, sf_dir):
                                                "confluences_along")
 
 
+def q_threshold_clusters(spark, sf_dir):
+    from ..operators.community import threshold_clusters
+    return threshold_clusters(fixture_network(spark, sf_dir), "slope_average", 0, 20, 200, "le")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "G12_lake_summary": q_lake_summary,
     "G11_lake_combinations": q_lake_combinations,
@@ -381,6 +386,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "A10_path_totals": q_path_totals,
     "A11_X13_path_direction_stats": q_path_direction_stats,
     "A12_lakes_along": q_lakes_along,
+    "G13_threshold_clusters": q_threshold_clusters,
 }
 
 ORACLE: dict[str, str] = dict(O.NETWORK_ORACLE)

@@ -334,7 +334,19 @@ WHERE w.hop + 1 < w.nv"""),
 FOCAL_COMBINATIONS_SQL = with_clause(
     NETWORK_CTES, EDGE_CTES, combination_ctes("area_ha >= 5"), views=EDGE_VIEWS) + COMBINATION_TAIL
 
+THRESHOLD_SQL = with_clause(NETWORK_CTES, EDGE_CTES, views=EDGE_VIEWS) + """,
+th AS (SELECT CAST(i AS INTEGER) AS i, i / 200 AS t FROM range(0, 21) r(i)),
+ta AS (SELECT th.i, a.wrid, a.src, a.dst FROM pc_arcs a JOIN th ON a.slope_average <= th.t),
+tu AS (SELECT i, wrid, src AS a, dst AS b FROM ta UNION SELECT i, wrid, dst, src FROM ta),
+tcc(i, wrid, vid, lbl) AS (
+  SELECT th.i, v.wrid, v.vid, v.vid FROM nw_vert v, th
+  UNION
+  SELECT c.i, c.wrid, u.b, c.lbl FROM tcc c JOIN tu u ON u.i = c.i AND u.wrid = c.wrid AND u.a = c.vid)
+SELECT i, i / 200 AS t, wrid, vid, min(lbl) AS cluster FROM tcc GROUP BY i, wrid, vid
+"""
+
 NETWORK_ORACLE: dict[str, str] = {
+    "G13_threshold_clusters": THRESHOLD_SQL,
     "G12_lake_summary": LAKE_SUMMARY_SQL,
     "G11_lake_combinations": LAKE_COMBINATIONS_SQL,
     "X7_focal_combinations": FOCAL_COMBINATIONS_SQL,
