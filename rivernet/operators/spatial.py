@@ -349,8 +349,9 @@ def exterior_lakes(polygons: DataFrame, size: float = 1000.0) -> DataFrame:
     ext = exterior_only(polygons)
     rep = (ext.where(F.col("seq") == 0)
            .select(F.struct("fid", "part").alias("pid"), "x", "y"))
-    # test each part's first vertex against the *other* parts of its feature
-    parts = polygons.withColumn("fid", F.struct("fid", "part"))
+    # test each part's first vertex against the other parts of its feature,
+    # holes filled (a part inside a hole of another part is swallowed)
+    parts = ext.withColumn("fid", F.struct("fid", "part"))
     inside = point_in_polygon(rep, parts, size)
     swallowed = (inside.where((F.col("pid.fid") == F.col("fid.fid"))
                               & (F.col("pid.part") != F.col("fid.part")))
