@@ -44,6 +44,38 @@ def keep(df: DataFrame) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
+class Layers:
+    """The levels of an iterative search as one table in the checkpoint
+    folder, partitioned by ``level`` and bucketed on ``keys``.
+
+    A level is appended once and never rewritten.  Because the table is
+    bucketed on the anti-join / dedupe keys, joining a new candidate set
+    against *all* earlier levels shuffles only the candidates: the stored
+    levels are read bucket by bucket, in place.  Without this, every level
+    would re-shuffle everything found so far (depth x result volume)."""
+
+    def __init__(self, spark, tag: str, keys: Sequence[str], buckets: int | None = None):
+        self.spark = spark
+        self.keys = list(keys)
+        self.n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.path = scratch_path(spark, tag)
+        self.name = f"rivernet_{tag}_{uuid.uuid4().hex[:12]}"
+
+    def append(self, df: DataFrame, level: int) -> DataFrame:
+        """Store ``df`` as ``level``; returns that level read back."""
+        (df.withColumn("level", F.lit(level)).write.mode("append")
+         .partitionBy("level").bucketBy(self.n, *self.keys)
+         .option("path", self.path).saveAsTable(self.name))
+        return self.level(level)
+
+    def all(self) -> DataFrame:
+        return self.spark.table(self.name)
+
+    def level(self, level: int) -> DataFrame:
+        return self.all().where(F.col("level") == level).drop("level")
+
+
+
 def connected_components(vertices: DataFrame, edges: DataFrame,
                          keys: Sequence[str] = ("wrid",), vertex: str = "vid",
                          src: str = "src", dst: str = "dst",
@@ -103,24 +135,23 @@ def reach(arcs: DataFrame, sources: DataFrame, keys: Sequence[str] = ("wrid",),
     spark = arcs.sparkSession
     arcs = keep(arcs.select(*keys, F.col(a).alias("_a"), F.col(b).alias("_b")).distinct()
                 .repartition(*keys, "_a"))
-    base = scratch_path(spark, "reach")
+    layers = Layers(spark, "reach", [*keys, "src", "v"])
     seeds = sources.select(*keys, F.col(src).alias("src")).distinct()
-    seeds.select(*keys, "src", F.col("src").alias("v")).write.parquet(f"{base}/hop=0")
-    frontier = spark.read.parquet(f"{base}/hop=0")
+    frontier = layers.append(seeds.select(*keys, "src", F.col("src").alias("v")), 0)
     hop = 0
     while max_hops is None or hop < max_hops:
         hop += 1
-        visited = spark.read.parquet(base).select(*keys, "src", "v")
+        visited = layers.all().select(*keys, "src", "v")
         cand = (frontier.withColumnRenamed("v", "_a").join(arcs, [*keys, "_a"])
                 .select(*keys, "src", F.col("_b").alias("v")))
         new = cand.join(visited, [*keys, "src", "v"], "left_anti").distinct()
-        new.write.parquet(f"{base}/hop={hop}")
-        frontier = spark.read.parquet(f"{base}/hop={hop}")
+        frontier = layers.append(new, hop)
         if frontier.isEmpty():
             break
     arcs.unpersist()
-    out = spark.read.parquet(base)
-    return out.where(F.col("hop") > 0).select(*keys, F.col("src").alias(src), "v", "hop")
+    out = layers.all()
+    return out.where(F.col("level") > 0).select(*keys, F.col("src").alias(src), "v",
+                                                F.col("level").alias("hop"))
 
 
 def diameter(reached: DataFrame, keys: Sequence[str] = ("wrid",)) -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import MISSING, is_lake, slope_to_cdeg, weighted_avg
-from .iterate import scratch_path
+from .iterate import Layers
 from .network import Network
 
 DIRECTION_FIELDS = ["length", "altitude_min", "altitude_mean", "altitude_max", "slope_mean",
@@ -60,18 +60,17 @@ def shortest_paths(arcs: DataFrame, sources: DataFrame, weight: str | None = Non
                     F.col("len_mm").alias("alen"),
                     (F.col(weight) if weight else F.lit(0)).cast("long").alias("wt"))
     w = w.repartition("wrid", "v").persist()
-    base = scratch_path(spark, "paths")
+    layers = Layers(spark, "paths", ["wrid", "src", "v"])
     arc_t = "array<struct<dst:bigint,lab:int,cat:bigint,src:bigint>>"
-    (sources.select("wrid", "src").distinct()
-     .select("wrid", "src", F.col("src").alias("v"), F.lit(0).cast("long").alias("cost"),
-             F.lit(0).cast("long").alias("len_mm"),
-             F.expr(f"CAST(array() AS {arc_t})").alias("arc_ids"))
-     .write.parquet(f"{base}/hops=0"))
-    frontier = spark.read.parquet(f"{base}/hops=0")
+    seeds = (sources.select("wrid", "src").distinct()
+             .select("wrid", "src", F.col("src").alias("v"), F.lit(0).cast("long").alias("cost"),
+                     F.lit(0).cast("long").alias("len_mm"),
+                     F.expr(f"CAST(array() AS {arc_t})").alias("arc_ids")))
+    frontier = layers.append(seeds, 0)
     hops = 0
     while max_hops is None or hops < max_hops:
         hops += 1
-        visited = spark.read.parquet(base).select("wrid", "src", "v")
+        visited = layers.all().select("wrid", "src", "v")
         cand = frontier.join(w, ["wrid", "v"]).select(
             "wrid", "src", F.col("b").alias("v"),
             (F.col("cost") + F.col("wt")).alias("cost"),
@@ -82,12 +81,11 @@ def shortest_paths(arcs: DataFrame, sources: DataFrame, weight: str | None = Non
         best = (cand.groupBy("wrid", "src", "v")
                 .agg(F.min(F.struct("cost", "len_mm", "arc_ids")).alias("p"))
                 .select("wrid", "src", "v", "p.cost", "p.len_mm", "p.arc_ids"))
-        best.write.parquet(f"{base}/hops={hops}")
-        frontier = spark.read.parquet(f"{base}/hops={hops}")
+        frontier = layers.append(best, hops)
         if frontier.isEmpty():
             break
     w.unpersist()
-    return spark.read.parquet(base).select("wrid", "src", "v", "hops", "len_mm", "arc_ids")
+    return layers.all().select("wrid", "src", "v", F.col("level").alias("hops"), "len_mm", "arc_ids")
 
 
 def lake_vertices(network: Network, focal: DataFrame | None = None) -> DataFrame:

@@ -13,7 +13,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .iterate import reach, scratch_path
+from .iterate import Layers, reach
 from .network import edge_profile
 from .spatial import _cells, point_in_polygon, ring_segments
 
@@ -98,36 +98,35 @@ def flow_accumulation(d8: DataFrame, keys=()) -> DataFrame:
     the work is linear in the cells and the rounds follow the longest flow
     path.  Every round is written to the checkpoint folder."""
     keys = list(keys)
+    k = [*keys, "row", "col"]
     spark = d8.sparkSession
-    cell = F.struct(*[F.col(k) for k in keys], "row", "col")
-    down = F.struct(*[F.col(k) for k in keys], F.col("nrow").alias("row"), F.col("ncol").alias("col"))
-    edges = d8.where(F.col("d").isNotNull()).select(cell.alias("u"), down.alias("v"))
-    edges = edges.persist()
-    indeg = edges.groupBy("v").agg(F.count("*").alias("indeg"))
-    allc = d8.select(cell.alias("u"))
-    base = scratch_path(spark, "accum")
-    (allc.join(indeg.withColumnRenamed("v", "u"), "u", "left_anti")
-     .withColumn("acc", F.lit(1).cast("long")).write.parquet(f"{base}/round=0"))
-    frontier = spark.read.parquet(f"{base}/round=0")
+    edges = (d8.where(F.col("d").isNotNull()).select(*k, "nrow", "ncol")
+             .repartition(*keys, "nrow", "ncol").persist())
+    has_inflow = edges.select(*keys, F.col("nrow").alias("row"), F.col("ncol").alias("col"))
+    done = Layers(spark, "accum", k)
+    sources = (d8.select(*k).join(has_inflow, k, "left_anti")
+               .withColumn("acc", F.lit(1).cast("long")))
+    frontier = done.append(sources, 0)
     rnd = 0
     while True:
         rnd += 1
-        done = spark.read.parquet(base).select("u", "acc")
-        cand = frontier.join(edges, "u").select("v").distinct()
-        kids = (cand.join(edges, "v")
-                .join(done, "u", "left")
-                .groupBy("v").agg(F.count("*").alias("n"), F.count("acc").alias("n_done"),
-                                  F.sum("acc").alias("s")))
+        # cells downstream of the frontier, then all their inflowing cells
+        cand = (frontier.join(edges, k).select(*keys, F.col("nrow").alias("row"),
+                                               F.col("ncol").alias("col")).distinct())
+        kids = (cand.withColumnsRenamed({"row": "nrow", "col": "ncol"})
+                .join(edges, [*keys, "nrow", "ncol"])
+                .join(done.all().select(*k, "acc"), k, "left")
+                .groupBy(*keys, "nrow", "ncol")
+                .agg(F.count("*").alias("n"), F.count("acc").alias("n_done"),
+                     F.sum("acc").alias("s")))
         ready = (kids.where(F.col("n") == F.col("n_done"))
-                 .select(F.col("v").alias("u"), (F.col("s") + 1).alias("acc")))
-        ready.write.parquet(f"{base}/round={rnd}")
-        frontier = spark.read.parquet(f"{base}/round={rnd}")
+                 .select(*keys, F.col("nrow").alias("row"), F.col("ncol").alias("col"),
+                         (F.col("s") + 1).alias("acc")))
+        frontier = done.append(ready, rnd)
         if frontier.isEmpty():
             break
     edges.unpersist()
-    out = spark.read.parquet(base)
-    return out.select(*[F.col("u." + k).alias(k) for k in keys], F.col("u.row").alias("row"),
-                      F.col("u.col").alias("col"), "acc")
+    return done.all().select(*k, "acc")
 
 
 def extract_streams(d8: DataFrame, acc: DataFrame, threshold: int = 2000,
