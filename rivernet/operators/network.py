@@ -29,39 +29,58 @@ class Network:
     arcs: DataFrame
 
 
+def _quantiles(sorted_values, n, prefix: str, quantiles: str) -> list:
+    """Quartiles, median and 90th percentile picked from a sorted array.
+
+    Nearest rank (``percentile_disc``): the value at 1-based position
+    ``ceil(p * n)``, computed in integers so that 0.9 * 10 is 9, not 9.000..2.
+    The median (and ``quantiles="cont"``) interpolates between the two
+    neighbouring ranks: ``lo + f * (hi - lo)`` at position ``p * (n - 1)``."""
+    def at(pos):                      # 0-based position
+        return F.element_at(sorted_values, (pos + 1).cast("int"))
+
+    def disc(k, d):                   # p = k / d
+        return at(F.floor((n * k + d - 1) / d) - 1)
+
+    def cont(k, d):
+        pos = (n - 1) * k / d
+        lo = F.floor(pos)
+        f = pos - lo
+        a, b = at(lo), at(F.ceil(pos))
+        return a + f * (b - a)
+
+    q = disc if quantiles == "disc" else cont
+    return [q(1, 4).alias(f"{prefix}_first_quartile"), cont(1, 2).alias(f"{prefix}_median"),
+            q(3, 4).alias(f"{prefix}_third_quartile"), q(9, 10).alias(f"{prefix}_percentile_90")]
+
+
 def edge_profile(samples: DataFrame, value: str, prefix: str,
                  keys=("wrid", "cat"), quantiles: str = "disc",
                  deviation: str = "pop", fixed_scale: int | None = None) -> DataFrame:
     """A4/A5: nine statistics of ``value`` per edge.
 
-    Quartiles and the 90th percentile are nearest-rank (``percentile_disc``)
-    by default, ``quantiles="cont"`` interpolates; the median is the usual
-    interpolated median; stddev/variance are population figures unless
-    ``deviation="samp"``.  Exact per edge: the values of one edge are sorted
-    inside one aggregation buffer, and an edge holds few cells.
-    ``fixed_scale`` sums the average as integers of ``10^-fixed_scale`` so the
-    mean is the same for any partitioning.
+    Quartiles and the 90th percentile are nearest-rank by default,
+    ``quantiles="cont"`` interpolates; the median is the usual interpolated
+    median; stddev/variance are population figures unless ``deviation="samp"``.
+    The quantiles come from one sorted array per edge (an edge holds the
+    cells along one line, bounded by its length); everything else is a plain
+    partial aggregate.  ``fixed_scale`` sums the average as integers of
+    ``10^-fixed_scale`` so the mean is the same for any partitioning.
     """
     v = F.col(value)
-
-    def q(p):
-        if quantiles == "disc":
-            return F.expr(f"percentile_disc({p}) WITHIN GROUP (ORDER BY `{value}`)")
-        return F.percentile(v, F.lit(p))
-
     sd = F.stddev_pop if deviation == "pop" else F.stddev_samp
     var = F.var_pop if deviation == "pop" else F.var_samp
-    return samples.groupBy(*keys).agg(
+    g = samples.where(v.isNotNull()).groupBy(*keys).agg(
         F.min(v).alias(f"{prefix}_minimum"),
         F.max(v).alias(f"{prefix}_maximum"),
         (F.avg(v) if fixed_scale is None else exact_avg(v, fixed_scale)).alias(f"{prefix}_average"),
         sd(v).alias(f"{prefix}_stddev"),
         var(v).alias(f"{prefix}_variance"),
-        q(0.25).alias(f"{prefix}_first_quartile"),
-        F.percentile(v, F.lit(0.5)).alias(f"{prefix}_median"),
-        q(0.75).alias(f"{prefix}_third_quartile"),
-        q(0.9).alias(f"{prefix}_percentile_90"),
-    )
+        F.array_sort(F.collect_list(v)).alias("_sorted"),
+        F.count(v).alias("_n"))
+    return g.select(*keys, f"{prefix}_minimum", f"{prefix}_maximum", f"{prefix}_average",
+                    f"{prefix}_stddev", f"{prefix}_variance",
+                    *_quantiles(F.col("_sorted"), F.col("_n"), prefix, quantiles))
 
 
 def edge_table(lines: DataFrame, samples: DataFrame, keys=("wrid",),

@@ -393,9 +393,10 @@ ORACLE: dict[str, str] = dict(O.NETWORK_ORACLE)
 
 
 def _extend():
+    from . import io_queries as IQ
     from . import raster_queries as RQ
     from . import spatial_queries as SQ
-    for mod in (SQ, RQ):
+    for mod in (SQ, RQ, IQ):
         QUERIES.update(mod.QUERIES)
         ORACLE.update(mod.ORACLE)
     for k, v in ORACLE.items():

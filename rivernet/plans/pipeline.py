@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.iterate import cut
 from ..operators.network import compile_network
 from ..operators.paths import lake_combinations
 from ..operators.reports import region_guard
@@ -37,6 +38,10 @@ def run(spark: SparkSession, out: str, lines: DataFrame | None = None,
     ``adjacency(wrid, left_lake, right_lake)`` are the products of the gis
     step.  ``wrids`` limits the run to some regions (list or DataFrame)."""
     results: dict[str, DataFrame] = {}
+    if isinstance(wrids, DataFrame):
+        # the region list may be read from a table this run overwrites:
+        # store it first so the run does not read files it replaces
+        wrids = cut(wrids.select("wrid").distinct(), "wrids")
     if "network_compilation" in sections:
         lines, nodes, edges, adjacency = (_regions(x, wrids) for x in (lines, nodes, edges, adjacency))
         net = compile_network(lines, nodes, edges, adjacency, min_lakes=min_lakes)
