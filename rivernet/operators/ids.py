@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import work_partitions
 from .iterate import cut
 
 
@@ -20,7 +21,7 @@ def consecutive_ids(df: DataFrame, key: str, keys=("wrid",), out: str = "cat",
                     partitions: int | None = None) -> DataFrame:
     """``out`` = 1, 2, ... per ``keys`` in ``key`` order (ties: arbitrary)."""
     keys = list(keys)
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions or work_partitions(df.sparkSession)
     # one range shuffle; inside a partition the rows are sorted, so the
     # generated id grows with (keys, key) and is dense per partition
     local = (df.repartitionByRange(n, *keys, key)

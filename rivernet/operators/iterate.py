@@ -23,7 +23,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, work_partitions
 
 
 def scratch_path(spark, tag: str) -> str:
@@ -57,7 +57,7 @@ class Layers:
     def __init__(self, spark, tag: str, keys: Sequence[str], buckets: int | None = None):
         self.spark = spark
         self.keys = list(keys)
-        self.n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.n = buckets or work_partitions(spark)
         self.path = scratch_path(spark, tag)
         self.name = f"rivernet_{tag}_{uuid.uuid4().hex[:12]}"
 

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.exprs import MISSING
+from ..session import work_partitions
 
 # ---------------------------------------------------------------------------
 # schemas of the reports read by S4 (fixed column names and types)
@@ -83,7 +84,7 @@ def write_partitioned(df: DataFrame, path: str, order=(), partitions: int | None
                       mode: str = "overwrite") -> None:
     """Write ``df`` partitioned by ``wrid``; an overwrite replaces only the
     regions present in ``df`` (S6-S9, S11)."""
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions or work_partitions(df.sparkSession)
     out = df.repartitionByRange(n, "wrid", *order).sortWithinPartitions("wrid", *order)
     (out.write.mode(mode).option("partitionOverwriteMode", "dynamic")
      .partitionBy("wrid").parquet(path))
