@@ -216,7 +216,7 @@ def regions_with_features(regions: DataFrame, features: DataFrame, size: float =
 
 
 def nearest_polygon(points: DataFrame, polygons: DataFrame, dmax: float = 1.0,
-                    size: float = 1000.0) -> DataFrame:
+                    size: float = 1000.0, key: str | None = None) -> DataFrame:
     """For each point ``(pid, x, y)`` the id of the nearest polygon (holes
     filled) within ``dmax``; 0 inside; ties -> smaller id; NULL if none.
 
@@ -238,6 +238,9 @@ def nearest_polygon(points: DataFrame, polygons: DataFrame, dmax: float = 1.0,
           .otherwise(F.try_divide(cross * cross, len2)))
     near = j.select("pid", "fid", d2.alias("d2")).where(F.col("d2") <= dmax * dmax)
     inside = point_in_polygon(points, ext, size).withColumn("d2", F.lit(0.0))
+    if key:   # ids are structs; match only inside the same region
+        near = near.where(F.col("pid")[key] == F.col("fid")[key])
+        inside = inside.where(F.col("pid")[key] == F.col("fid")[key])
     best = (near.unionByName(inside)
             .groupBy("pid").agg(F.min(F.struct("d2", "fid")).alias("m"))
             .select("pid", F.col("m.fid").alias("lakeid"), F.sqrt("m.d2").alias("distance")))
@@ -252,7 +255,7 @@ def border_lakes(borders: DataFrame, categories: DataFrame) -> DataFrame:
     return borders.join(left, "left_cat", "left").join(right, "right_cat", "left")
 
 
-def shared_borders(polygons: DataFrame) -> DataFrame:
+def shared_borders(polygons: DataFrame, key: str | None = None) -> DataFrame:
     """Pairs of different polygons with an identical boundary segment
     (either direction), ``(left_lake < right_lake)``, each pair once."""
     s = ring_segments(polygons)
@@ -264,22 +267,28 @@ def shared_borders(polygons: DataFrame) -> DataFrame:
                  F.when(swap, F.col("y1")).otherwise(F.col("y2")).alias("by"))
     a = n.withColumnRenamed("fid", "left_lake")
     b = n.withColumnRenamed("fid", "right_lake")
-    return (a.join(b, ["ax", "ay", "bx", "by"])
-            .where(F.col("left_lake") < F.col("right_lake"))
+    j = a.join(b, ["ax", "ay", "bx", "by"]).where(F.col("left_lake") < F.col("right_lake"))
+    if key:
+        j = j.where(F.col("left_lake")[key] == F.col("right_lake")[key])
+    return (j
             .select("left_lake", "right_lake").distinct())
 
 
-def clip_lines_outside(lines: DataFrame, polygons: DataFrame, size: float = 1000.0) -> DataFrame:
+def clip_lines_outside(lines: DataFrame, polygons: DataFrame, size: float = 1000.0,
+                       key: str | None = None) -> DataFrame:
     """Parts of line segments outside all polygons (holes filled).
 
     Per line segment: parameters ``t`` where it meets polygon borders (from
     the grid join), sorted with 0 and 1 -> pieces -> a piece is kept when its
-    midpoint is in no polygon.  Zero-length pieces are dropped.  Returns
-    ``(fid, part, seq, t0, t1, x1, y1, x2, y2)``."""
+    midpoint is in no polygon.  Zero-length pieces are dropped.  With
+    ``key``, ids are structs and only polygons with the same ``key`` field
+    (e.g. the region) cut a line.  Returns ``(fid, part, seq, t0, t1, x1, y1,
+    x2, y2)``."""
     ext = exterior_only(polygons)
     ls = (line_segments(lines).where((F.col("x1") != F.col("x2")) | (F.col("y1") != F.col("y2")))
           .withColumn("sid", F.struct("fid", "part", "seq")))
-    ps = ring_segments(ext).select(*[F.col(c).alias("p" + c) for c in ("x1", "y1", "x2", "y2")])
+    ps = ring_segments(ext).select(F.col("fid").alias("pfid"),
+                                   *[F.col(c).alias("p" + c) for c in ("x1", "y1", "x2", "y2")])
     A = _cells(ls.select("sid", "x1", "y1", "x2", "y2"), size)
     B = _cells(ps, size, xs=("px1", "px2"), ys=("py1", "py2"))
     c = F.col
@@ -288,6 +297,8 @@ def clip_lines_outside(lines: DataFrame, polygons: DataFrame, size: float = 1000
                          F.least(c("px1"), c("px2")), F.least(c("py1"), c("py2")))
         & segments_intersect(c("x1"), c("y1"), c("x2"), c("y2"),
                              c("px1"), c("py1"), c("px2"), c("py2")))
+    if key:
+        j = j.where(F.col("sid.fid")[key] == F.col("pfid")[key])
     rx, ry = c("x2") - c("x1"), c("y2") - c("y1")
     sx, sy = c("px2") - c("px1"), c("py2") - c("py1")
     den = rx * sy - ry * sx
@@ -311,7 +322,10 @@ def clip_lines_outside(lines: DataFrame, polygons: DataFrame, size: float = 1000
         "pid": F.struct("sid", "t0"),
         "x": c("x1") + (c("t0") + c("t1")) / 2 * (c("x2") - c("x1")),
         "y": c("y1") + (c("t0") + c("t1")) / 2 * (c("y2") - c("y1"))})
-    covered = point_in_polygon(pieces.select("pid", "x", "y"), ext, size).select("pid").distinct()
+    covered = point_in_polygon(pieces.select("pid", "x", "y"), ext, size)
+    if key:
+        covered = covered.where(F.col("pid.sid.fid")[key] == F.col("fid")[key])
+    covered = covered.select("pid").distinct()
     out = pieces.join(covered, "pid", "left_anti")
     return out.select(
         F.col("sid.fid").alias("fid"), F.col("sid.part").alias("part"), F.col("sid.seq").alias("seq"),

@@ -84,8 +84,23 @@ def q_refresh(spark, sf_dir):
     return again["lake_summary"]
 
 
+def q_gis_section(spark, sf_dir):
+    """The gis section on the fixture geometry and terrain cells (rows-only
+    check: every step in it has its own DuckDB-checked query)."""
+    from . import raster_queries as RQ
+    from . import spatial_queries as SQ
+    from .gis import gis_section
+    out = gis_section(SQ._catchments(spark, sf_dir), SQ._lakes(spark, sf_dir),
+                      SQ._streams(spark, sf_dir),
+                      dem=RQ._cells(spark, sf_dir).select("row", "col", "z"), snap=1.0)
+    e = out["edges"].select("wrid", F.col("cat").alias("line_cat"), "altitude_average",
+                            "slope_average")
+    return out["lines"].join(e, ["wrid", "line_cat"])
+
+
 QUERIES = {
     "S1_read_features": q_read_features,
+    "S1_S6_S7_gis_section": q_gis_section,
     "S3_select_region": q_select_region,
     "S5_save_load_network": q_save_load_network,
     "S6_write_edges": q_write_edges,
