@@ -71,6 +71,14 @@ class Layers:
     def all(self) -> DataFrame:
         return self.spark.table(self.name)
 
+    def has(self, level: int) -> bool:
+        """Whether ``level`` holds rows: an empty level writes no partition
+        folder, so this is a file-system look-up, not a Spark job."""
+        jvm = self.spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(f"{self.path}/level={level}")
+        fs = p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        return bool(fs.exists(p))
+
     def level(self, level: int) -> DataFrame:
         return self.all().where(F.col("level") == level).drop("level")
 
@@ -146,7 +154,7 @@ def reach(arcs: DataFrame, sources: DataFrame, keys: Sequence[str] = ("wrid",),
                 .select(*keys, "src", F.col("_b").alias("v")))
         new = cand.join(visited, [*keys, "src", "v"], "left_anti").distinct()
         frontier = layers.append(new, hop)
-        if frontier.isEmpty():
+        if not layers.has(hop):
             break
     arcs.unpersist()
     out = layers.all()

@@ -82,7 +82,7 @@ def shortest_paths(arcs: DataFrame, sources: DataFrame, weight: str | None = Non
                 .agg(F.min(F.struct("cost", "len_mm", "arc_ids")).alias("p"))
                 .select("wrid", "src", "v", "p.cost", "p.len_mm", "p.arc_ids"))
         frontier = layers.append(best, hops)
-        if frontier.isEmpty():
+        if not layers.has(hops):
             break
     w.unpersist()
     return layers.all().select("wrid", "src", "v", F.col("level").alias("hops"), "len_mm", "arc_ids")

@@ -123,7 +123,7 @@ def flow_accumulation(d8: DataFrame, keys=()) -> DataFrame:
                  .select(*keys, F.col("nrow").alias("row"), F.col("ncol").alias("col"),
                          (F.col("s") + 1).alias("acc")))
         frontier = done.append(ready, rnd)
-        if frontier.isEmpty():
+        if not done.has(rnd):
             break
     edges.unpersist()
     return done.all().select(*k, "acc")
