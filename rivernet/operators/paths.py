@@ -9,11 +9,14 @@ border).  Arcs are only walked forward; the reversed copies of G5 make every
 undirected move possible, and their label says which way the water runs.
 
 The search is a layered BFS from all sources of all clusters at once: each
-layer is one join of the frontier with the arcs, an anti-join with the
-vertices already reached from that source, and a ``min`` of the candidate
-paths per ``(wrid, src, v)``.  Hops and lengths add up and equal-hop arc
-lists have equal length, so the best path's prefix is the prefix's best
-path, which makes the layer-wise minimum exact.
+level joins the frontier with the arcs and with a precomputed table of the
+best two-arc steps (so a level advances one or two arcs and the number of
+levels halves), anti-joins the vertices already reached from that source,
+and keeps ``min(struct(hops, cost, length, arc_ids))`` per ``(wrid, src, v)``.
+Hops and lengths add up and equal-hop arc lists have equal length, so the
+best path's prefix is the prefix's best path; the best two-arc step between
+two vertices does not depend on what comes before it.  Both make the
+level-wise minimum exact.
 """
 
 from __future__ import annotations
@@ -56,36 +59,56 @@ def shortest_paths(arcs: DataFrame, sources: DataFrame, weight: str | None = Non
     weights that are all 0 as in the reference).
     """
     spark = arcs.sparkSession
-    w = arcs.select("wrid", F.col("a").alias("v"), "b", "lab", "cat",
-                    F.col("len_mm").alias("alen"),
-                    (F.col(weight) if weight else F.lit(0)).cast("long").alias("wt"))
-    w = w.repartition("wrid", "v").persist()
+    step_t = "struct<dst:bigint,lab:int,cat:bigint,src:bigint>"
+    one = arcs.select("wrid", F.col("a").alias("v"), "b",
+                      F.array(F.struct(F.col("b").cast("long").alias("dst"),
+                                       F.col("lab").cast("int").alias("lab"),
+                                       F.col("cat").cast("long").alias("cat"),
+                                       F.col("a").cast("long").alias("src"))).alias("steps"),
+                      F.col("len_mm").alias("alen"),
+                      (F.col(weight) if weight else F.lit(0)).cast("long").alias("wt"))
+    # the best two-arc step between two vertices does not depend on the path
+    # before it, so the two-arc table keeps one entry per (v, b)
+    first = one.withColumnsRenamed({"b": "_m"})
+    second = one.select("wrid", F.col("v").alias("_m"), F.col("b").alias("b2"),
+                        F.col("steps").alias("s2"), F.col("alen").alias("l2"), F.col("wt").alias("w2"))
+    two = (first.join(second, ["wrid", "_m"])
+           .groupBy("wrid", "v", F.col("b2").alias("b"))
+           .agg(F.min(F.struct((F.col("wt") + F.col("w2")).alias("wt"),
+                               (F.col("alen") + F.col("l2")).alias("alen"),
+                               F.concat("steps", "s2").alias("steps"))).alias("m"))
+           .select("wrid", "v", "b", F.lit(2).alias("h"), "m.wt", "m.alen", "m.steps"))
+    w = (one.select("wrid", "v", "b", F.lit(1).alias("h"), "wt", "alen", "steps")
+         .unionByName(two).repartition("wrid", "v").persist())
+    order = (["hops", "cost", "len_mm", "arc_ids"] if weight is None
+             else ["cost", "hops", "len_mm", "arc_ids"])
     layers = Layers(spark, "paths", ["wrid", "src", "v"])
-    arc_t = "array<struct<dst:bigint,lab:int,cat:bigint,src:bigint>>"
     seeds = (sources.select("wrid", "src").distinct()
-             .select("wrid", "src", F.col("src").alias("v"), F.lit(0).cast("long").alias("cost"),
-                     F.lit(0).cast("long").alias("len_mm"),
-                     F.expr(f"CAST(array() AS {arc_t})").alias("arc_ids")))
+             .select("wrid", "src", F.col("src").alias("v"), F.lit(0).alias("hops"),
+                     F.lit(0).cast("long").alias("cost"), F.lit(0).cast("long").alias("len_mm"),
+                     F.expr(f"CAST(array() AS array<{step_t}>)").alias("arc_ids")))
     frontier = layers.append(seeds, 0)
-    hops = 0
-    while max_hops is None or hops < max_hops:
-        hops += 1
+    level = 0
+    while max_hops is None or level < max_hops:
+        level += 1
         visited = layers.all().select("wrid", "src", "v")
         cand = frontier.join(w, ["wrid", "v"]).select(
             "wrid", "src", F.col("b").alias("v"),
+            (F.col("hops") + F.col("h")).alias("hops"),
             (F.col("cost") + F.col("wt")).alias("cost"),
             (F.col("len_mm") + F.col("alen")).alias("len_mm"),
-            F.concat("arc_ids", F.array(F.struct(
-                F.col("b").alias("dst"), "lab", "cat", F.col("v").alias("src")))).alias("arc_ids"))
+            F.concat("arc_ids", "steps").alias("arc_ids"))
+        if max_hops is not None:
+            cand = cand.where(F.col("hops") <= max_hops)
         cand = cand.join(visited, ["wrid", "src", "v"], "left_anti")
         best = (cand.groupBy("wrid", "src", "v")
-                .agg(F.min(F.struct("cost", "len_mm", "arc_ids")).alias("p"))
-                .select("wrid", "src", "v", "p.cost", "p.len_mm", "p.arc_ids"))
-        frontier = layers.append(best, hops)
-        if not layers.has(hops):
+                .agg(F.min(F.struct(*order)).alias("p"))
+                .select("wrid", "src", "v", "p.hops", "p.cost", "p.len_mm", "p.arc_ids"))
+        frontier = layers.append(best, level)
+        if not layers.has(level):
             break
     w.unpersist()
-    return layers.all().select("wrid", "src", "v", F.col("level").alias("hops"), "len_mm", "arc_ids")
+    return layers.all().select("wrid", "src", "v", "hops", "len_mm", "arc_ids")
 
 
 def lake_vertices(network: Network, focal: DataFrame | None = None) -> DataFrame:
