@@ -54,10 +54,10 @@ def _quantiles(sorted_values, n, prefix: str, quantiles: str) -> list:
             q(3, 4).alias(f"{prefix}_third_quartile"), q(9, 10).alias(f"{prefix}_percentile_90")]
 
 
-def edge_profile(samples: DataFrame, value: str, prefix: str,
-                 keys=("wrid", "cat"), quantiles: str = "disc",
-                 deviation: str = "pop", fixed_scale: int | None = None) -> DataFrame:
-    """A4/A5: nine statistics of ``value`` per edge.
+def edge_profiles(samples: DataFrame, columns, keys=("wrid", "cat"), quantiles: str = "disc",
+                  deviation: str = "pop", fixed_scale: int | None = None) -> DataFrame:
+    """A4/A5: nine statistics per edge for each ``(value column, prefix)``,
+    all from one aggregation (one shuffle of the samples).
 
     Quartiles and the 90th percentile are nearest-rank by default,
     ``quantiles="cont"`` interpolates; the median is the usual interpolated
@@ -67,20 +67,32 @@ def edge_profile(samples: DataFrame, value: str, prefix: str,
     partial aggregate.  ``fixed_scale`` sums the average as integers of
     ``10^-fixed_scale`` so the mean is the same for any partitioning.
     """
-    v = F.col(value)
     sd = F.stddev_pop if deviation == "pop" else F.stddev_samp
     var = F.var_pop if deviation == "pop" else F.var_samp
-    g = samples.where(v.isNotNull()).groupBy(*keys).agg(
-        F.min(v).alias(f"{prefix}_minimum"),
-        F.max(v).alias(f"{prefix}_maximum"),
-        (F.avg(v) if fixed_scale is None else exact_avg(v, fixed_scale)).alias(f"{prefix}_average"),
-        sd(v).alias(f"{prefix}_stddev"),
-        var(v).alias(f"{prefix}_variance"),
-        F.array_sort(F.collect_list(v)).alias("_sorted"),
-        F.count(v).alias("_n"))
-    return g.select(*keys, f"{prefix}_minimum", f"{prefix}_maximum", f"{prefix}_average",
-                    f"{prefix}_stddev", f"{prefix}_variance",
-                    *_quantiles(F.col("_sorted"), F.col("_n"), prefix, quantiles))
+    aggs, outs = [], []
+    for value, prefix in columns:
+        v = F.col(value)
+        aggs += [
+            F.min(v).alias(f"{prefix}_minimum"),
+            F.max(v).alias(f"{prefix}_maximum"),
+            (F.avg(v) if fixed_scale is None else exact_avg(v, fixed_scale)).alias(f"{prefix}_average"),
+            sd(v).alias(f"{prefix}_stddev"),
+            var(v).alias(f"{prefix}_variance"),
+            F.array_sort(F.collect_list(v)).alias(f"_{prefix}_sorted"),
+            F.count(v).alias(f"_{prefix}_n"),
+        ]
+        outs += [f"{prefix}_minimum", f"{prefix}_maximum", f"{prefix}_average",
+                 f"{prefix}_stddev", f"{prefix}_variance",
+                 *_quantiles(F.col(f"_{prefix}_sorted"), F.col(f"_{prefix}_n"), prefix, quantiles)]
+    return samples.groupBy(*keys).agg(*aggs).select(*keys, *outs)
+
+
+def edge_profile(samples: DataFrame, value: str, prefix: str, keys=("wrid", "cat"),
+                 quantiles: str = "disc", deviation: str = "pop",
+                 fixed_scale: int | None = None) -> DataFrame:
+    """A4 or A5 alone: nine statistics of one value column per edge."""
+    return edge_profiles(samples.where(F.col(value).isNotNull()), [(value, prefix)], keys,
+                         quantiles, deviation, fixed_scale)
 
 
 def edge_table(lines: DataFrame, samples: DataFrame, keys=("wrid",),
@@ -90,10 +102,8 @@ def edge_table(lines: DataFrame, samples: DataFrame, keys=("wrid",),
     ``samples`` has ``keys + [line_cat, altitude, slope]``; lines without
     samples get 0 statistics, as NaN/NULL become 0 in the reference."""
     k = list(keys)
-    alt = edge_profile(samples, "altitude", "altitude", keys=(*k, "line_cat"),
-                       fixed_scale=fixed_scale)
-    slo = edge_profile(samples, "slope", "slope", keys=(*k, "line_cat"), fixed_scale=fixed_scale)
-    stats = alt.join(slo, [*k, "line_cat"], "full")
+    stats = edge_profiles(samples, [("altitude", "altitude"), ("slope", "slope")],
+                          keys=(*k, "line_cat"), fixed_scale=fixed_scale)
     e = (lines.select(*k, "line_cat", "length_m")
          .join(stats, [*k, "line_cat"], "left")
          .withColumnRenamed("line_cat", "cat"))
