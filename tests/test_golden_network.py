@@ -80,3 +80,10 @@ def test_lake_summary(net):
     assert r.neighborhood_size == 4
     assert (r.downstream_lakes, r.downstream_lakes_n, r.first_downstream_lake) == (None, None, None)
     assert (r.upstream_lakes, r.upstream_lakes_n, r.upstream_lakes_area_ha) == ("10,20", 2, 3.0)
+
+
+def test_focal_lakes_only(spark, net):
+    focal = spark.createDataFrame([(1, 10), (1, 30)], "wrid int, lakeid long")
+    rows = lake_combinations(net, focal=focal).collect()
+    assert [(r.from_lake, r.to_lake, r.total_stream_length, r.upstream_length) for r in rows] == \
+        [(10, 30, 150, -9999)]
