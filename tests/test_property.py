@@ -93,3 +93,31 @@ def test_summary_matches_brute_force(spark, seed):
     got = {r.lakeID: (r.cluster, r.neighborhood_size, r.downstream_lakes, r.upstream_lakes)
            for r in lake_summary(compile_network(lf, nodes, edges, adj)).collect()}
     assert got == _expected(lines, lakes, borders, n)
+
+
+@pytest.mark.parametrize("seed", [4, 5])
+def test_combinations_invariants_on_random_forests(spark, seed):
+    from rivernet.operators.paths import lake_combinations
+    lines, lakes, borders, n = _forest(seed)
+    lf = spark.createDataFrame([(1, c, a, b, 10.0 + c) for c, a, b in lines],
+                               "wrid int, line_cat long, from_node long, to_node long, length_m double")
+    nodes = spark.createDataFrame(
+        [(1, v, v, lakes.get(v)) for v in sorted(set(range(n)) | set(lakes))],
+        "wrid int, node_id long, lakeid long, area_ha double")
+    edges = lf.select("wrid", F.col("line_cat").alias("cat"), "length_m").withColumns(
+        {f"{p}_{s}": F.lit(0.0) for p in ("altitude", "slope") for s in STATS})
+    adj = spark.createDataFrame([(1, a, b) for a, b in borders],
+                                "wrid int, left_lake long, right_lake long")
+    net = compile_network(lf, nodes, edges, adj)
+    rows = lake_combinations(net).collect()
+    expect = _expected(lines, lakes, borders, n)
+    per = {}
+    for lake, (cluster, *_rest) in expect.items():
+        per[cluster] = per.get(cluster, 0) + 1
+    assert len(rows) == sum(k * (k - 1) // 2 for k in per.values())
+    for r in rows:
+        assert r.from_lake < r.to_lake and expect[r.from_lake][0] == expect[r.to_lake][0] == r.cluster
+        along = [int(x) for x in r.lakes_along.split(",")]
+        assert r.from_lake in along and r.to_lake in along and along == sorted(set(along))
+        parts = [x for x in (r.upstream_length, r.downstream_length) if x != -9999]
+        assert abs(sum(parts) - r.total_stream_length) <= 1
