@@ -40,18 +40,32 @@ def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_main_text(table(spark, sf_dir, "pages"))
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rivernet.llm.quality_rules import quality_rules
+
+    return quality_rules(table(spark, sf_dir, "documents"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from rivernet.llm.toxicity import score_toxicity
 
     return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rivernet.llm.lm_score import score_texts
+
+    return score_texts(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_bpe_automaton": op2_bpe_automaton,
     "op3_language_id": op3_language_id,
     "op4_html_text": op4_html_text,
+    "op7_quality_rules": op7_quality_rules,
     "op9_toxicity": op9_toxicity,
+    "op10_lm_score": op10_lm_score,
 }
 
 ORACLE: dict[str, str] = {}

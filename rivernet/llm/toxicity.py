@@ -1,7 +1,7 @@
 """Toxicity of texts by their nearest labelled examples (operator 9).
 
-Terms are words and their character 4- and 5-grams.  The examples are a
-bounded sample of the labelled rows; the terms that separate their classes
+Terms are words and their beginnings.  The examples are a bounded sample of
+the labelled rows; the terms that separate their classes
 best form the vocabulary; document frequencies are counted over all texts.
 Each text is compared with the examples by exact TF-IDF cosine: the index is
 inverted by term with the largest weight of each block of examples, blocks
@@ -13,6 +13,7 @@ are held out of the index turns the vote into a probability.
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -31,8 +32,8 @@ KEPT_WORDS = 500_000
 
 
 def word_terms(word: str) -> set[str]:
-    """The word itself (marked) and its character 4- and 5-grams."""
-    return {"=" + word} | {word[i:i + n] for n in (4, 5) for i in range(len(word) - n + 1)}
+    """The word itself and its beginnings of 4 to 7 letters, each marked as such."""
+    return {"=" + word} | {"^" + word[:n] for n in range(4, min(8, len(word)))}
 
 
 class Vectors:
@@ -155,8 +156,8 @@ def logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(w[0]), float(w[1])
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, per_class: int) -> DataFrame:
-    """About ``per_class`` labelled texts of each class by a hash of the id.
+def labelled_sample(docs: DataFrame, labels: DataFrame, per_class: int) -> tuple[DataFrame, dict[int, int]]:
+    """The sample, and the number of labelled ids of each class: about ``per_class`` labelled texts of each class by a hash of the id.
 
     The ids of the sample, of at most twice that number each, are broadcast;
     texts repeated with one label count once."""
@@ -171,11 +172,15 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, per_class: int) -> DataF
                 .orderBy("order").limit(per_class))
         picked = some if picked is None else picked.unionAll(some)
     return cut(docs.join(F.broadcast(picked), "doc_id", "inner").withColumn("digest", F.sha2("text", 256))
-               .dropDuplicates(["digest", "toxic"]).select("doc_id", "text", "toxic", "order"), "toxic-sample")
+               .dropDuplicates(["digest", "toxic"]).select("doc_id", "text", "toxic", "order"), "toxic-sample"), sizes
 
 
-def choose_terms(sample: DataFrame, size: int, least: int = 5, chi2: float = 25.0) -> list[str]:
-    """Terms by falling chi-square between the classes of the sample."""
+def choose_terms(sample: DataFrame, size: int, least: int = 5, share: float = 0.02,
+                 ratio: float = 10.0) -> list[str]:
+    """Terms by falling chi-square between the classes of the sample: those at
+    least ``ratio`` times as frequent in one class as in the other whose
+    chi-square is at least ``share`` of the largest (weaker ones are words of
+    single groups of near copies)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n: dict[int, Counter[str]] = {0: Counter(), 1: Counter()}
@@ -198,10 +203,10 @@ def choose_terms(sample: DataFrame, size: int, least: int = 5, chi2: float = 25.
     a, b = F.col("toxic"), F.col("clean")
     chi = ((n0 + n1) * F.pow(a * (n0 - b) - b * (n1 - a), 2)
            / ((a + b) * (n0 + n1 - a - b) * n0 * n1))
-    best = (seen.where((F.col("term") != "") & (a + b >= least) & (a + b < n0 + n1))
-            .withColumn("chi", chi).where(F.col("chi") >= chi2)
-            .orderBy(F.desc("chi"), "term").limit(size).collect())
-    return [r["term"] for r in best]
+    odds = F.abs(F.log((a + 0.5) / n1) - F.log((b + 0.5) / n0))
+    best = (seen.where((F.col("term") != "") & (a + b >= least) & (a + b < n0 + n1) & (odds >= math.log(ratio)))
+            .withColumn("chi", chi).orderBy(F.desc("chi"), "term").limit(size).collect())
+    return [r["term"] for r in best if r["chi"] >= share * best[0]["chi"]]
 
 
 def term_frequency(docs: DataFrame, vocabulary: list[str]) -> tuple[np.ndarray, int]:
@@ -225,7 +230,7 @@ def term_frequency(docs: DataFrame, vocabulary: list[str]) -> tuple[np.ndarray,
 def train_toxicity(docs: DataFrame, labels: DataFrame, per_class: int = 2500, terms: int = 1024,
                    k: int = 15) -> ToxicityModel | None:
     """None if either class has no labelled text."""
-    sample = labelled_sample(docs, labels, per_class)
+    sample, sizes = labelled_sample(docs, labels, per_class)
     vocabulary = choose_terms(sample, terms)
     if not vocabulary:
         return None
@@ -262,6 +267,9 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, per_class: int = 2500, te
     if labels_of[tried].min(initial=1) == 0 and labels_of[tried].max(initial=0) == 1:
         votes = np.array([model.vote(counts[i])[0] for i in tried])
         model.slope, model.shift = logistic(votes, labels_of[tried].astype(float))
+        # the sample takes classes alike; the probability is that of the table's shares
+        toxic = labels_of[tried].mean()
+        model.shift += math.log(sizes[1] / sizes[0] * (1 - toxic) / toxic)
     else:
         model.slope, model.shift = 8.0, -4.0
     return model
