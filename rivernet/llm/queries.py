@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from rivernet.llm import decontaminate
 from rivernet.llm.common import scratch, table
 
 
@@ -40,6 +41,12 @@ def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_main_text(table(spark, sf_dir, "pages"))
 
 
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rivernet.llm.decontaminate import contamination
+
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from rivernet.llm.quality_rules import quality_rules
 
@@ -63,9 +70,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bpe_automaton": op2_bpe_automaton,
     "op3_language_id": op3_language_id,
     "op4_html_text": op4_html_text,
+    "op6_decontaminate": op6_decontaminate,
     "op7_quality_rules": op7_quality_rules,
     "op9_toxicity": op9_toxicity,
     "op10_lm_score": op10_lm_score,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op6_decontaminate": decontaminate.ORACLE,
+}
