@@ -146,9 +146,9 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = 10, lists: in
 
 ORACLE = rf"""
 WITH w AS (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'),
-             '{NOT_A_WORD}'), x -> x <> '') AS words, row_number() OVER () AS line FROM documents),
+             '{NOT_A_WORD}'), lambda x: x <> '') AS words, row_number() OVER () AS line FROM documents),
 b AS (SELECT item_id, list_filter(string_split_regex(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'),
-             '{NOT_A_WORD}'), x -> x <> '') AS words FROM benchmark),
+             '{NOT_A_WORD}'), lambda x: x <> '') AS words FROM benchmark),
 win AS (SELECT DISTINCT item_id, least(len(words), 10) AS n, array_to_string(words[i:i + 9], ' ') AS phrase
         FROM (SELECT *, unnest(range(1, greatest(len(words) - 9, 1) + 1)) AS i FROM b WHERE len(words) > 0)),
 sizes AS (SELECT DISTINCT n FROM win),
