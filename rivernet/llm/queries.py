@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rivernet.llm import decontaminate
+from rivernet.llm import decontaminate, jaccard_join
 from rivernet.llm.common import scratch, table
 
 
@@ -42,9 +42,7 @@ def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from rivernet.llm.decontaminate import contamination
-
-    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,6 +51,10 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from rivernet.llm.toxicity import score_toxicity
 
@@ -72,10 +74,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_html_text": op4_html_text,
     "op6_decontaminate": op6_decontaminate,
     "op7_quality_rules": op7_quality_rules,
+    "op8_jaccard_join": op8_jaccard_join,
     "op9_toxicity": op9_toxicity,
     "op10_lm_score": op10_lm_score,
 }
 
 ORACLE: dict[str, str] = {
     "op6_decontaminate": decontaminate.ORACLE,
+    "op8_jaccard_join": jaccard_join.ORACLE,
 }
