@@ -41,6 +41,12 @@ def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_main_text(table(spark, sf_dir, "pages"))
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rivernet.llm.suffix_dedup import remove_repeats
+
+    return remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -72,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bpe_automaton": op2_bpe_automaton,
     "op3_language_id": op3_language_id,
     "op4_html_text": op4_html_text,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_decontaminate": op6_decontaminate,
     "op7_quality_rules": op7_quality_rules,
     "op8_jaccard_join": op8_jaccard_join,
