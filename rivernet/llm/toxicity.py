@@ -276,9 +276,11 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, per_class: int = 2500, te
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, learn_from: Column | None = None, id_col: str = "doc_id",
-                   text_col: str = "text", label_col: str = "toxic", **training: int) -> DataFrame:
+                   text_col: str = "text", label_col: str = "toxic", carry: tuple[str, ...] = (),
+                   **training: int) -> DataFrame:
     """One row per row of ``docs``: doc_id, held_out, score, predicted, evidence
-    (ids of the nearest examples, nearest first).
+    (ids of the nearest examples, nearest first), and the columns named in
+    ``carry`` under names that begin with ``carry_``.
 
     Labels are learned from rows of ``labels`` where ``learn_from`` holds, by
     default crc32(doc_id as text) mod 5 <> 0; a null label is no label, and of
@@ -289,7 +291,9 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, learn_from: Column | None
     ship(docs.sparkSession)
     learn = F.coalesce(learn_from if learn_from is not None else fold(labels[id_col], 5) != 0, F.lit(False))
     known = labels.where(learn).select(labels[id_col].alias("doc_id"), labels[label_col].cast("int").alias("toxic"))
-    source = docs.select(docs[id_col].alias("doc_id"), F.coalesce(docs[text_col], F.lit("")).alias("text"))
+    source = docs.select(docs[id_col].alias("doc_id"), F.coalesce(docs[text_col], F.lit("")).alias("text"),
+                         *(docs[c].alias(f"carry_{c}") for c in carry))
+    carried = [f"carry_{c}" for c in carry]
     model = docs.sparkSession.sparkContext.broadcast(train_toxicity(source, known, **training))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -301,10 +305,11 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, learn_from: Column | None
             got = [trained.score(t) if trained is not None else (0.0, []) for t in rows]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array([g[0] for g in got], pa.float64()),
-                 pa.array([g[1] for g in got], pa.list_(batch.column("doc_id").type))],
-                ["doc_id", "score", "evidence"])
+                 pa.array([g[1] for g in got], pa.list_(batch.column("doc_id").type)),
+                 *(batch.column(c) for c in carried)], ["doc_id", "score", "evidence", *carried])
 
     kind = source.schema["doc_id"].dataType.simpleString()
-    scored = source.mapInArrow(run, f"doc_id {kind}, score double, evidence array<{kind}>")
+    more = "".join(f", {c} {source.schema[c].dataType.simpleString()}" for c in carried)
+    scored = source.mapInArrow(run, f"doc_id {kind}, score double, evidence array<{kind}>{more}")
     return scored.select("doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score",
-                         (F.col("score") >= 0.5).cast("int").alias("predicted"), "evidence")
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"), "evidence", *carried)
