@@ -69,7 +69,9 @@ class Automaton:
         self.known: dict[tuple[int, int], bool] = {}  # arcs already looked up
 
     def _gadget(self, rank: int, left: str, right: str) -> None:
-        u, v = self.index[left], self.index[right]
+        u, v = self.index.get(left), self.index.get(right)
+        if u is None or v is None:
+            return  # a part that no merge makes
         state, after = self.enters[u], self.enters[v]
         if left + right in self.index or not self.arc(state, v):
             return  # no path u, v is left: the merge never applies
