@@ -84,11 +84,6 @@ def canonical_pair(a, b) -> tuple[Column, Column]:
     return F.greatest(_c(a), _c(b)), F.least(_c(a), _c(b))
 
 
-def fill_missing_direction(df: DataFrame, columns, sentinel: int = MISSING) -> DataFrame:
-    """NULLs of an absent path direction become the sentinel."""
-    return df.withColumns({c: F.coalesce(F.col(c), F.lit(sentinel)) for c in columns})
-
-
 def round_metres(x) -> Column:
     """Whole metres, half away from zero."""
     return F.round(_c(x)).cast("int")

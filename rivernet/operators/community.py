@@ -2,17 +2,19 @@
 by a slope threshold, for a whole ladder of thresholds at once.
 
 The reference's community section cannot run (Q5); this is its intended
-computation re-aimed: one long table ``(t, wrid, vid, cluster)``.  Every arc
-is exploded to the thresholds under which it survives (no cross join), and
-one component search runs with ``(wrid, t)`` as the key.
+computation re-aimed: one long table ``(t, wrid, vid, cluster)``.  An arc is
+there for a range of thresholds; components are searched, with ``(wrid, t)``
+as the key, for the thresholds at which some arc of the region comes or goes,
+and their rows are repeated up to the next one.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .iterate import connected_components
+from .iterate import connected_components, cut
 from .network import Network
 
 
@@ -28,16 +30,25 @@ def threshold_clusters(network: Network, attr: str = "slope_average", first: int
     nat = network.arcs.where(F.col("direction") == "downstream").select("wrid", "src", "dst", attr)
     x = F.col(attr)
     if keep == "le":
-        lo = F.greatest(F.lit(first), F.ceil(x * d).cast("int") - 1)
-        rng = F.when(lo <= last, F.sequence(lo, F.lit(last)))
+        low = F.greatest(F.lit(first), F.ceil(x * d).cast("int") - 1)
+        low = F.when(x <= low / d, low).otherwise(low + 1)
+        high = F.lit(last)
     else:
-        hi = F.least(F.lit(last), F.floor(x * d).cast("int") + 1)
-        rng = F.when(hi >= first, F.sequence(F.lit(first), hi))
-    arcs = nat.select("wrid", "src", "dst", attr, F.explode(rng).alias("i"))
-    t = F.col("i") / d
-    arcs = arcs.where((x <= t) if keep == "le" else (x >= t))
-    verts = network.vertices.select(
-        "wrid", "vid", F.explode(F.sequence(F.lit(first), F.lit(last))).alias("i"))
-    comp = connected_components(verts, arcs, keys=("wrid", "i"), vertex="vid")
-    return comp.select("i", (F.col("i") / d).alias("t"), "wrid", "vid",
-                       F.col("component").alias("cluster"))
+        low = F.lit(first)
+        high = F.least(F.lit(last), F.floor(x * d).cast("int") + 1)
+        high = F.when(x >= high / d, high).otherwise(high - 1)
+    arcs = (nat.select("wrid", "src", "dst", low.cast("int").alias("low"), high.cast("int").alias("high"))
+            .where(F.col("low") <= F.col("high")))
+    # clusters change only where an arc comes or goes; one search for each such index
+    ends = arcs.select("wrid", F.explode(F.array("low", F.col("high") + 1)).alias("i"))
+    here = (network.vertices.select("wrid", F.lit(first).alias("i")).unionAll(ends)
+            .where(F.col("i") <= last).distinct())
+    by = W.partitionBy("wrid").orderBy("i")  # at most one row for each threshold
+    here = cut(here.withColumn("until", F.coalesce(F.lead("i").over(by) - 1, F.lit(last))), "ladder")
+    alive = (arcs.join(here, "wrid").where((F.col("i") >= F.col("low")) & (F.col("i") <= F.col("high")))
+             .select("wrid", "src", "dst", "i"))
+    verts = network.vertices.select("wrid", "vid").join(here.select("wrid", "i"), "wrid")
+    comp = connected_components(verts, alive, keys=("wrid", "i"), vertex="vid")
+    out = (comp.withColumnRenamed("i", "low").join(here.withColumnRenamed("i", "low"), ["wrid", "low"])
+           .withColumn("i", F.explode(F.sequence("low", "until"))))
+    return out.select("i", (F.col("i") / d).alias("t"), "wrid", "vid", F.col("component").alias("cluster"))

@@ -72,12 +72,8 @@ class Layers:
         return self.spark.table(self.name)
 
     def has(self, level: int) -> bool:
-        """Whether ``level`` holds rows: an empty level writes no partition
-        folder, so this is a file-system look-up, not a Spark job."""
-        jvm = self.spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(f"{self.path}/level={level}")
-        fs = p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        return bool(fs.exists(p))
+        """Whether ``level`` holds rows (one row of it is looked for)."""
+        return not self.level(level).isEmpty()
 
     def level(self, level: int) -> DataFrame:
         return self.all().where(F.col("level") == level).drop("level")
@@ -86,8 +82,7 @@ class Layers:
 
 def connected_components(vertices: DataFrame, edges: DataFrame,
                          keys: Sequence[str] = ("wrid",), vertex: str = "vid",
-                         src: str = "src", dst: str = "dst",
-                         max_rounds: int = 200) -> DataFrame:
+                         src: str = "src", dst: str = "dst") -> DataFrame:
     """Weak components.  Returns ``keys + [vertex, "component"]`` where
     ``component`` is the smallest vertex id of the component.
 
@@ -100,7 +95,7 @@ def connected_components(vertices: DataFrame, edges: DataFrame,
              .select(*keys, F.greatest(src, dst).alias("hi"), F.least(src, dst).alias("lo"))
              .distinct())
     pairs = cut(pairs)
-    for _ in range(max_rounds):
+    while True:  # a round that changes nothing ends it; rounds are logarithmic
         # large-star: every pair (hi, lo) -> (hi, m(lo)), m(u) = smallest neighbour of u or u
         m = pairs.groupBy(*keys, F.col("hi").alias("lo")).agg(F.min("lo").alias("m"))
         large = (pairs.join(m, [*keys, "lo"], "left")
@@ -121,8 +116,6 @@ def connected_components(vertices: DataFrame, edges: DataFrame,
         pairs = small
         if bad == 0:
             break
-    else:
-        raise RuntimeError("connected_components did not converge")
     parent = pairs.select(*keys, F.col("hi").alias(vertex), F.col("lo").alias("component"))
     v = vertices.select(*keys, vertex).distinct()
     return (v.join(parent, [*keys, vertex], "left")
@@ -131,7 +124,7 @@ def connected_components(vertices: DataFrame, edges: DataFrame,
 
 def reach(arcs: DataFrame, sources: DataFrame, keys: Sequence[str] = ("wrid",),
           a: str = "a", b: str = "b", src: str = "src",
-          max_hops: int | None = None, step: int = 2) -> DataFrame:
+          step: int = 2) -> DataFrame:
     """All vertices reachable from each source over ``a -> b`` arcs.
 
     ``sources`` has ``keys + [src]``; ``arcs`` has ``keys + [a, b]``.  Extra key
@@ -167,8 +160,6 @@ def reach(arcs: DataFrame, sources: DataFrame, keys: Sequence[str] = ("wrid",),
         visited = layers.all().select(*keys, "src", "v")
         cand = (frontier.withColumnRenamed("v", "_a").join(hops, [*keys, "_a"])
                 .select(*keys, "src", F.col("_b").alias("v"), (F.col("hop") + F.col("_h")).alias("hop")))
-        if max_hops is not None:
-            cand = cand.where(F.col("hop") <= max_hops)
         new = (cand.join(visited, [*keys, "src", "v"], "left_anti")
                .groupBy(*keys, "src", "v").agg(F.min("hop").alias("hop")))
         frontier = layers.append(new, level)

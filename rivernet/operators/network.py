@@ -12,7 +12,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.exprs import STATS, classify_vertex, exact_avg, fill_edge_stats, is_lake
+from ..functions.exprs import (STATS, classify_vertex, direction_weight, exact_avg, fill_edge_stats,
+                               is_lake)
 from .iterate import connected_components, cut
 
 STAT_COLUMNS = [f"{p}_{s}" for p in ("altitude", "slope") for s in STATS]
@@ -204,15 +205,15 @@ def drop_small_clusters(vertices: DataFrame, arcs: DataFrame,
 def add_reverse_arcs(arcs: DataFrame) -> DataFrame:
     """G5 (+X8, X9, U3): every arc copied with ends swapped, ``upstream``.
 
-    ``dir_weight`` is 0 on all arcs, as in the reference where it is set
-    before the reversed arcs exist (Q2)."""
-    fwd = arcs.withColumn("direction", F.lit("downstream"))
-    rev = arcs.select(*[F.col("dst").alias("src") if c == "src" else
+    ``dir_weight`` (X9) is set before the reversed arcs exist, so these copy
+    the 0 of their arc, as in the reference (Q2)."""
+    fwd = (arcs.withColumn("direction", F.lit("downstream"))
+           .withColumn("dir_weight", direction_weight()))
+    rev = fwd.select(*[F.col("dst").alias("src") if c == "src" else
                         F.col("src").alias("dst") if c == "dst" else
                         F.lit("upstream").alias("direction") if c == "direction" else F.col(c)
-                        for c in arcs.columns])
-    both = fwd.unionByName(rev.select(*fwd.columns))
-    return both.withColumn("dir_weight", F.lit(0))
+                        for c in fwd.columns])
+    return fwd.unionByName(rev)
 
 
 def compile_network(lines: DataFrame, nodes: DataFrame, edges: DataFrame,
@@ -241,15 +242,17 @@ def compile_network(lines: DataFrame, nodes: DataFrame, edges: DataFrame,
     return Network(v, arcs)
 
 
-def max_lake_id(nodes: DataFrame) -> DataFrame:
-    """Largest lake id per region (the offset of X5)."""
-    return nodes.groupBy("wrid").agg(F.max("lakeid").alias("max_lakeid"))
+def max_lake_id(lakes: DataFrame) -> DataFrame:
+    """Largest lake id per region (the offset of X5), over all of its
+    lakes ``(wrid, lakeid)``, not only those that a node lies on."""
+    return lakes.groupBy("wrid").agg(F.max("lakeid").alias("max_lakeid"))
 
 
-def assign_node_lake(nodes: DataFrame, cat: str = "node_id") -> DataFrame:
-    """Nodes without a lake get ``cat + max(lakeid)`` of their region, so
-    that every node has a vertex id that cannot clash with a lake id."""
-    m = max_lake_id(nodes)
+def assign_node_lake(nodes: DataFrame, lakes: DataFrame, cat: str = "node_id") -> DataFrame:
+    """Nodes without a lake get ``cat + max(lakeid)`` over the lakes of
+    their region, so that every node has a vertex id that cannot clash with a
+    lake id."""
+    m = max_lake_id(lakes)
     return (nodes.join(m, "wrid", "left")
             .withColumn("lakeid", F.coalesce(F.col("lakeid"),
                                              F.col(cat) + F.coalesce("max_lakeid", F.lit(0))))

@@ -48,15 +48,14 @@ def walk_arcs(network: Network) -> DataFrame:
         "slope_stddev", "dir_weight")
 
 
-def shortest_paths(arcs: DataFrame, sources: DataFrame, weight: str | None = None,
-                   max_hops: int | None = None) -> DataFrame:
+def shortest_paths(arcs: DataFrame, sources: DataFrame, weight: str | None = None) -> DataFrame:
     """Best path from each source to every reachable vertex.
 
     ``arcs`` from :func:`walk_arcs` (or any frame with ``wrid, a, b, lab,
     cat, len_mm``); ``sources(wrid, src)``.  Returns ``(wrid, src, v, hops,
-    len_mm, arc_ids)``.  ``weight="dir_weight"`` ranks by the summed weight
-    first (Dijkstra order is then approximated by BFS layers, exact for 0/1
-    weights that are all 0 as in the reference).
+    len_mm, arc_ids)``.  ``weight`` names a column of weights >= 0 whose sum
+    ranks first; a path of more arcs can then be better, so a vertex is walked
+    on from again whenever its best path has improved, until none does.
     """
     spark = arcs.sparkSession
     step_t = "struct<dst:bigint,lab:int,cat:bigint,src:bigint>"
@@ -89,26 +88,30 @@ def shortest_paths(arcs: DataFrame, sources: DataFrame, weight: str | None = Non
                      F.expr(f"CAST(array() AS array<{step_t}>)").alias("arc_ids")))
     frontier = layers.append(seeds, 0)
     level = 0
-    while max_hops is None or level < max_hops:
+    while True:
         level += 1
-        visited = layers.all().select("wrid", "src", "v")
         cand = frontier.join(w, ["wrid", "v"]).select(
             "wrid", "src", F.col("b").alias("v"),
             (F.col("hops") + F.col("h")).alias("hops"),
             (F.col("cost") + F.col("wt")).alias("cost"),
             (F.col("len_mm") + F.col("alen")).alias("len_mm"),
             F.concat("arc_ids", "steps").alias("arc_ids"))
-        if max_hops is not None:
-            cand = cand.where(F.col("hops") <= max_hops)
-        cand = cand.join(visited, ["wrid", "src", "v"], "left_anti")
-        best = (cand.groupBy("wrid", "src", "v")
-                .agg(F.min(F.struct(*order)).alias("p"))
-                .select("wrid", "src", "v", "p.hops", "p.cost", "p.len_mm", "p.arc_ids"))
+        if weight is None:  # found earlier is found with fewer arcs
+            cand = cand.join(layers.all().select("wrid", "src", "v"), ["wrid", "src", "v"], "left_anti")
+        best = cand.groupBy("wrid", "src", "v").agg(F.min(F.struct(*order)).alias("p"))
+        if weight is not None:
+            old = (layers.all().groupBy("wrid", "src", "v").agg(F.min(F.struct(*order)).alias("old")))
+            best = (best.join(old, ["wrid", "src", "v"], "left")
+                    .where(F.col("old").isNull() | (F.col("p") < F.col("old"))))
+        best = best.select("wrid", "src", "v", "p.hops", "p.cost", "p.len_mm", "p.arc_ids")
         frontier = layers.append(best, level)
         if not layers.has(level):
             break
     w.unpersist()
-    return layers.all().select("wrid", "src", "v", "hops", "len_mm", "arc_ids")
+    if weight is None:
+        return layers.all().select("wrid", "src", "v", "hops", "len_mm", "arc_ids")
+    return (layers.all().groupBy("wrid", "src", "v").agg(F.min(F.struct(*order)).alias("p"))
+            .select("wrid", "src", "v", "p.hops", "p.len_mm", "p.arc_ids"))
 
 
 def lake_vertices(network: Network, focal: DataFrame | None = None) -> DataFrame:

@@ -13,7 +13,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .iterate import Layers, reach
+from .iterate import connected_components, cut
 from .network import edge_profile
 from .spatial import _cells, point_in_polygon, ring_segments
 
@@ -93,40 +93,25 @@ def stream_gradient(d8: DataFrame, keys=()) -> DataFrame:
 def flow_accumulation(d8: DataFrame, keys=()) -> DataFrame:
     """Cells draining through each cell, itself included.
 
-    Level-synchronous: a cell is final once all cells draining into it are
-    final; each round moves the finished frontier one step downstream, so
-    the work is linear in the cells and the rounds follow the longest flow
-    path.  Every round is written to the checkpoint folder."""
+    Pointer doubling on the drainage forest: after k rounds a cell counts the
+    cells less than 2^k steps above it and points 2^k steps down, so the rounds
+    are logarithmic in the longest flow path.  Every round is written to the
+    checkpoint folder."""
     keys = list(keys)
-    k = [*keys, "row", "col"]
-    spark = d8.sparkSession
-    edges = (d8.where(F.col("d").isNotNull()).select(*k, "nrow", "ncol")
-             .repartition(*keys, "nrow", "ncol").persist())
-    has_inflow = edges.select(*keys, F.col("nrow").alias("row"), F.col("ncol").alias("col"))
-    done = Layers(spark, "accum", k)
-    sources = (d8.select(*k).join(has_inflow, k, "left_anti")
-               .withColumn("acc", F.lit(1).cast("long")))
-    frontier = done.append(sources, 0)
-    rnd = 0
-    while True:
-        rnd += 1
-        # cells downstream of the frontier, then all their inflowing cells
-        cand = (frontier.join(edges, k).select(*keys, F.col("nrow").alias("row"),
-                                               F.col("ncol").alias("col")).distinct())
-        kids = (cand.withColumnsRenamed({"row": "nrow", "col": "ncol"})
-                .join(edges, [*keys, "nrow", "ncol"])
-                .join(done.all().select(*k, "acc"), k, "left")
-                .groupBy(*keys, "nrow", "ncol")
-                .agg(F.count("*").alias("n"), F.count("acc").alias("n_done"),
-                     F.sum("acc").alias("s")))
-        ready = (kids.where(F.col("n") == F.col("n_done"))
-                 .select(*keys, F.col("nrow").alias("row"), F.col("ncol").alias("col"),
-                         (F.col("s") + 1).alias("acc")))
-        frontier = done.append(ready, rnd)
-        if not done.has(rnd):
-            break
-    edges.unpersist()
-    return done.all().select(*k, "acc")
+    k, p = [*keys, "row", "col"], [*keys, "nrow", "ncol"]
+    state = cut(d8.select(*k, F.when(F.col("d").isNotNull(), F.col("nrow")).alias("nrow"),
+                          F.when(F.col("d").isNotNull(), F.col("ncol")).alias("ncol"),
+                          F.lit(1).cast("long").alias("acc")), "accum")
+    while not state.where(F.col("nrow").isNotNull()).isEmpty():
+        moving = state.where(F.col("nrow").isNotNull())
+        above = (moving.groupBy(*p).agg(F.sum("acc").alias("more"))
+                 .withColumnsRenamed({"nrow": "row", "ncol": "col"}))
+        ahead = state.select(*keys, F.col("row").alias("nrow"), F.col("col").alias("ncol"),
+                             F.col("nrow").alias("row2"), F.col("ncol").alias("col2"))
+        state = cut(state.join(above, k, "left").join(ahead, p, "left")
+                    .select(*k, F.col("row2").alias("nrow"), F.col("col2").alias("ncol"),
+                            (F.col("acc") + F.coalesce("more", F.lit(0))).alias("acc")), "accum")
+    return state.select(*k, "acc")
 
 
 def extract_streams(d8: DataFrame, acc: DataFrame, threshold: int = 2000,
@@ -143,19 +128,18 @@ def extract_streams(d8: DataFrame, acc: DataFrame, threshold: int = 2000,
     inflow = nxt.groupBy(*keys, F.col("nrow").alias("row"), F.col("ncol").alias("col")) \
         .agg(F.count("*").alias("inflow"))
     s2 = s.join(inflow, k, "left").fillna(0, ["inflow"])
-    sources = s2.where("inflow = 0").select(*keys, F.struct(*k).alias("src"))
-    # arcs of first-order chains: into a cell with exactly one stream inflow
+    # first-order chains are the components, with a source, of the arcs into
+    # cells with exactly one stream inflow
     arcs = (nxt.join(s2.select(*keys, F.col("row").alias("nrow"), F.col("col").alias("ncol"),
                                "inflow"), [*keys, "nrow", "ncol"])
             .where("inflow = 1")
-            .select(*keys, F.struct(*k).alias("a"),
-                    F.struct(*keys, F.col("nrow").alias("row"), F.col("ncol").alias("col")).alias("b")))
-    chain = reach(arcs, sources, keys=keys, a="a", b="b", src="src")
-    members = (chain.select(*keys, "src", F.col("v").alias("cell"))
-               .unionByName(sources.select(*keys, "src", F.col("src").alias("cell"))))
-    size = members.groupBy(*keys, "src").agg(F.count("*").alias("n"))
-    short = (members.join(size, [*keys, "src"])
-             .where(F.col("n") < round(min_length_m / resolution))
+            .select(*keys, F.struct("row", "col").alias("src"),
+                    F.struct(F.col("nrow").alias("row"), F.col("ncol").alias("col")).alias("dst")))
+    cells = s2.select(*keys, F.struct("row", "col").alias("cell"), "inflow")
+    chain = connected_components(cells, arcs, keys=keys, vertex="cell").join(cells, [*keys, "cell"])
+    by_chain = chain.groupBy(*keys, "component").agg(F.count("*").alias("n"), F.min("inflow").alias("least"))
+    short = (chain.join(by_chain, [*keys, "component"])
+             .where((F.col("least") == 0) & (F.col("n") < round(min_length_m / resolution)))
              .select(*keys, F.col("cell.row").alias("row"), F.col("cell.col").alias("col")))
     return s.join(short, k, "left_anti")
 

@@ -1,4 +1,4 @@
-"""Per-region guards and per-cluster reports."""
+"""Per-region guards and per-cluster reports."""
 
 from __future__ import annotations
 
@@ -9,17 +9,11 @@ from ..functions.exprs import combination_count, is_lake
 from .network import Network
 
 
-def capped_count(df: DataFrame, n: int = 10) -> int:
-    """Count of at most ``n`` rows (``LIMIT n`` then count)."""
-    return df.limit(n).count()
-
-
 def region_guard(lines: DataFrame, nodes: DataFrame, network: Network,
-                 all_arcs: DataFrame, cap: int = 10) -> DataFrame:
-    """Per region the figures the reference stops on, and the reason a
-    region is skipped (NULL = region kept).  Counts are capped at ``cap`` as
-    in the reference (``LIMIT 10``); nothing ends the run: failing regions are
-    reported here and left out downstream."""
+                 all_arcs: DataFrame) -> DataFrame:
+    """Per region the figures the reference stops on, in full, and the
+    reason a region is skipped (NULL = region kept).  Nothing ends the run:
+    failing regions are reported here and left out downstream."""
     regions = (nodes.select("wrid").unionByName(lines.select("wrid"))
                .unionByName(all_arcs.select("wrid")).distinct())
     n_lines = lines.groupBy("wrid").agg(F.count("*").alias("n"))
@@ -32,7 +26,7 @@ def region_guard(lines: DataFrame, nodes: DataFrame, network: Network,
     for name, t in (("streams", n_lines), ("lakes", n_lakes), ("arcs", n_arcs),
                     ("clusters", n_cl)):
         out = out.join(t.withColumnRenamed("n", name), "wrid", "left")
-    out = out.withColumns({c: F.least(F.coalesce(c, F.lit(0)), F.lit(cap)).cast("int")
+    out = out.withColumns({c: F.coalesce(c, F.lit(0)).cast("long")
                            for c in ("streams", "lakes", "arcs", "clusters")})
     reason = (F.when(F.col("streams") == 0, "no streams")
               .when(F.col("lakes") < 2, "fewer than two lakes")

@@ -43,14 +43,21 @@ def _ordered_ids(cond) -> F.Column:
     return F.array_join(F.transform(items, lambda x: x["v"].cast("string")), ",")
 
 
-def lake_summary(network: Network, area_digits: int = 6) -> DataFrame:
+def lake_summary(network: Network) -> DataFrame:
     """One row per lake of the kept clusters, 16 columns (NULL where a lake
-    has no lake downstream / upstream, Q11)."""
+    has no lake downstream / upstream, Q11).
+
+    Only the upstream search runs: lake S lies downstream of lake L exactly
+    when L lies upstream of S, as many arcs away."""
     v = network.vertices
     lakes = v.where(is_lake("area_ha"))
-    r = reach_both(network, lakes.select("wrid", F.col("vid").alias("src")))
+    up_arcs = directed_arcs(network.arcs).where(F.col("dir") == "up").select("wrid", "a", "b")
+    found = reach(up_arcs, lakes.select("wrid", F.col("vid").alias("src")), keys=("wrid",))
     attrs = v.select("wrid", F.col("vid").alias("v"), is_lake("area_ha").alias("lake"), "area_ha")
-    r = r.join(attrs, ["wrid", "v"])
+    above = found.join(attrs, ["wrid", "v"]).withColumn("dir", F.lit("up"))
+    below = (above.where("lake").select("wrid", F.col("v").alias("src"), F.col("src").alias("v"), "hop")
+             .join(attrs, ["wrid", "v"]).withColumn("dir", F.lit("down")))
+    r = above.unionByName(below)
     down = (F.col("dir") == "down") & F.col("lake")
     up = (F.col("dir") == "up") & F.col("lake")
     agg = r.groupBy("wrid", "src").agg(
@@ -72,15 +79,15 @@ def lake_summary(network: Network, area_digits: int = 6) -> DataFrame:
     return out.select(
         "wrid", "cluster", F.col("lakeid").alias("lakeID"), "typ", "indegree", "outdegree",
         F.coalesce("neighborhood_size", F.lit(1)).alias("neighborhood_size"),
-        F.round("cluster_lake_area_ha", area_digits).alias("cluster_lake_area_ha"),
+        "cluster_lake_area_ha",
         "cluster_lake_n",
         none_if_empty("downstream_lakes", "downstream_lakes_n").alias("downstream_lakes"),
         none_if_empty("downstream_lakes_n", "downstream_lakes_n").alias("downstream_lakes_n"),
-        F.round(none_if_empty("downstream_lakes_area_ha", "downstream_lakes_n"), area_digits)
+        none_if_empty("downstream_lakes_area_ha", "downstream_lakes_n")
         .alias("downstream_lakes_area_ha"),
         none_if_empty("first_downstream_lake", "downstream_lakes_n").alias("first_downstream_lake"),
         none_if_empty("upstream_lakes", "upstream_lakes_n").alias("upstream_lakes"),
         none_if_empty("upstream_lakes_n", "upstream_lakes_n").alias("upstream_lakes_n"),
-        F.round(none_if_empty("upstream_lakes_area_ha", "upstream_lakes_n"), area_digits)
+        none_if_empty("upstream_lakes_area_ha", "upstream_lakes_n")
         .alias("upstream_lakes_area_ha"),
     )

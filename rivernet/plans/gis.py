@@ -89,7 +89,8 @@ def gis_section(catchments: DataFrame, lakes: DataFrame, streams: DataFrame,
     near = cut(G.nearest_polygon(pts, lakes_k, dmax=snap, size=size, key="wrid"), "near")
     nodes = near.select(F.col("pid.wrid").alias("wrid"), F.col("pid.id").alias("node_id"),
                         F.col("lakeid.id").alias("lakeid"))
-    nodes = assign_node_lake(nodes)
+    nodes = assign_node_lake(nodes, lakes_full_k.select(
+        F.col("fid.wrid").alias("wrid"), F.col("fid.id").alias("lakeid")).distinct())
     areas = G.polygon_area_ha(lakes_full_k).select(
         F.col("fid.wrid").alias("wrid"), F.col("fid.id").alias("lakeid"), "area_ha")
     nodes = cut(attach_lake_area(nodes, areas).select("wrid", "node_id", "lakeid", "area_ha"), "nodes")

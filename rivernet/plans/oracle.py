@@ -335,7 +335,7 @@ FOCAL_COMBINATIONS_SQL = with_clause(
     NETWORK_CTES, EDGE_CTES, combination_ctes("area_ha >= 5"), views=EDGE_VIEWS) + COMBINATION_TAIL
 
 THRESHOLD_SQL = with_clause(NETWORK_CTES, EDGE_CTES, views=EDGE_VIEWS) + """,
-th AS (SELECT CAST(i AS INTEGER) AS i, i / 200 AS t FROM range(0, 21) r(i)),
+th AS (SELECT CAST(i AS INTEGER) AS i, i / 200 AS t FROM range(0, 201) r(i)),
 ta AS (SELECT th.i, a.wrid, a.src, a.dst FROM pc_arcs a JOIN th ON a.slope_average <= th.t),
 tu AS (SELECT i, wrid, src AS a, dst AS b FROM ta UNION SELECT i, wrid, dst, src FROM ta),
 tcc(i, wrid, vid, lbl) AS (
@@ -345,6 +345,19 @@ tcc(i, wrid, vid, lbl) AS (
 SELECT i, i / 200 AS t, wrid, vid, min(lbl) AS cluster FROM tcc GROUP BY i, wrid, vid
 """
 
+#: Lakes of a region: those of its nodes, those on a border, and one far beyond
+#: both that no node and no border knows.
+REGION_LAKES = """, region_lakes AS (
+SELECT wrid, lakeid FROM fx_nodes WHERE area_ha IS NOT NULL
+UNION ALL SELECT wrid, left_lake FROM fx_adjacency UNION ALL SELECT wrid, right_lake FROM fx_adjacency
+UNION ALL SELECT wrid, 1000000 + max(node_id) FROM fx_nodes WHERE wrid % 2 = 0 GROUP BY wrid)
+"""
+
+
+def _lakes(tail: str) -> str:
+    return with_clause(views=("fx_nodes", "fx_adjacency")) + REGION_LAKES + tail
+
+
 NETWORK_ORACLE: dict[str, str] = {
     "G13_threshold_clusters": THRESHOLD_SQL,
     "G12_lake_summary": LAKE_SUMMARY_SQL,
@@ -370,11 +383,10 @@ SELECT raw,
        CASE WHEN d IS NOT NULL AND NOT (d = floor(d) AND abs(d) < 9.2e18) THEN d END AS as_double,
        CASE WHEN d IS NULL THEN trim(raw) END AS as_text
 FROM c""",
-    "X5_assign_node_lake": with_clause(views=("fx_nodes",)) + """
+    "X5_assign_node_lake": _lakes("""
 SELECT n.wrid, n.node_id,
        coalesce(CASE WHEN n.area_ha IS NOT NULL THEN n.lakeid END, n.node_id + coalesce(m.mx, 0)) AS lakeid
-FROM fx_nodes n LEFT JOIN (SELECT wrid, max(lakeid) AS mx FROM fx_nodes
-                           WHERE area_ha IS NOT NULL GROUP BY wrid) m ON m.wrid = n.wrid""",
+FROM fx_nodes n LEFT JOIN (SELECT wrid, max(lakeid) AS mx FROM region_lakes GROUP BY wrid) m ON m.wrid = n.wrid"""),
     "X6_is_lake": _net("SELECT wrid, vid, lake FROM nw_typ"),
     "X12_canonical_pair": with_clause(views=("fx_adjacency",)) + """
 SELECT wrid, greatest(left_lake, right_lake) AS from_lakeid, least(left_lake, right_lake) AS to_lakeid
@@ -404,22 +416,21 @@ FROM nw_cstat WHERE cluster_lake_n >= 2"""),
 SELECT wrid, src, dst, line_cat, 'downstream' AS direction, 0 AS dir_weight FROM nw_nat
 UNION ALL
 SELECT wrid, dst, src, line_cat, 'upstream', 0 FROM nw_nat"""),
-    "A6_max_lake_id": with_clause(views=("fx_nodes",)) + """
-SELECT wrid, max(lakeid) AS max_lakeid FROM fx_nodes WHERE area_ha IS NOT NULL GROUP BY wrid""",
+    "A6_max_lake_id": _lakes("SELECT wrid, max(lakeid) AS max_lakeid FROM region_lakes GROUP BY wrid"),
     "J5_attach_lake_area": with_clause(views=("fx_nodes",)) + """
 SELECT n.wrid, n.lakeid, n.node_id, l.area_ha
 FROM fx_nodes n LEFT JOIN (SELECT DISTINCT wrid, lakeid, area_ha FROM fx_nodes
                            WHERE area_ha IS NOT NULL) l ON l.wrid = n.wrid AND l.lakeid = n.lakeid""",
-    "A15_O6_region_guard": _net("""
+    "A15_region_guard": _net("""
 , rg AS (
   SELECT wrid FROM fx_nodes UNION SELECT wrid FROM fx_lines UNION SELECT wrid FROM nw_arcs
 ), rg2 AS (
 SELECT r.wrid,
-       CAST(least(coalesce((SELECT count(*) FROM fx_lines l WHERE l.wrid = r.wrid), 0), 10) AS INTEGER) AS streams,
-       CAST(least(coalesce((SELECT count(DISTINCT lakeid) FROM fx_nodes n WHERE n.wrid = r.wrid
-                            AND n.area_ha > 0), 0), 10) AS INTEGER) AS lakes,
-       CAST(least(coalesce((SELECT count(*) FROM nw_arcs a WHERE a.wrid = r.wrid), 0), 10) AS INTEGER) AS arcs,
-       CAST(least(coalesce((SELECT count(DISTINCT cluster) FROM nw_vert v WHERE v.wrid = r.wrid), 0), 10) AS INTEGER) AS clusters
+       CAST(coalesce((SELECT count(*) FROM fx_lines l WHERE l.wrid = r.wrid), 0) AS BIGINT) AS streams,
+       CAST(coalesce((SELECT count(DISTINCT lakeid) FROM fx_nodes n WHERE n.wrid = r.wrid
+                            AND n.area_ha > 0), 0) AS BIGINT) AS lakes,
+       CAST(coalesce((SELECT count(*) FROM nw_arcs a WHERE a.wrid = r.wrid), 0) AS BIGINT) AS arcs,
+       CAST(coalesce((SELECT count(DISTINCT cluster) FROM nw_vert v WHERE v.wrid = r.wrid), 0) AS BIGINT) AS clusters
 FROM rg r)
 SELECT *, CASE WHEN streams = 0 THEN 'no streams' WHEN lakes < 2 THEN 'fewer than two lakes'
                WHEN arcs = 0 THEN 'no arcs' WHEN clusters = 0 THEN 'no cluster with two lakes'

@@ -60,7 +60,5 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def work_partitions(spark: SparkSession) -> int:
     """Partition count for explicit repartitions and bucketed level tables:
-    the session's shuffle partitions, but no more than four per core of the
-    cluster (a 200-partition default on a laptop only makes tiny files)."""
-    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(1, min(shuffle, 4 * spark.sparkContext.defaultParallelism))
+    the session's shuffle partitions."""
+    return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
