@@ -45,16 +45,16 @@ def run(spark: SparkSession, out: str, lines: DataFrame | None = None,
     if "network_compilation" in sections:
         lines, nodes, edges, adjacency = (_regions(x, wrids) for x in (lines, nodes, edges, adjacency))
         net = compile_network(lines, nodes, edges, adjacency, min_lakes=min_lakes)
-        io.save_network(net, f"{out}/network")
+        io.save_network(net, f"{out}/network", wrids)
         guard = region_guard(lines, nodes, net, net.arcs.where(F.col("direction") == "downstream"))
-        io.write_partitioned(guard, f"{out}/regions")
+        io.write_partitioned(guard, f"{out}/regions", wrids=wrids)
         results["regions"] = io.read_partitioned(spark, f"{out}/regions", wrids)
     net = io.load_network(spark, f"{out}/network", wrids)
     results["vertices"], results["arcs"] = net.vertices, net.arcs
     if "lake_combinations" in sections:
-        io.write_combinations(lake_combinations(net, focal=focal), f"{out}/lake_combinations")
+        io.write_combinations(lake_combinations(net, focal=focal), f"{out}/lake_combinations", wrids=wrids)
         results["lake_combinations"] = io.read_partitioned(spark, f"{out}/lake_combinations", wrids)
     if "lake_summary" in sections:
-        io.write_summary(lake_summary(net), f"{out}/lake_summary")
+        io.write_summary(lake_summary(net), f"{out}/lake_summary", wrids)
         results["lake_summary"] = io.read_partitioned(spark, f"{out}/lake_summary", wrids)
     return results

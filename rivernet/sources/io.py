@@ -1,8 +1,9 @@
 """Sources and sinks.
 
 Results are parquet tables partitioned by ``wrid``; a rewrite of some
-regions replaces exactly their partitions (dynamic partition overwrite), the
-other regions stay as they were.  Writers range-partition on ``(wrid, key)``
+regions replaces exactly their partitions (dynamic partition overwrite), also
+those of regions that have no row any more; the other regions stay as they
+were.  Writers range-partition on ``(wrid, key)``
 first, so a very large region is spread over many tasks and files while
 small regions share tasks.
 """
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.exprs import MISSING
+from ..operators.iterate import cut
 from ..session import work_partitions
 
 # ---------------------------------------------------------------------------
@@ -81,13 +83,23 @@ def read_adjacency(df: DataFrame) -> DataFrame:
 
 
 def write_partitioned(df: DataFrame, path: str, order=(), partitions: int | None = None,
-                      mode: str = "overwrite") -> None:
+                      mode: str = "overwrite", wrids=None) -> None:
     """Write ``df`` partitioned by ``wrid``; an overwrite replaces only the
-    regions present in ``df`` (S6-S9, S11)."""
-    n = partitions or work_partitions(df.sparkSession)
+    regions present in ``df`` (S6-S9, S11).  With ``wrids`` (list or
+    DataFrame) the old rows of these regions go even where ``df`` has none."""
+    spark = df.sparkSession
+    n = partitions or work_partitions(spark)
+    if wrids is not None:
+        df = cut(df, "rows")  # may be read from the table that is rewritten
     out = df.repartitionByRange(n, "wrid", *order).sortWithinPartitions("wrid", *order)
     (out.write.mode(mode).option("partitionOverwriteMode", "dynamic")
      .partitionBy("wrid").parquet(path))
+    if wrids is not None:
+        stored = select_region(spark.read.parquet(path), wrids, column="wrid").select("wrid").distinct()
+        empty = spark.createDataFrame([], df.drop("wrid").schema)
+        # one folder for each region that became empty
+        for row in stored.join(df.select("wrid").distinct(), "wrid", "left_anti").collect():
+            empty.write.mode("overwrite").parquet(f"{path}/wrid={row['wrid']}")
 
 
 def read_partitioned(spark: SparkSession, path: str, wrids=None) -> DataFrame:
@@ -98,17 +110,17 @@ def read_partitioned(spark: SparkSession, path: str, wrids=None) -> DataFrame:
     return select_region(df, wrids, column="wrid")
 
 
-def write_edges(edges: DataFrame, path: str) -> None:
-    """Edges of the regions in ``edges`` replace their old rows."""
-    write_partitioned(edges, path, order=("cat",))
+def write_edges(edges: DataFrame, path: str, wrids=None) -> None:
+    """Edges of the regions in ``edges`` (and of ``wrids``) replace their old rows."""
+    write_partitioned(edges, path, order=("cat",), wrids=wrids)
 
 
-def write_nodes(nodes: DataFrame, path: str) -> None:
+def write_nodes(nodes: DataFrame, path: str, wrids=None) -> None:
     """As S6 for the vertices."""
-    write_partitioned(nodes, path, order=("gid",) if "gid" in nodes.columns else ("vid",))
+    write_partitioned(nodes, path, order=("gid",) if "gid" in nodes.columns else ("vid",), wrids=wrids)
 
 
-def write_combinations(pairs: DataFrame, path: str, sentinel: int | None = MISSING) -> None:
+def write_combinations(pairs: DataFrame, path: str, sentinel: int | None = MISSING, wrids=None) -> None:
     """Lake pairs; sorted inside files by ``from_lake, to_lake`` so that
     parquet min/max statistics prune look-ups by lake.  ``sentinel``
     replaces the -9999 of an absent direction (``None`` writes NULL)."""
@@ -116,18 +128,18 @@ def write_combinations(pairs: DataFrame, path: str, sentinel: int | None = MISSI
         cols = [c for c in pairs.columns if c.startswith(("upstream_", "downstream_"))]
         pairs = pairs.withColumns({c: F.when(F.col(c) != MISSING, F.col(c)).otherwise(
             F.lit(sentinel)).cast(pairs.schema[c].dataType) for c in cols})
-    write_partitioned(pairs, path, order=("from_lake", "to_lake"))
+    write_partitioned(pairs, path, order=("from_lake", "to_lake"), wrids=wrids)
 
 
-def write_summary(summary: DataFrame, path: str) -> None:
+def write_summary(summary: DataFrame, path: str, wrids=None) -> None:
     """Per-lake summary."""
-    write_partitioned(summary, path, order=("lakeID",))
+    write_partitioned(summary, path, order=("lakeID",), wrids=wrids)
 
 
-def save_network(network, path: str) -> None:
+def save_network(network, path: str, wrids=None) -> None:
     """The compiled graph as two region-partitioned tables."""
-    write_partitioned(network.vertices, f"{path}/vertices", order=("vid",))
-    write_partitioned(network.arcs, f"{path}/arcs", order=("src",))
+    write_partitioned(network.vertices, f"{path}/vertices", order=("vid",), wrids=wrids)
+    write_partitioned(network.arcs, f"{path}/arcs", order=("src",), wrids=wrids)
 
 
 def load_network(spark: SparkSession, path: str, wrids=None):

@@ -53,3 +53,37 @@ def test_square_tie_smaller_arc_ids(spark):
     pairs = {(r.from_lake, r.to_lake): r for r in lake_combinations(net).collect()}
     assert pairs[(1, 4)].lakes_along == "1,2,4"
     assert pairs[(2, 3)].upstream_length == 5 and pairs[(2, 3)].downstream_length == 5
+
+
+def test_weight_ranks_before_arcs(spark):
+    """A longer path that costs less wins, and is walked on from."""
+    from rivernet.operators.paths import shortest_paths
+
+    step = "wrid int, a bigint, b bigint, lab int, cat bigint, len_mm bigint, w int"
+    arcs = spark.createDataFrame([(1, 1, 4, 1, 9, 5, 1), (1, 1, 2, 0, 1, 5, 0), (1, 2, 3, 0, 2, 5, 0), (1, 3, 4, 0, 3, 5, 0),
+                                  (1, 4, 5, 0, 4, 5, 0)], step)
+    sources = spark.createDataFrame([(1, 1)], "wrid int, src bigint")
+    plain = {r["v"]: r["hops"] for r in shortest_paths(arcs, sources).collect()}
+    cheap = {r["v"]: r["hops"] for r in shortest_paths(arcs, sources, weight="w").collect()}
+    assert plain[4] == 1 and plain[5] == 2 and cheap[4] == 3 and cheap[5] == 4
+
+
+def test_offset_is_over_all_lakes(spark):
+    """A node id cannot clash with a lake that is known from a border only."""
+    from rivernet.operators.network import assign_node_lake
+
+    nodes = spark.createDataFrame([(1, 1, None), (1, 2, 10), (2, 5, None)], "wrid int, node_id bigint, lakeid bigint")
+    lakes = spark.createDataFrame([(1, 10), (1, 11), (2, 7)], "wrid int, lakeid bigint")
+    got = {(r["wrid"], r["node_id"]): r["lakeid"] for r in assign_node_lake(nodes, lakes).collect()}
+    assert got == {(1, 1): 12, (1, 2): 10, (2, 5): 12}
+
+
+def test_flow_along_a_long_path(spark):
+    """A straight path of 300 cells: the last cell drains them all."""
+    from rivernet.operators.raster import flow_accumulation
+
+    d8 = spark.range(300).select(F.lit(0).cast("bigint").alias("row"), F.col("id").alias("col"), F.lit(1).alias("d"),
+                                 F.lit(0).cast("bigint").alias("nrow"), (F.col("id") + 1).alias("ncol"))
+    d8 = d8.withColumn("d", F.when(F.col("col") < 299, F.col("d")))
+    got = {r["col"]: r["acc"] for r in flow_accumulation(d8).collect()}
+    assert got == {c: c + 1 for c in range(300)}
