@@ -204,6 +204,26 @@ def polygons_intersect(pa: DataFrame, pb: DataFrame, size: float = 1000.0) -> Da
     return cross.unionByName(a_in_b).unionByName(b_in_a).distinct()
 
 
+def streams_in_regions(lines: DataFrame, regions: DataFrame, size: float = 1000.0) -> DataFrame:
+    """A row per line and region that intersect, with the region as
+    ``water_region_id`` and as a list, ordered by line and region (O5)."""
+    pairs = lines_in_polygons(lines, regions, size)
+    return (pairs.groupBy("line", "polygon")
+            .agg(F.max("polygon").alias("water_region_id"),
+                 F.sort_array(F.collect_list("polygon")).alias("water_region_ids"))
+            .orderBy("line", "polygon").drop("polygon"))
+
+
+def lakes_in_regions(lakes: DataFrame, regions: DataFrame, size: float = 1000.0) -> DataFrame:
+    """A row per lake that meets a region, with the largest region id and
+    the list of all, ordered by lake (O5)."""
+    pairs = polygons_intersect(lakes, regions, size)
+    return (pairs.groupBy(F.col("a").alias("lakeid"))
+            .agg(F.max("b").alias("water_region_id"),
+                 F.sort_array(F.collect_list("b")).alias("water_region_ids"))
+            .orderBy("lakeid"))
+
+
 def regions_with_features(regions: DataFrame, features: DataFrame, size: float = 1000.0,
                           kind: str = "polygon") -> DataFrame:
     """Ids of regions that intersect any of the (already filtered)
@@ -432,21 +452,25 @@ def merge_chains(topology: DataFrame, lengths: DataFrame) -> DataFrame:
         F.sum("length_m").alias("length_m")).drop("component")
 
 
-def snap_points(points: DataFrame, threshold: float = 1.0, size: float | None = None) -> DataFrame:
-    """G1: points closer than ``threshold`` are merged, transitively; each
-    point gets the smallest ``(x, y)`` of its group.  ``points(pid, x, y)``."""
+def snap_points(points: DataFrame, threshold: float = 1.0, size: float | None = None,
+                keys=()) -> DataFrame:
+    """G1: points closer than ``threshold`` are merged, transitively, within
+    equal ``keys``; each point gets the smallest ``(x, y)`` of its group.
+    ``points(keys, pid, x, y)``.  Equal points are one point in the search, so
+    the ends that meet at a confluence do not pair up."""
+    keys = list(keys)
     size = size or max(threshold * 4, 1.0)
-    p = points.select("pid", "x", "y")
-    A = _cells(p, size, pad=threshold, xs=("x",), ys=("y",))
-    B = p.select(F.col("pid").alias("q"), F.col("x").alias("qx"), F.col("y").alias("qy")) \
+    p = points.select(*keys, "pid", "x", "y")
+    d = p.select(*keys, "x", "y").distinct()
+    A = _cells(d, size, pad=threshold, xs=("x",), ys=("y",))
+    B = d.select(*keys, F.col("x").alias("qx"), F.col("y").alias("qy")) \
         .withColumns({"gx": F.floor(F.col("qx") / size), "gy": F.floor(F.col("qy") / size)})
-    close = (A.join(B, ["gx", "gy"])
-             .where((F.col("pid") < F.col("q"))
+    here, there = F.struct("x", "y"), F.struct(F.col("qx").alias("x"), F.col("qy").alias("y"))
+    close = (A.join(B, [*keys, "gx", "gy"])
+             .where((here < there)
                     & (F.hypot(F.col("x") - F.col("qx"), F.col("y") - F.col("qy")) < threshold))
-             .select(F.lit(0).alias("k"), F.col("pid").alias("src"), F.col("q").alias("dst")))
-    comp = connected_components(p.select(F.lit(0).alias("k"), F.col("pid").alias("vid")), close,
-                                keys=("k",), vertex="vid")
-    tagged = comp.join(p.withColumnRenamed("pid", "vid"), "vid")
-    rep = tagged.groupBy("component").agg(F.min(F.struct("x", "y")).alias("s"))
-    return (tagged.join(rep, "component")
-            .select(F.col("vid").alias("pid"), F.col("s.x").alias("x"), F.col("s.y").alias("y")))
+             .select(*keys, here.alias("src"), there.alias("dst")))
+    # the smallest vertex of a component is its smallest (x, y)
+    comp = connected_components(d.select(*keys, here.alias("vid")), close, keys=keys, vertex="vid")
+    return (p.withColumn("vid", here).join(comp, [*keys, "vid"])
+            .select(*keys, "pid", F.col("component.x").alias("x"), F.col("component.y").alias("y")))

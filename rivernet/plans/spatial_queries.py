@@ -119,12 +119,27 @@ def q_merge_chains(spark, sf_dir):
 
 def q_snap_points(spark, sf_dir):
     ends = _stream_ends(spark, sf_dir)
-    ends = ends.select((F.col("pid.ogc_fid") * 2 + F.col("pid.end_no")).alias("pid"), "x", "y")
-    return G.snap_points(ends, threshold=1.0)
+    ends = ends.select((F.col("pid.ogc_fid") % 5).alias("wrid"),
+                       (F.col("pid.ogc_fid") * 2 + F.col("pid.end_no")).alias("pid"), "x", "y")
+    return G.snap_points(ends, threshold=20.5, keys=("wrid",))
+
+
+def q_streams_with_regions(spark, sf_dir):
+    return (G.streams_in_regions(_streams(spark, sf_dir), _catchments(spark, sf_dir))
+            .select(F.col("line").alias("ogc_fid"), "water_region_id",
+                    F.array_join(F.col("water_region_ids").cast("array<string>"), ",").alias("water_region_ids")))
+
+
+def q_lakes_with_regions(spark, sf_dir):
+    return (G.lakes_in_regions(_lakes(spark, sf_dir), _catchments(spark, sf_dir))
+            .select("lakeid", "water_region_id",
+                    F.array_join(F.col("water_region_ids").cast("array<string>"), ",").alias("water_region_ids")))
 
 
 QUERIES = {
     "J1_O5_streams_in_regions": q_streams_in_regions,
+    "J1_O5_streams_with_regions": q_streams_with_regions,
+    "J2_O5_lakes_with_regions": q_lakes_with_regions,
     "J2_lakes_in_regions": q_lakes_in_regions,
     "J3_regions_with_lakes": q_regions_with_lakes,
     "J4_nearest_lake": q_nearest_lake,
@@ -154,6 +169,29 @@ ORACLE = {
 SELECT DISTINCT s.ogc_fid, c.gid FROM fx_stream_line s JOIN fx_catchment c
 ON (c.y1 <= s.y0 AND s.y0 <= c.y2 AND least(s.x0, s.xm) <= c.x2 AND greatest(s.x0, s.xm) >= c.x1)
 OR (c.x1 <= s.xm AND s.xm <= c.x2 AND least(s.y0, s.y2) <= c.y2 AND greatest(s.y0, s.y2) >= c.y1)""",
+    "J1_O5_streams_with_regions": _W + """
+SELECT DISTINCT s.ogc_fid, c.gid AS water_region_id, CAST(c.gid AS VARCHAR) AS water_region_ids
+FROM fx_stream_line s JOIN fx_catchment c
+ON (c.y1 <= s.y0 AND s.y0 <= c.y2 AND least(s.x0, s.xm) <= c.x2 AND greatest(s.x0, s.xm) >= c.x1)
+OR (c.x1 <= s.xm AND s.xm <= c.x2 AND least(s.y0, s.y2) <= c.y2 AND greatest(s.y0, s.y2) >= c.y1)""",
+    "J2_O5_lakes_with_regions": _W + f"""
+SELECT l.id AS lakeid, max(c.gid) AS water_region_id,
+       string_agg(CAST(c.gid AS VARCHAR), ',' ORDER BY c.gid) AS water_region_ids
+FROM fx_lake_rect l JOIN fx_catchment c ON {_OVERLAP} GROUP BY l.id""",
+    "G1_snap_points": with_clause([
+        ("sp_pts", """
+SELECT ogc_fid % 5 AS wrid, ogc_fid * 2 AS pid, x0 AS x, y0 AS y FROM fx_stream_line
+UNION ALL SELECT ogc_fid % 5, ogc_fid * 2 + 1, xm, y2 FROM fx_stream_line"""),
+        ("sp_d", "SELECT DISTINCT wrid, x, y FROM sp_pts"),
+        ("sp_c", """
+SELECT a.wrid, a.x, a.y, b.x AS bx, b.y AS by FROM sp_d a JOIN sp_d b ON a.wrid = b.wrid
+AND abs(a.x - b.x) < 20.5 AND sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) < 20.5"""),
+        ("sp_r", """
+SELECT wrid, x, y, x AS rx, y AS ry FROM sp_d
+UNION SELECT r.wrid, r.x, r.y, c.bx, c.by FROM sp_r r JOIN sp_c c ON r.wrid = c.wrid AND r.rx = c.x AND r.ry = c.y"""),
+        ("sp_m", "SELECT wrid, x, y, min(struct_pack(x := rx, y := ry)) AS m FROM sp_r GROUP BY wrid, x, y"),
+    ], views=_SV) + """
+SELECT p.wrid, p.pid, m.m.x AS x, m.m.y AS y FROM sp_pts p JOIN sp_m m ON m.wrid = p.wrid AND m.x = p.x AND m.y = p.y""",
     "J2_lakes_in_regions": _W + f"""
 SELECT DISTINCT l.id, c.gid FROM fx_lake_rect l JOIN fx_catchment c ON {_OVERLAP}""",
     "J3_regions_with_lakes": _W + f"""

@@ -61,3 +61,10 @@ def test_shared_borders(spark):
     r = _rects(spark, [(1, 0.0, 0.0, 1.0, 1.0, None), (2, 1.0, 0.0, 2.0, 1.0, None),
                        (3, 5.0, 5.0, 6.0, 6.0, None)])
     assert [tuple(x) for x in G.shared_borders(r).collect()] == [(1, 2)]
+
+
+def test_snap_keeps_regions_apart(spark):
+    """Chains of close points merge inside a region only; equal points are one."""
+    rows = [(1, 1, 0.0, 0.0), (1, 2, 0.9, 0.0), (1, 3, 1.8, 0.0), (1, 4, 0.9, 0.0), (1, 5, 9.0, 0.0), (2, 6, 0.5, 0.0)]
+    got = G.snap_points(spark.createDataFrame(rows, "wrid int, pid long, x double, y double"), keys=("wrid",))
+    assert {r["pid"]: r["x"] for r in got.collect()} == {1: 0.0, 2: 0.0, 3: 0.0, 4: 0.0, 5: 9.0, 6: 0.5}
