@@ -275,23 +275,31 @@ def border_lakes(borders: DataFrame, categories: DataFrame) -> DataFrame:
     return borders.join(left, "left_cat", "left").join(right, "right_cat", "left")
 
 
-def shared_borders(polygons: DataFrame, key: str | None = None) -> DataFrame:
-    """Pairs of different polygons with an identical boundary segment
-    (either direction), ``(left_lake < right_lake)``, each pair once."""
-    s = ring_segments(polygons)
-    swap = (F.col("x1") > F.col("x2")) | ((F.col("x1") == F.col("x2")) & (F.col("y1") > F.col("y2")))
-    n = s.select("fid",
-                 F.when(swap, F.col("x2")).otherwise(F.col("x1")).alias("ax"),
-                 F.when(swap, F.col("y2")).otherwise(F.col("y1")).alias("ay"),
-                 F.when(swap, F.col("x1")).otherwise(F.col("x2")).alias("bx"),
-                 F.when(swap, F.col("y1")).otherwise(F.col("y2")).alias("by"))
-    a = n.withColumnRenamed("fid", "left_lake")
-    b = n.withColumnRenamed("fid", "right_lake")
-    j = a.join(b, ["ax", "ay", "bx", "by"]).where(F.col("left_lake") < F.col("right_lake"))
+def shared_borders(polygons: DataFrame, key: str | None = None, size: float = 1000.0) -> DataFrame:
+    """Pairs of different polygons whose borders share a stretch of
+    positive length (their vertices may differ), ``(left_lake < right_lake)``,
+    each pair once."""
+    s = ring_segments(polygons).select("fid", "x1", "y1", "x2", "y2")
+    other = s.select(F.col("fid").alias("pfid"), *[F.col(c).alias("p" + c) for c in ("x1", "y1", "x2", "y2")])
+    c = F.col
+    j = (_cells(s, size).join(_cells(other, size, xs=("px1", "px2"), ys=("py1", "py2")), ["gx", "gy"])
+         .where((c("fid") < c("pfid"))
+                & _first_cell_only(size, F.least(c("x1"), c("x2")), F.least(c("y1"), c("y2")),
+                                   F.least(c("px1"), c("px2")), F.least(c("py1"), c("py2")))))
     if key:
-        j = j.where(F.col("left_lake")[key] == F.col("right_lake")[key])
-    return (j
-            .select("left_lake", "right_lake").distinct())
+        j = j.where(F.col("fid")[key] == F.col("pfid")[key])
+    rx, ry = c("x2") - c("x1"), c("y2") - c("y1")
+
+    def off(x, y):   # 0 on the line through the segment
+        return (c(x) - c("x1")) * ry - (c(y) - c("y1")) * rx
+
+    def along(x, y):  # place along the segment, times its squared length
+        return (c(x) - c("x1")) * rx + (c(y) - c("y1")) * ry
+
+    t1, t2 = along("px1", "py1"), along("px2", "py2")
+    shared = ((off("px1", "py1") == 0) & (off("px2", "py2") == 0) & (t1 != t2)
+              & (F.greatest(t1, t2) > 0) & (F.least(t1, t2) < rx * rx + ry * ry))
+    return (j.where(shared).select(c("fid").alias("left_lake"), c("pfid").alias("right_lake")).distinct())
 
 
 def clip_lines_outside(lines: DataFrame, polygons: DataFrame, size: float = 1000.0,
@@ -300,7 +308,8 @@ def clip_lines_outside(lines: DataFrame, polygons: DataFrame, size: float = 1000
 
     Per line segment: parameters ``t`` where it meets polygon borders (from
     the grid join), sorted with 0 and 1 -> pieces -> a piece is kept when its
-    midpoint is in no polygon.  Zero-length pieces are dropped.  With
+    midpoint is in no polygon; a piece on a polygon's border is not in it, on
+    any side.  Pieces of at most 1e-9 of their segment are dropped.  With
     ``key``, ids are structs and only polygons with the same ``key`` field
     (e.g. the region) cut a line.  Returns ``(fid, part, seq, t0, t1, x1, y1,
     x2, y2)``."""
@@ -326,8 +335,9 @@ def clip_lines_outside(lines: DataFrame, polygons: DataFrame, size: float = 1000
     len2 = rx * rx + ry * ry
     # proper crossing: one t; collinear overlap: both border ends projected
     t_cross = F.array((qx * sy - qy * sx) / den)
-    t_coll = F.array(((c("px1") - c("x1")) * rx + (c("py1") - c("y1")) * ry) / len2,
-                     ((c("px2") - c("x1")) * rx + (c("py2") - c("y1")) * ry) / len2)
+    t_both = (((c("px1") - c("x1")) * rx + (c("py1") - c("y1")) * ry) / len2,
+              ((c("px2") - c("x1")) * rx + (c("py2") - c("y1")) * ry) / len2)
+    t_coll = F.array(*t_both)
     ts = j.select("sid", F.explode(F.when(den != 0, t_cross).otherwise(t_coll)).alias("t"))
     ts = ts.where((F.col("t") > 0) & (F.col("t") < 1))
     tlist = ts.groupBy("sid").agg(F.array_distinct(F.collect_list("t")).alias("ts"))
@@ -337,12 +347,18 @@ def clip_lines_outside(lines: DataFrame, polygons: DataFrame, size: float = 1000
     pieces = seg.select("sid", "x1", "y1", "x2", "y2", F.explode(F.arrays_zip(
         F.slice(bounds, 1, F.size(bounds) - 1), F.slice(bounds, 2, F.size(bounds)))).alias("iv"))
     pieces = pieces.select("sid", "x1", "y1", "x2", "y2", F.col("iv.0").alias("t0"),
-                           F.col("iv.1").alias("t1")).where(F.col("t1") > F.col("t0"))
+                           F.col("iv.1").alias("t1")).where(F.col("t1") - F.col("t0") > 1e-9)
     pieces = pieces.withColumns({
         "pid": F.struct("sid", "t0"),
         "x": c("x1") + (c("t0") + c("t1")) / 2 * (c("x2") - c("x1")),
         "y": c("y1") + (c("t0") + c("t1")) / 2 * (c("y2") - c("y1"))})
     covered = point_in_polygon(pieces.select("pid", "x", "y"), ext, size)
+    # pieces along a border of the polygon that their midpoint counts into
+    touched = (j.where(den == 0).select("sid", F.col("pfid").alias("fid"), F.least(*t_both).alias("lo"),
+                                        F.greatest(*t_both).alias("hi")))
+    on_border = (pieces.select("sid", "pid", ((F.col("t0") + F.col("t1")) / 2).alias("mid")).join(touched, "sid")
+                 .where((F.col("mid") > F.col("lo")) & (F.col("mid") < F.col("hi"))).select("pid", "fid").distinct())
+    covered = covered.join(on_border, ["pid", "fid"], "left_anti")
     if key:
         covered = covered.where(F.col("pid.sid.fid")[key] == F.col("fid")[key])
     covered = covered.select("pid").distinct()

@@ -68,3 +68,17 @@ def test_snap_keeps_regions_apart(spark):
     rows = [(1, 1, 0.0, 0.0), (1, 2, 0.9, 0.0), (1, 3, 1.8, 0.0), (1, 4, 0.9, 0.0), (1, 5, 9.0, 0.0), (2, 6, 0.5, 0.0)]
     got = G.snap_points(spark.createDataFrame(rows, "wrid int, pid long, x double, y double"), keys=("wrid",))
     assert {r["pid"]: r["x"] for r in got.collect()} == {1: 0.0, 2: 0.0, 3: 0.0, 4: 0.0, 5: 9.0, 6: 0.5}
+
+
+def test_clip_keeps_lines_along_every_border(spark):
+    sq = _rects(spark, [(1, 0.0, 0.0, 4.0, 4.0, None)])
+    for k, pts in enumerate([[(0, 1), (0, 3)], [(4, 1), (4, 3)], [(1, 0), (3, 0)], [(1, 4), (3, 4)]]):
+        out = G.clip_lines_outside(_line(spark, k, pts), sq).collect()
+        assert sum(abs(r.x2 - r.x1) + abs(r.y2 - r.y1) for r in out) == 2.0
+
+
+def test_borders_shared_in_part(spark):
+    """Polygons that meet along a stretch with different vertices are adjacent, at a corner not."""
+    sq = _rects(spark, [(1, 0.0, 0.0, 4.0, 4.0, None), (2, 4.0, 1.0, 6.0, 9.0, None), (3, 6.0, 9.0, 8.0, 10.0, None)])
+    got = G.shared_borders(sq).collect()
+    assert [(r["left_lake"], r["right_lake"]) for r in got] == [(1, 2)]
