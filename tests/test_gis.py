@@ -21,8 +21,9 @@ def test_gis_to_summary(spark):
             .unionByName(lines.select("wrid", F.col("to_node").alias("node_id"))).distinct())
     assert ends.join(nodes, ["wrid", "node_id"], "left_anti").count() == 0
     assert nodes.groupBy("wrid", "node_id").count().where("count > 1").count() == 0
-    # nodes on a lake carry its area, the others none
-    assert nodes.where(F.col("area_ha").isNotNull()).count() > 0
+    # no stream of this table meets a lake: no node carries an area, and none has a lake's id
+    assert nodes.where(F.col("area_ha").isNotNull()).count() == 0
+    assert nodes.where("lakeid < node_id").count() == 0
     assert lines.where(F.col("length_m") <= 0).count() == 0
     net = compile_network(lines, nodes, out["edges"], out["adjacency"])
     # one summary row for each lake of a kept cluster
