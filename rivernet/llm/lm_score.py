@@ -9,8 +9,8 @@ one task warms it up on a sample, then each task continues on its own part
 and the parameters are averaged by number of tokens.  Scores are normalised:
 batched matrix products give the whole softmax of each distinct context.
 
-Token counts cover all training texts.  The counts of the ``store`` most
-frequent tokens go to every task (a fixed bound); rarer tokens are joined to
+Token counts cover all training texts.  The counts of at most ``store``
+most frequent tokens go to every task (a fixed bound); rarer tokens are joined to
 the count table by the token itself.
 """
 
@@ -89,8 +89,13 @@ class Lexicon:
 
 
 def lexicon(table: DataFrame, words: int, tails: int, store: int) -> Lexicon:
-    frequent = table.orderBy(F.desc("c"), "word").limit(store)
-    rows = frequent.toPandas()  # at most ``store`` rows
+    # the least count of which no more than ``store`` tokens have it or more
+    least, room = 1 << 62, store
+    for c, n in sorted(((r["c"], r["n"]) for r in table.groupBy("c").agg(F.count("*").alias("n")).collect()), reverse=True):
+        if n > room:
+            break
+        least, room = c, room - n
+    rows = table.where(F.col("c") >= least).toPandas()  # at most ``store`` rows
     rows = rows.sort_values(["c", "word"], ascending=[False, True], kind="stable") if len(rows) else rows
     top = [bytes(w) for w in rows["word"]]
     counts = rows["c"].to_numpy(dtype=np.int64)
@@ -112,7 +117,7 @@ class LogBilinear:
     """Vectors of classes as context and as prediction, a weight vector for
     each place of the context, and a bias for each class."""
 
-    def __init__(self, frequency: np.ndarray, size: int = 24, context: int = 3, seed: int = 7) -> None:
+    def __init__(self, frequency: np.ndarray, size: int = 24, context: int = 2, seed: int = 7) -> None:
         rnd = np.random.default_rng(seed)
         m = len(frequency)
         self.noise = (frequency + 1.0) / (frequency + 1.0).sum()
@@ -133,7 +138,7 @@ class LogBilinear:
         self.sums[name][at] += grad * grad
         self.p[name][at] -= rate * grad / np.sqrt(self.sums[name][at])
 
-    def learn(self, context: np.ndarray, target: np.ndarray, rnd: np.random.Generator, noise: int = 64,
+    def learn(self, context: np.ndarray, target: np.ndarray, rnd: np.random.Generator, noise: int = 32,
               rate: float = 0.1) -> None:
         """One step of noise-contrastive estimation; the batch shares its noise."""
         p, b = self.p, len(target)
@@ -260,7 +265,7 @@ def averaged(rows: DataFrame, model: LogBilinear) -> LogBilinear:
     return model
 
 
-def train_model(train: DataFrame, lex: Lexicon, warm_tokens: int, batch_size: int = 2048) -> LogBilinear:
+def train_model(train: DataFrame, lex: Lexicon, warm_tokens: int, batch_size: int = 4096) -> LogBilinear:
     model = LogBilinear(lex.frequency)
     if not lex.n:
         return model
@@ -272,7 +277,7 @@ def train_model(train: DataFrame, lex: Lexicon, warm_tokens: int, batch_size: in
 
 
 def score_texts(docs: DataFrame, learn_from: Column | None = None, id_col: str = "doc_id", text_col: str = "text",
-                words: int = 960, tails: int = 64, store: int = 400_000, warm_tokens: int = 1_000_000) -> DataFrame:
+                words: int = 448, tails: int = 64, store: int = 400_000, warm_tokens: int = 1_000_000) -> DataFrame:
     """One row per row of ``docs``: doc_id, held_out, n_tokens, n_known,
     train_tokens, base_score, score.
 
