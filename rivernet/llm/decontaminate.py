@@ -1,11 +1,9 @@
 """Benchmark decontamination (operator 6), in DataFrame operations only.
 
-A distributed positional inverted index: the words of the training texts are
-stored once, each text under a row number; the postings (term, row, position)
-of a set of terms are read from that table.  For each window of benchmark
-words the lists of its rarest terms are moved by the terms' offsets and
-intersected; what is left is checked against the stored words (exact phrase),
-or may lie some words apart (proximity).
+A distributed positional inverted index: for each window of benchmark words
+the postings (term, text, position) of its rarest terms are stored; their
+lists are moved by the terms' offsets and intersected; what is left is checked
+against the text (exact phrase), or may lie some words apart (proximity).
 """
 
 from __future__ import annotations
@@ -21,6 +19,9 @@ NOT_A_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: A table of terms is broadcast only if it has no more rows than this.
 BROADCAST_ROWS = 500_000
+#: Lists so many times longer than a window's shortest are not read: checking
+#: the few places that are left against the text costs less.
+LONGER = 8
 
 
 def word_list(text: Column) -> Column:
@@ -32,11 +33,9 @@ def small(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
-def store_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The words of every text with a row number of its own: row, doc_id, words."""
-    return cut(texts(docs, id_col, text_col).select(
-        F.monotonically_increasing_id().alias("row"), "doc_id", word_list(F.col("text")).alias("words")),
-        "word-store")
+def training_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Columns row, doc_id, text; rows repeated with id and text share a row number."""
+    return texts(docs, id_col, text_col).withColumn("row", F.xxhash64("doc_id", "text"))
 
 
 def benchmark_windows(items: DataFrame, size: int, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
@@ -57,55 +56,59 @@ def benchmark_windows(items: DataFrame, size: int, id_col: str = "item_id", text
                .drop("hash"), "windows")
 
 
-def postings(store: DataFrame, terms: DataFrame, rows: int) -> DataFrame:
+def postings(source: DataFrame, terms: DataFrame, rows: int) -> DataFrame:
     """row, position and what ``terms`` holds for each occurrence of its terms."""
-    return (store.select("row", F.posexplode("words").alias("position", "word"))
+    return (source.select("row", F.posexplode(word_list(F.col("text"))).alias("position", "word"))
             .join(small(terms, rows), F.col("word") == F.col("term"), "inner").drop("word"))
 
 
-def rarest_terms(store: DataFrame, windows: DataFrame, lists: int) -> tuple[DataFrame, int]:
-    """The ``lists`` rarest terms of each window that can occur: term, window,
-    n, rank, offset, lists (how many of its terms are there)."""
+def rarest_terms(source: DataFrame, windows: DataFrame, lists: int) -> tuple[DataFrame, int]:
+    """The rarest terms of each window that can occur, at most ``lists`` and
+    none ``LONGER`` times as frequent as the rarest: term, window, n, rank,
+    offset, lists (how many of its terms are there)."""
     places = windows.select("window", "n", F.posexplode("words").alias("offset", "term"))
     terms = places.select("term").distinct()
-    counted = postings(store, terms, terms.count()).groupBy("term").agg(F.count("*").alias("frequency"))
+    counted = postings(source, terms, terms.count()).groupBy("term").agg(F.count("*").alias("frequency"))
     by_window = W.partitionBy("window")
     ranked = (places.join(counted, "term", "left")
               .withColumn("least", F.min(F.coalesce("frequency", F.lit(0))).over(by_window))
               .withColumn("rank", F.row_number().over(by_window.orderBy("frequency", "offset")) - 1)
-              .where((F.col("least") > 0) & (F.col("rank") < lists)))
-    chosen = cut(ranked.select("term", "window", "n", "rank", "offset",
-                               F.least("n", F.lit(lists)).alias("lists")), "rare-terms")
+              .where((F.col("least") > 0) & (F.col("rank") < lists) & (F.col("frequency") <= LONGER * F.col("least")))
+              .withColumn("lists", F.count("*").over(by_window)))
+    chosen = cut(ranked.select("term", "window", "n", "rank", "offset", "lists"), "rare-terms")
     return chosen, chosen.count()
 
 
-def moved_lists(store: DataFrame, chosen: DataFrame, rows: int) -> DataFrame:
-    """Postings as the word at which the window would begin: row, window, start, rank, lists."""
-    return (postings(store, chosen, rows)
-            .select("row", "window", (F.col("position") - F.col("offset")).alias("start"), "n", "rank", "lists"))
+def moved_lists(source: DataFrame, chosen: DataFrame, rows: int) -> DataFrame:
+    """Stored postings as the word at which the window would begin: row,
+    window, start, n, rank, lists."""
+    stored = cut(postings(source, chosen, rows), "postings")
+    return stored.select("row", "window", (F.col("position") - F.col("offset")).alias("start"), "n", "rank", "lists")
 
 
-def phrase_matches(store: DataFrame, windows: DataFrame, lists: int = 3) -> DataFrame:
+def phrase_matches(source: DataFrame, windows: DataFrame, lists: int = 3) -> DataFrame:
     """Every occurrence of every window: row, window, start, n."""
-    chosen, rows = rarest_terms(store, windows, lists)
-    met = (moved_lists(store, chosen, rows).where(F.col("start") >= 0)
+    chosen, rows = rarest_terms(source, windows, lists)
+    met = (moved_lists(source, chosen, rows).where(F.col("start") >= 0)
            .groupBy("row", "window", "start", "n", "lists")
            .agg(F.bit_or(F.expr("shiftleft(1, rank)")).alias("seen"))
            .where(F.col("seen") == F.pow(F.lit(2), F.col("lists")).cast("int") - 1))
     phrases = windows.select(F.col("window").alias("id"), F.col("words").alias("phrase"))
     asked = (met.join(small(phrases, rows), F.col("window") == F.col("id"), "inner")
-             .select(F.col("row").alias("at"), "window", "start", "n", "phrase"))
-    stored = store.select("row", "words")
-    return (asked.join(stored, (F.col("at") == F.col("row"))
-                       & (F.expr("slice(words, start + 1, n)") == F.col("phrase")), "inner")
-            .select("row", "window", "start", "n"))
+             .groupBy(F.col("row").alias("at"))
+             .agg(F.collect_list(F.struct("window", "start", "n", "phrase")).alias("asked")))
+    # the text of each row that is asked for is split once
+    return (source.select("row", "text").join(asked, F.col("row") == F.col("at"), "inner")
+            .select("row", word_list(F.col("text")).alias("words"), F.explode("asked").alias("x"))
+            .where(F.expr("slice(words, x.start + 1, x.n)") == F.col("x.phrase"))
+            .select("row", "x.window", "x.start", "x.n").distinct())
 
 
-def proximity_matches(store: DataFrame, windows: DataFrame, within: int, lists: int = 3) -> DataFrame:
+def proximity_matches(source: DataFrame, windows: DataFrame, within: int, lists: int = 3) -> DataFrame:
     """Places where the rarest terms of a window stand, each at most ``within``
     words away from where the phrase has it: row, window, start (by the rarest)."""
-    chosen, rows = rarest_terms(store, windows, lists)
-    moved = moved_lists(store, chosen, rows).withColumn("bin", F.floor(F.col("start") / (within + 1)))
+    chosen, rows = rarest_terms(source, windows, lists)
+    moved = moved_lists(source, chosen, rows).withColumn("bin", F.floor(F.col("start") / (within + 1)))
     first = moved.where("rank = 0").select("row", "window", "start", "lists",
                                            F.explode(F.array(*(F.col("bin") + d for d in (-1, 0, 1)))).alias("bin"))
     other = moved.where("rank > 0").select("row", "window", "bin", F.col("start").alias("near"), "rank")
@@ -126,9 +129,9 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = 10, lists: in
     each, repeated items count once by id.  Other columns are not read.  An
     empty benchmark hits nothing.
     """
-    store = store_words(docs, id_col, text_col)
+    source = training_texts(docs, id_col, text_col)
     windows = benchmark_windows(items, window, item_id, item_text)
-    found = cut(phrase_matches(store, windows, lists), "phrases")
+    found = cut(phrase_matches(source, windows, lists), "phrases")
     # a word counts once: first the distinct positions, then their number
     hit = (found.select("row", F.explode(F.expr("sequence(start, start + n - 1)")).alias("position"))
            .groupBy("row", "position").agg(F.lit(1).alias("one")).groupBy("row").agg(F.count("*").alias("n_hit")))
@@ -136,7 +139,7 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = 10, lists: in
     named = (found.select("row", "window").distinct().join(ids, F.col("window") == F.col("id"), "inner")
              .groupBy("row").agg(F.array_sort(F.collect_set("item")).alias("found")))
     per_row = hit.join(named, "row", "inner").select(F.col("row").alias("at"), "n_hit", "found")
-    return (store.select("row", "doc_id", F.size("words").cast("long").alias("n_words"))
+    return (source.select("row", "doc_id", F.size(word_list(F.col("text"))).cast("long").alias("n_words"))
             .join(per_row, F.col("row") == F.col("at"), "left")
             .select("doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
                     F.coalesce(F.size("found"), F.lit(0)).cast("long").alias("n_items"),
