@@ -121,16 +121,18 @@ class LogBilinear:
         rnd = np.random.default_rng(seed)
         m = len(frequency)
         self.noise = (frequency + 1.0) / (frequency + 1.0).sum()
+        self.log_noise = np.log(self.noise).astype(np.float32)
         self.p = {"given": rnd.normal(0, 0.1, (m, size)).astype(np.float32),
                   "place": np.ones((context, size), np.float32) / context,
                   "next": rnd.normal(0, 0.1, (m, size)).astype(np.float32),
-                  "bias": np.log(self.noise).astype(np.float32)}
+                  "bias": self.log_noise.copy()}
         self.sums = {k: np.full_like(v, 1e-2) for k, v in self.p.items()}
 
     def _step(self, name: str, rows: np.ndarray | None, grad: np.ndarray, rate: float) -> None:
         """Adagrad; gradients of a repeated row are summed first."""
         if rows is not None:
-            order = np.argsort(rows, kind="stable")
+            small = len(self.noise) <= 1 << 16
+            order = np.argsort(rows.astype(np.uint16) if small else rows, kind="stable")
             rows = rows[order]
             first = np.flatnonzero(np.append(True, rows[1:] != rows[:-1]))
             grad, rows = np.add.reduceat(grad[order], first, axis=0), rows[first]
@@ -138,30 +140,36 @@ class LogBilinear:
         self.sums[name][at] += grad * grad
         self.p[name][at] -= rate * grad / np.sqrt(self.sums[name][at])
 
-    def learn(self, context: np.ndarray, target: np.ndarray, rnd: np.random.Generator, noise: int = 32,
+    def learn(self, context: np.ndarray, target: np.ndarray, rnd: np.random.Generator, noise: int = 64,
               rate: float = 0.1) -> None:
         """One step of noise-contrastive estimation; the batch shares its noise."""
         p, b = self.p, len(target)
         drawn = rnd.choice(len(self.noise), noise, p=self.noise)
+        log_k = np.float32(np.log(noise))
         given = p["given"][context]                                   # b, places, size
-        q = (given * p["place"]).sum(1)
-        log_k = np.log(noise)
-        right = (q * p["next"][target]).sum(1) + p["bias"][target] - np.log(self.noise[target]) - log_k
-        wrong = q @ p["next"][drawn].T + p["bias"][drawn] - np.log(self.noise[drawn]) - log_k
-        g_right = (-1 / (1 + np.exp(np.clip(right, -30, 30)))).astype(np.float32)
-        g_wrong = (1 / (1 + np.exp(-np.clip(wrong, -30, 30)))).astype(np.float32)
-        g_q = g_right[:, None] * p["next"][target] + g_wrong @ p["next"][drawn]
-        g_next = np.concatenate([g_right[:, None] * q, g_wrong.T @ q]) / b
-        g_bias = np.concatenate([g_right, g_wrong.sum(0)]) / b
-        g_given = g_q[:, None, :] * p["place"] / b
-        g_place = (g_q[:, None, :] * given).mean(0)
+        q = np.einsum("bks,ks->bs", given, p["place"])
+        ahead, beside = p["next"][target], p["next"][drawn]
+        right = np.einsum("bs,bs->b", q, ahead) + (p["bias"][target] - self.log_noise[target] - log_k)
+        wrong = q @ beside.T
+        wrong += p["bias"][drawn] - self.log_noise[drawn] - log_k
+        g_right = -1 / (1 + np.exp(np.clip(right, -30, 30)))
+        g_wrong = np.clip(wrong, -30, 30, out=wrong)                  # in place: 1 / (1 + exp(-wrong))
+        np.negative(g_wrong, out=g_wrong)
+        np.exp(g_wrong, out=g_wrong)
+        g_wrong += 1
+        np.reciprocal(g_wrong, out=g_wrong)
+        g_q = g_right[:, None] * ahead + g_wrong @ beside
+        g_next = np.concatenate([g_right[:, None] * q, g_wrong.T @ q]) / np.float32(b)
+        g_bias = np.concatenate([g_right, g_wrong.sum(0)]) / np.float32(b)
+        g_place = np.einsum("bs,bks->ks", g_q, given) / np.float32(b)
+        g_given = g_q[:, None, :] * (p["place"] / np.float32(b))
         rows = np.concatenate([target, drawn])
         self._step("next", rows, g_next, rate)
         self._step("bias", rows, g_bias, rate)
         self._step("given", context.ravel(), g_given.reshape(-1, g_given.shape[-1]), rate)
         self._step("place", None, g_place, rate)
 
-    def log10_probabilities(self, context: np.ndarray, target: np.ndarray, block: int = 4096) -> np.ndarray:
+    def log10_probabilities(self, context: np.ndarray, target: np.ndarray, block: int = 256) -> np.ndarray:
         """log10 p(target | context), each distinct context normalised once."""
         base = len(self.noise)
         key = np.zeros(len(target), dtype=np.int64)
@@ -171,15 +179,18 @@ class LogBilinear:
         new = np.append(True, key[order][1:] != key[order][:-1])
         group = np.cumsum(new) - 1
         contexts = context[order[new]]
+        ahead = np.ascontiguousarray(self.p["next"].T)
         out = np.empty(len(target))
         for a in range(0, len(contexts), block):
             q = (self.p["given"][contexts[a:a + block]] * self.p["place"]).sum(1)
-            logits = q @ self.p["next"].T + self.p["bias"]
-            top = logits.max(1)
-            total = np.exp(logits - top[:, None]).sum(1, dtype=np.float64)
+            logits = q @ ahead
+            logits += self.p["bias"]
+            logits -= logits.max(1)[:, None]
             lo, hi = np.searchsorted(group, [a, a + block])
             rows, at = order[lo:hi], group[lo:hi] - a
-            out[rows] = (logits[at, target[rows]] - top[at] - np.log(total)[at]) / np.log(10)
+            own = logits[at, target[rows]].astype(np.float64)
+            np.exp(logits, out=logits)
+            out[rows] = (own - np.log(logits.sum(1).astype(np.float64))[at]) / np.log(10)
         return out
 
 
@@ -265,8 +276,8 @@ def averaged(rows: DataFrame, model: LogBilinear) -> LogBilinear:
     return model
 
 
-def train_model(train: DataFrame, lex: Lexicon, warm_tokens: int, batch_size: int = 4096) -> LogBilinear:
-    model = LogBilinear(lex.frequency)
+def train_model(train: DataFrame, lex: Lexicon, warm_tokens: int, batch_size: int = 2048, context: int = 3) -> LogBilinear:
+    model = LogBilinear(lex.frequency, context=context)
     if not lex.n:
         return model
     parts = 1 << 30
@@ -277,7 +288,7 @@ def train_model(train: DataFrame, lex: Lexicon, warm_tokens: int, batch_size: in
 
 
 def score_texts(docs: DataFrame, learn_from: Column | None = None, id_col: str = "doc_id", text_col: str = "text",
-                words: int = 448, tails: int = 64, store: int = 400_000, warm_tokens: int = 1_000_000) -> DataFrame:
+                words: int = 960, tails: int = 64, store: int = 400_000, warm_tokens: int = 1_000_000) -> DataFrame:
     """One row per row of ``docs``: doc_id, held_out, n_tokens, n_known,
     train_tokens, base_score, score.
 
