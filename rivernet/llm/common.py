@@ -35,6 +35,12 @@ def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
                        F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("text"))
 
 
+def row_key(id_col: str = "doc_id", text_col: str = "text") -> Column:
+    """A digest of id and text; a null text counts as an empty one.  Rows have
+    one key only if they are repeated with both."""
+    return F.xxhash64(F.col(id_col), F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+
+
 def fold(id_col: Column, n: int) -> Column:
     """crc32 of the id as text, modulo n; a null id counts as the empty text."""
     return F.crc32(F.coalesce(id_col.cast("string"), F.lit(""))) % n

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from rivernet.llm.common import cut, texts
+from rivernet.llm.common import cut, row_key, texts
 
 #: What separates words, and the letters that are lowered.
 NOT_A_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -35,7 +35,7 @@ def small(df: DataFrame, rows: int) -> DataFrame:
 
 def training_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Columns row, doc_id, text; rows repeated with id and text share a row number."""
-    return texts(docs, id_col, text_col).withColumn("row", F.xxhash64("doc_id", "text"))
+    return texts(docs, id_col, text_col).withColumn("row", row_key())
 
 
 def benchmark_windows(items: DataFrame, size: int, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
@@ -120,9 +120,10 @@ def proximity_matches(source: DataFrame, windows: DataFrame, within: int, lists:
 
 
 def contamination(docs: DataFrame, items: DataFrame, window: int = 10, lists: int = 3, id_col: str = "doc_id",
-                  text_col: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
+                  text_col: str = "text", item_id: str = "item_id", item_text: str = "text", with_row: bool = False) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_words, n_hit, n_items,
-    items_sha256, contaminated; see the module text for the method.
+    items_sha256, contaminated; see the module text for the method.  With
+    ``with_row`` also ``row``, the :func:`row_key` of the row.
 
     Null and empty texts and items have no words and match nothing; a null
     item id counts as an empty one.  Repeated rows of ``docs`` give one row
@@ -144,7 +145,7 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = 10, lists: in
             .select("doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
                     F.coalesce(F.size("found"), F.lit(0)).cast("long").alias("n_items"),
                     F.sha2(F.coalesce(F.array_join("found", ","), F.lit("")), 256).alias("items_sha256"),
-                    F.col("n_hit").isNotNull().alias("contaminated")))
+                    F.col("n_hit").isNotNull().alias("contaminated"), *(["row"] if with_row else [])))
 
 
 ORACLE = rf"""
