@@ -282,7 +282,9 @@ def train_model(train: DataFrame, lex: Lexicon, warm_tokens: int, batch_size: in
         return model
     parts = 1 << 30
     share = int(min(1.0, warm_tokens / lex.n) * parts)
-    warm = train.where(F.pmod(F.xxhash64("doc_id"), F.lit(parts)) <= share).coalesce(1)
+    # all tasks filter, by id and text (null ids are not one id); one task reads what they wrote
+    picked = train.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(parts)) <= share)
+    warm = cut(picked.select("text"), "lm-warm").coalesce(1)
     model = averaged(_train(warm, lex, model, 512, 0.1), model)
     return averaged(_train(train, lex, model, batch_size, 0.05), model)
 
