@@ -3,7 +3,7 @@
 A distributed positional inverted index: for each window of benchmark words
 the postings (term, text, position) of its rarest terms are stored; their
 lists are moved by the terms' offsets and intersected; what is left is checked
-against the text (exact phrase), or may lie some words apart (proximity).
+against the text, as an exact phrase or with words some places apart (proximity).
 """
 
 from __future__ import annotations
@@ -93,30 +93,49 @@ def phrase_matches(source: DataFrame, windows: DataFrame, lists: int = 3) -> Dat
            .groupBy("row", "window", "start", "n", "lists")
            .agg(F.bit_or(F.expr("shiftleft(1, rank)")).alias("seen"))
            .where(F.col("seen") == F.pow(F.lit(2), F.col("lists")).cast("int") - 1))
+    return (in_text(source, windows, met.select("row", "window", "start", "n"), rows)
+            .where(F.expr("slice(words, x.start + 1, x.n)") == F.col("x.phrase"))
+            .select("row", "x.window", "x.start", "x.n").distinct())
+
+
+def in_text(source: DataFrame, windows: DataFrame, met: DataFrame, rows: int) -> DataFrame:
+    """Candidates beside the text they are in: row, words, x (window, start, n, phrase)."""
     phrases = windows.select(F.col("window").alias("id"), F.col("words").alias("phrase"))
     asked = (met.join(small(phrases, rows), F.col("window") == F.col("id"), "inner")
              .groupBy(F.col("row").alias("at"))
              .agg(F.collect_list(F.struct("window", "start", "n", "phrase")).alias("asked")))
     # the text of each row that is asked for is split once
     return (source.select("row", "text").join(asked, F.col("row") == F.col("at"), "inner")
-            .select("row", word_list(F.col("text")).alias("words"), F.explode("asked").alias("x"))
-            .where(F.expr("slice(words, x.start + 1, x.n)") == F.col("x.phrase"))
-            .select("row", "x.window", "x.start", "x.n").distinct())
+            .select("row", word_list(F.col("text")).alias("words"), F.explode("asked").alias("x")))
+
+
+def all_near(within: int) -> Column:
+    """Whether the text ``words`` has every word of ``x.phrase`` at most
+    ``within`` words away from where the phrase, begun at ``x.start``, has it,
+    a word that the phrase repeats so many times: between any two of its
+    places the text, ``within`` words wider, has it as often as the phrase."""
+    ahead = f"greatest(x.start + i - {within}, 0)"
+    return F.expr(f"""forall(sequence(0, x.n - 1), i -> forall(sequence(i, x.n - 1), k ->
+        x.phrase[i] != x.phrase[k]
+        OR size(filter(slice(words, {ahead} + 1, greatest(x.start + k + {within} + 1 - {ahead}, 0)), w -> w = x.phrase[i]))
+           >= size(filter(slice(x.phrase, i + 1, k - i + 1), w -> w = x.phrase[i]))))""")
 
 
 def proximity_matches(source: DataFrame, windows: DataFrame, within: int, lists: int = 3) -> DataFrame:
-    """Places where the rarest terms of a window stand, each at most ``within``
-    words away from where the phrase has it: row, window, start (by the rarest)."""
+    """Places where all words of a window stand, each at most ``within`` words
+    away from where the phrase has it: row, window, start (by the rarest).  The
+    lists of the rarest terms find candidates; the text decides."""
     chosen, rows = rarest_terms(source, windows, lists)
     moved = moved_lists(source, chosen, rows).withColumn("bin", F.floor(F.col("start") / (within + 1)))
-    first = moved.where("rank = 0").select("row", "window", "start", "lists",
+    first = moved.where("rank = 0").select("row", "window", "start", "n", "lists",
                                            F.explode(F.array(*(F.col("bin") + d for d in (-1, 0, 1)))).alias("bin"))
     other = moved.where("rank > 0").select("row", "window", "bin", F.col("start").alias("near"), "rank")
     met = (first.join(other, ["row", "window", "bin"], "inner").where(F.abs(F.col("near") - F.col("start")) <= within)
-           .groupBy("row", "window", "start", "lists").agg(F.bit_or(F.expr("shiftleft(1, rank)")).alias("seen"))
+           .groupBy("row", "window", "start", "n", "lists").agg(F.bit_or(F.expr("shiftleft(1, rank)")).alias("seen"))
            .where(F.col("seen") + 1 == F.pow(F.lit(2), F.col("lists")).cast("int") - 1))
-    alone = moved.where("lists = 1").select("row", "window", "start")
-    return met.select("row", "window", "start").unionByName(alone)
+    alone = moved.where("lists = 1")
+    places = met.select("row", "window", "start", "n").unionByName(alone.select("row", "window", "start", "n")).distinct()
+    return in_text(source, windows, places, rows).where(all_near(within)).select("row", "x.window", "x.start").distinct()
 
 
 def contamination(docs: DataFrame, items: DataFrame, window: int = 10, lists: int = 3, id_col: str = "doc_id",
