@@ -10,6 +10,9 @@ Every byte inside a string of 200 bytes that also begins elsewhere is removed.
    blocks are sorted by suffix with :mod:`induced_sort` (external induced
    sorting with common prefixes); suffixes that share 200 bytes with a
    neighbour are repeats, and all windows of a block that occurs twice are.
+   A leader whose blocks would fill more than a shard is not brought to one:
+   its windows are dealt by a hash of all their 200 bytes and counted, since
+   equal windows have one hash.
 3. The repeats go back to all occurrences of their block.
 """
 
@@ -39,6 +42,7 @@ _STEP = 0xA0761D6478BD642F
 _BACK = pow(_STEP, -1, 1 << 64)
 _BLOCK = np.dtype([("lead", "<u8"), ("block", "<i8"), ("row", "<i8"), ("start", "<i8"), ("windows", "<i4"),
                    ("again", "u1")])
+_REPEATS = "block bigint, first array<bigint>, n array<bigint>"
 
 
 def _powers(base: int, n: int) -> np.ndarray:
@@ -100,6 +104,63 @@ def piece_blocks(raw: bytes, ends: np.ndarray, length: int, seed: int) -> np.nda
     return out
 
 
+def window_hashes(raw: bytes, length: int) -> np.ndarray:
+    """A hash of each window of ``length`` bytes; it depends on nothing else."""
+    b = np.frombuffer(raw, dtype=np.uint8)
+    n = len(b) - length + 1
+    out = np.zeros(n, dtype=np.uint64)
+    with np.errstate(over="ignore"):
+        sums = np.append(np.uint64(0), np.cumsum(_BYTE[b] * _powers(_STEP, len(b)), dtype=np.uint64))
+        out = (sums[length:] - sums[:n]) * _powers(_BACK, n)
+    out ^= out >> np.uint64(29)
+    out *= np.uint64(0xE7037ED1A0B428DB)
+    return out ^ (out >> np.uint64(32))
+
+
+def crowded_leads(asked: DataFrame, length: int, most: int) -> DataFrame:
+    """Leaders whose distinct blocks have more than ``most`` bytes: column crowd."""
+    size = F.sum(F.col("windows") + (length - 1))
+    return cut(asked.groupBy(F.col("lead").alias("crowd")).agg(size.alias("size")).where(F.col("size") > most)
+               .select("crowd"), "crowded")
+
+
+def counted_repeats(source: DataFrame, asked: DataFrame, length: int) -> DataFrame:
+    """Repeats of the blocks of crowded leaders by counts of their windows."""
+    by_row = (asked.withColumnRenamed("row", "wanted").groupBy("wanted")
+              .agg(F.collect_list(F.struct("block", "start", "windows")).alias("wants")))
+
+    def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for text, wants in zip(batch.column("text").to_pylist(), batch.column("wants").to_pylist(), strict=True):
+                raw = text.encode("utf-8", "surrogatepass")
+                for w in wants:
+                    h = window_hashes(raw[w["start"]:w["start"] + w["windows"] + length - 1], length)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(h.view(np.int64)), pa.array(np.full(len(h), w["block"], np.int64)),
+                         pa.array(np.arange(len(h)))], ["window", "block", "at"])
+
+    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            first, n = [], []
+            for places in batch.column("places").to_pylist():
+                at = np.array(places, dtype=np.int64)
+                heads = np.flatnonzero(np.append(True, np.diff(at) > 1))
+                first.append(at[heads])
+                n.append(np.diff(np.append(heads, len(at))))
+            yield pa.RecordBatch.from_arrays([batch.column("block"), pa.array(first, pa.list_(pa.int64())),
+                                              pa.array(n, pa.list_(pa.int64()))], ["block", "first", "n"])
+
+    # written first, so that the join below can split a window that very many blocks have
+    windows = cut(source.select("row", "text").join(by_row, F.col("row") == F.col("wanted"), "inner")
+                  .select("text", "wants").mapInArrow(fetch, "window bigint, block bigint, at bigint"), "crowd-windows")
+    twice = (windows.groupBy(F.col("window").alias("met")).agg(F.count("*").alias("c")).where("c > 1").select("met"))
+    found = (windows.join(twice, F.col("window") == F.col("met"), "inner").groupBy("block")
+             .agg(F.array_sort(F.collect_set("at")).alias("places")).mapInArrow(runs, _REPEATS))
+    whole = asked.where("times > 1").select("block", F.array(F.lit(0).cast("long")).alias("first"),
+                                            F.array(F.col("windows").cast("long")).alias("n"))
+    return found.unionByName(whole)
+
+
 def text_blocks(rows: list[int], raws: list[bytes], length: int, seed: int) -> Iterator[np.ndarray]:
     """Blocks of texts with their row numbers and starts within the text."""
     parts: list[bytes] = []
@@ -198,6 +259,12 @@ def block_repeats(source: DataFrame, occurrences: DataFrame, length: int) -> Dat
     one = (occurrences.groupBy("block")
            .agg(F.min(F.struct("row", "start", "windows", "lead")).alias("at"), F.count("*").alias("times")))
     asked = cut(one.select("block", "at.*", "times"), "asked")
+    crowded = crowded_leads(asked, length, SHARD)
+    crowd = None
+    if crowded.limit(1).count():
+        marked = asked.join(crowded, F.col("lead") == F.col("crowd"), "left")
+        crowd = counted_repeats(source, marked.where(F.col("crowd").isNotNull()).drop("crowd"), length)
+        asked = marked.where(F.col("crowd").isNull()).drop("crowd")
     size = asked.agg(F.sum(F.col("windows") + length)).first()[0] or 0
     by_row = (asked.withColumnRenamed("row", "wanted").groupBy("wanted")
               .agg(F.collect_list(F.struct("block", "lead", "start", "windows", "times")).alias("wants")))
@@ -240,8 +307,8 @@ def block_repeats(source: DataFrame, occurrences: DataFrame, length: int) -> Dat
     sent = (source.select("row", "text").join(by_row, F.col("row") == F.col("wanted"), "inner")
             .select("text", "wants").mapInArrow(fetch, "lead bigint, block bigint, times bigint, bytes binary"))
     width = max(shuffle_width(spark), int(size) // SHARD + 1)
-    return cut(sent.repartition(width, "lead").mapInArrow(sort, "block bigint, first array<bigint>, n array<bigint>"),
-               "block-repeats")
+    found = sent.repartition(width, "lead").mapInArrow(sort, _REPEATS)
+    return cut(found if crowd is None else found.unionByName(crowd), "block-repeats")
 
 
 def removed_spans(source: DataFrame, length: int = 200, seed: int = SEED) -> DataFrame:
