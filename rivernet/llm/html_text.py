@@ -50,6 +50,7 @@ _KIND_AT = {k: i for i, k in enumerate(FEATURES)}
 
 _MARK = re.compile(
     r"<!--.*?(?:-->|\Z)"
+    r"|<(?:svg|math)\b(?:\"[^\"]*\"|'[^']*'|[^>\"'])*+(?<=/)>"  # empty: hides nothing after it
     r"|<(?P<hidden>" + "|".join(HIDDEN) + r")\b(?:\"[^\"]*\"|'[^']*'|[^>\"'])*>.*?(?:</(?P=hidden)\s*>|\Z)"
     r"|<(?P<close>/?)(?P<name>[a-z][a-z0-9]*)(?P<rest>(?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>"
     r"|<[!?/][^>]*>", re.I | re.S)
