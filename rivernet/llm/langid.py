@@ -4,8 +4,10 @@ follow-the-regularised-leader (FTRL-proximal, McMahan et al. 2013) under
 elastic-net penalties, then calibrated by a temperature.
 
 Document frequencies are counted over every training text.  The weights are
-fitted on a sample of at most ``sample_rows`` of them (by a hash of the id),
-and one part of the sample, never fitted on, sets the temperature.
+fitted on a sample of about ``sample_rows`` distinct texts, as many of each
+label as of the others where there are so many, at least ``least``; one part of
+the sample, never fitted on, sets the temperature.  Probabilities are set to
+the table's shares of the labels.
 """
 
 from __future__ import annotations
@@ -108,6 +110,7 @@ class LanguageModel:
     temperature: float
     bits: int
     orders: tuple[int, ...]
+    prior: np.ndarray  # log of each class's share of the table over that of the sample
 
     def predict(self, text: str) -> tuple[str, float]:
         """The likeliest language and its probability; ``und`` and 0 for a
@@ -116,7 +119,7 @@ class LanguageModel:
         if not self.classes or not _LETTER.search(text):
             return "und", 0.0
         at, value = features(text, self.idf, self.bits, self.orders)
-        p = softmax(value @ self.weights[at] / self.temperature)
+        p = softmax(value @ self.weights[at] / self.temperature + self.prior)
         best = int(p.argmax())
         return self.classes[best], min(1.0, float(p[best]))
 
@@ -142,16 +145,38 @@ def document_frequency(train: DataFrame, bits: int, orders: tuple[int, ...]) ->
     return out[:-1], int(out[-1])
 
 
-def train_language_model(train: DataFrame, sample_rows: int = 4000, bits: int = 15,
-                         orders: tuple[int, ...] = (2, 3), epochs: int = 3) -> LanguageModel:
+def share_out(sizes: list[int], rows: int, least: int) -> int:
+    """The largest number such that taking so many of each size, or all, takes
+    at most ``rows``; ``least`` if that is larger."""
+    left, each = rows, 0
+    for k, n in enumerate(sorted(sizes)):
+        each = left // (len(sizes) - k)
+        if n > each:
+            break
+        left -= n
+        each = n
+    return max(each, least)
+
+
+def train_language_model(train: DataFrame, sample_rows: int = 10_000, bits: int = 15,
+                         orders: tuple[int, ...] = (2, 3), epochs: int = 3, least: int = 20) -> LanguageModel:
     """Fit on columns doc_id, text, label (label not null, text not null)."""
     df, n = document_frequency(train, bits, orders)
     idf = np.log((1 + n) / (1 + df)) + 1
-    # a hash of the id picks about sample_rows rows; its order settles what is over
-    share = min(1.0, sample_rows / max(n, 1))
-    order = F.xxhash64("doc_id", "label")
+    # a hash of label and text: a text that is repeated stands in the sample once
+    hashed = train.withColumn("order", F.xxhash64("label", "text"))
+    # one row for each label
+    sizes = (hashed.groupBy("label").agg(F.count("*").alias("n"), F.approx_count_distinct("order").alias("texts"))
+             .orderBy("label").collect())
+    if not sizes:
+        return LanguageModel([], idf, np.zeros((1 << bits, 0)), 1.0, bits, orders, np.zeros(0))
+    each = share_out([r["texts"] for r in sizes], sample_rows, least)
     parts = 1 << 30
-    picked = train.withColumn("order", order).where(F.pmod("order", F.lit(parts)) < F.lit(int(share * parts) + 1))
+    # a third more than wanted, since the numbers of texts are estimates; few are taken whole
+    limits = [(r["label"], int(min(1.0, (1.33 * each + 100) / max(r["texts"], 1)) * parts)) for r in sizes]
+    limit = F.broadcast(train.sparkSession.createDataFrame(limits, "of string, below bigint"))
+    picked = (hashed.join(limit, F.col("label") == F.col("of"), "inner")
+              .where(F.pmod("order", F.lit(parts)) < F.col("below")).dropDuplicates(["label", "order"]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -163,21 +188,24 @@ def train_language_model(train: DataFrame, sample_rows: int = 4000, bits: int =
 
     sample = (picked.select("order", "label", "text")
               .mapInArrow(run, "order bigint, label string, at binary, value binary")
-              .orderBy("order", "label", "at").limit(sample_rows).toPandas())
-    classes = sorted(set(sample["label"]))
-    if not classes:
-        return LanguageModel([], idf, np.zeros((1 << bits, 0)), 1.0, bits, orders)
+              .toPandas().sort_values(["order", "label"], kind="stable"))
+    rank = sample.groupby("label").cumcount().to_numpy()
+    sample, rank = sample[rank < each], rank[rank < each]
+    classes = [r["label"] for r in sizes]
     labels = np.array([classes.index(x) for x in sample["label"]], dtype=np.int64)
     rows = [(np.frombuffer(a, np.int32), np.frombuffer(v, np.float32))
             for a, v in zip(sample["at"], sample["value"], strict=True)]
-    held = np.arange(len(rows)) % 5 == 4
+    held = rank % 5 == 4
     model = Ftrl(1 << bits, len(classes))
     for _ in range(epochs):
         for i in np.flatnonzero(~held):
             model.learn(*rows[i], int(labels[i]))
     weights = model.weights()
     logits = np.array([v @ weights[a] for a, v in (rows[i] for i in np.flatnonzero(held))])
-    return LanguageModel(classes, idf, weights, temperature(logits, labels[held]), bits, orders)
+    # the sample takes labels alike; the probability is that of the table's shares
+    share = np.array([r["n"] for r in sizes]) / sum(r["n"] for r in sizes)
+    prior = np.log(share * len(labels) / np.bincount(labels, minlength=len(classes)))
+    return LanguageModel(classes, idf, weights, temperature(logits, labels[held]), bits, orders, prior)
 
 
 def identify_language(docs: DataFrame, learn_from: Column | None = None, id_col: str = "doc_id",
