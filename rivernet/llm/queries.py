@@ -79,6 +79,13 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_digests(find_runs(plant_runs(table(spark, sf_dir, "documents"))))
 
 
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rivernet.llm.token_files import store_tokens, token_digests
+
+    return token_digests(store_tokens(table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.json"),
+                                      scratch(spark, "token-file")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_bpe_automaton": op2_bpe_automaton,
@@ -91,6 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_toxicity": op9_toxicity,
     "op10_lm_score": op10_lm_score,
     "op11_periodic_runs": op11_periodic_runs,
+    "op13_token_files": op13_token_files,
 }
 
 ORACLE: dict[str, str] = {
