@@ -18,10 +18,9 @@ one table of 2**(longest code) entries.
 
 from __future__ import annotations
 
-import os
+import json
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 from typing import Any
 
 import numpy as np
@@ -30,12 +29,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rivernet.llm.common import chunks, cut, ship, shuffle_width, texts
-from rivernet.llm.presplit import is_plain, split_plain
-
-#: Words whose ids a worker keeps; beyond it the store is emptied.
-KEPT_WORDS = 500_000
-
+from rivernet.llm.common import cut, ship, shuffle_width, texts
+from rivernet.llm.word_ids import load
 
 @dataclass(frozen=True)
 class Layout:
@@ -53,71 +48,27 @@ class Layout:
 
 # --- ids of texts ---------------------------------------------------------
 
-class WordIds:
-    """Packed ids of texts by the ``tokenizers`` library.  Plain texts are cut
-    into the library's own words, each distinct one encoded once by it; it
-    encodes all other texts, and those that hold a special string, whole."""
-
-    def __init__(self, path: str, dtype: str) -> None:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.no_padding()
-        self.tokenizer.no_truncation()
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.dtype = dtype
-        self.words: dict[str, bytes] = {}
-
-    def pack(self, ids: list[int]) -> bytes:
-        return np.array(ids, dtype=self.dtype).tobytes()
-
-    def _whole(self, text: str) -> bytes:
-        return self.pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
-
-    def _learn(self, new: list[str]) -> None:
-        got = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        self.words.update((w, self.pack(g.ids)) for w, g in zip(new, got, strict=True))
-
-    def encode(self, rows: list[str]) -> Iterator[bytes]:
-        for _, part in chunks(rows):
-            easy = [is_plain(t) and not any(s in t for s in self.special) for t in part]
-            done = self._plain([t for t, e in zip(part, easy, strict=True) if e])
-            for t, e in zip(part, easy, strict=True):
-                yield next(done) if e else self._whole(t)
-
-    def _plain(self, rows: list[str]) -> Iterator[bytes]:
-        if not rows:
-            return
-        joined, begin, end, upto = split_plain(rows, keep_space=True)
-        words = [joined[b:e] for b, e in zip(begin, end, strict=True)]
-        distinct = set(words)
-        if len(self.words) + len(distinct) > KEPT_WORDS:
-            self.words.clear()
-        self._learn([w for w in distinct if w not in self.words])
-        known, at = self.words, 0
-        for to in upto.tolist():
-            yield b"".join(map(known.__getitem__, words[at:to]))
-            at = to
-
-
-@lru_cache(maxsize=2)
-def load(path: str, dtype: str) -> WordIds:
-    return WordIds(path, dtype)
-
-
-def encode_texts(docs: DataFrame, vocabulary: str, end_id: int, id_col: str = "doc_id",
+def id_bytes(vocabulary: str) -> int:
+    """Bytes that hold every id of a ``tokenizers`` file: 2 or 4."""
+    with open(vocabulary, encoding="utf-8") as f:
+        spec = json.load(f)
+    top = max([*spec["model"]["vocab"].values(), *(t["id"] for t in spec["added_tokens"])])
+    return 2 if top < 1 << 16 else 4
+
+
+def encode_texts(docs: DataFrame, vocabulary: str, end_id: int, width: int = 4, id_col: str = "doc_id",
                  text_col: str = "text") -> DataFrame:
-    """doc_id and ``ids`` (unsigned 32-bit, little-endian) of every whole text,
-    closed by ``end_id``.  A null text counts as empty.  No shuffle."""
+    """doc_id and ``ids`` (unsigned, little-endian, ``width`` bytes each) of
+    every whole text, closed by ``end_id``.  A null text counts as empty.  No
+    shuffle."""
     ship(docs.sparkSession)
     source = texts(docs, id_col, text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = load(vocabulary, "<u4")
-        end = words.pack([end_id])
+        words = load(vocabulary)
         for batch in batches:
-            ids = [x + end for x in words.encode(batch.column("text").to_pylist())]
+            ids = [np.append(x, end_id).astype(f"<u{width}").tobytes()
+                   for x in words.encode(batch.column("text").to_pylist())]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ids, pa.binary())], ["doc_id", "ids"])
 
     return source.mapInArrow(run, f"doc_id {source.schema['doc_id'].dataType.simpleString()}, ids binary")
@@ -220,13 +171,18 @@ class Code:
 
 # --- files ----------------------------------------------------------------
 
-def id_counts(frame: DataFrame) -> DataFrame:
+def id_counts(frame: DataFrame, width: int = 4) -> DataFrame:
     """(id, n) over all rows of ``frame(ids)``; a task counts what it reads first."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[int, int] = {}
         for batch in batches:
-            ids, n = np.unique(np.frombuffer(b"".join(batch.column("ids").to_pylist()), dtype="<u4"),
-                               return_counts=True)
+            own = np.frombuffer(b"".join(batch.column("ids").to_pylist()), dtype=f"<u{width}")
+            if width == 2:
+                n = np.bincount(own, minlength=1 << 16)
+                ids = np.flatnonzero(n)
+                n = n[ids]
+            else:
+                ids, n = np.unique(own, return_counts=True)
             for i, c in zip(ids.tolist(), n.tolist(), strict=True):
                 total[i] = total.get(i, 0) + c
         yield pa.RecordBatch.from_arrays([pa.array(total, pa.int64()), pa.array(total.values(), pa.int64())], ["id", "n"])
@@ -239,8 +195,8 @@ def block_schema(kind: str) -> str:
             "payload binary, every int, checkpoints array<bigint>")
 
 
-def write_token_file(frame: DataFrame, path: str, layout: Layout = Layout()) -> None:  # noqa: B008
-    """Write ``frame(doc_id, ids)`` (ids: unsigned 32-bit little-endian) to a
+def write_token_file(frame: DataFrame, path: str, layout: Layout = Layout(), width: int = 4) -> None:  # noqa: B008
+    """Write ``frame(doc_id, ids)`` (unsigned, little-endian, ``width`` bytes each) to a
     new folder, in ascending order of doc_id (nulls first; equal ids in order
     of their content).
 
@@ -253,7 +209,7 @@ def write_token_file(frame: DataFrame, path: str, layout: Layout = Layout()) ->
     spark = frame.sparkSession
     ship(spark)
     kind = frame.schema["doc_id"].dataType.simpleString()
-    counted = id_counts(frame).limit((1 << layout.max_bits) + 1).toPandas().sort_values("id")
+    counted = id_counts(frame, width).limit((1 << layout.max_bits) + 1).toPandas().sort_values("id")
     ids, n = counted["id"].to_numpy(np.int64), counted["n"].to_numpy(np.int64)
     bits = code_lengths(n, layout.max_bits)
     spark.createDataFrame(list(zip(ids.tolist(), bits.tolist(), strict=True)), "id bigint, bits int") \
@@ -269,8 +225,8 @@ def write_token_file(frame: DataFrame, path: str, layout: Layout = Layout()) ->
         first, block, size = 0, 0, 0
 
         def closed() -> pa.RecordBatch:
-            sizes = [len(x) // 4 for x in held]
-            own = np.frombuffer(b"".join(held), dtype="<u4")
+            sizes = [len(x) // width for x in held]
+            own = np.frombuffer(b"".join(held), dtype=f"<u{width}")
             payload, at = code.encode(own)
             row = [part, block, first, names, sizes, payload, layout.every, at[::layout.every]]
             kinds = [pa.int32(), pa.int64(), pa.int64(), pa.list_(doc_kind), pa.list_(pa.int64()), pa.binary(),
@@ -284,7 +240,7 @@ def write_token_file(frame: DataFrame, path: str, layout: Layout = Layout()) ->
             for doc_id, packed in zip(batch.column("doc_id").to_pylist(), batch.column("ids"), strict=True):
                 names.append(doc_id)
                 held.append(packed.as_py())
-                size += len(held[-1]) // 4
+                size += len(held[-1]) // width
                 if size >= layout.block_ids or len(held) >= layout.block_ids:
                     yield closed()
                     first, block, size, names, held = first + size, block + 1, 0, [], []
@@ -346,8 +302,9 @@ def store_tokens(docs: DataFrame, vocabulary: str, path: str, end_id: int = 0, l
     repeated rows and ids give one row each; an empty table gives a file
     without blocks; other columns are not read.
     """
-    encoded = cut(encode_texts(docs, vocabulary, end_id, id_col, text_col), "ids")
-    write_token_file(encoded, path, layout)
+    width = id_bytes(vocabulary)
+    encoded = cut(encode_texts(docs, vocabulary, end_id, width, id_col, text_col), "ids")
+    write_token_file(encoded, path, layout, width)
     return read_token_file(docs.sparkSession, path, encoded.schema["doc_id"].dataType.simpleString())
 
 

@@ -12,8 +12,10 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from rivernet.llm import word_ids
 from rivernet.llm.common import scratch
-from rivernet.llm.token_files import Code, Layout, code_lengths, read_token_file, store_tokens, token_digests, write_token_file
+from rivernet.llm.token_files import (Code, Layout, code_lengths, read_token_file, store_tokens, token_digests,
+                                      write_token_file)
 
 FILE = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -68,10 +70,8 @@ def test_codes_round_trip():
         blocks = [rnd.choice(ids, n, p=(w := rnd.random(alphabet) ** 8 + 1e-9) / w.sum()) for n in (1, 2, 500, 4097)]
         kinds, n = np.unique(np.concatenate(blocks), return_counts=True)
         code = Code(kinds, code_lengths(n, 18))
-        texts = ["".join(format(int(c) >> (code.longest - int(b)), f"0{int(b)}b")
-                         for c, b in zip(code.left, code.bits, strict=True))] and dict(zip(
-            code.ids.tolist(), (format(int(c) >> (code.longest - int(b)), f"0{int(b)}b")
-                                for c, b in zip(code.left, code.bits, strict=True)), strict=True))
+        texts = {int(i): format(int(c) >> (code.longest - int(b)), f"0{int(b)}b")
+                 for i, c, b in zip(code.ids, code.left, code.bits, strict=True)}
         packed, marks = [], []
         for own in blocks:
             payload, at = code.encode(own)
@@ -83,6 +83,20 @@ def test_codes_round_trip():
         assert all((g[:len(b)] == b).all() for g, b in zip(got, blocks, strict=True))
 
 
+def test_word_ids_equal_the_library(monkeypatch):
+    rnd = random.Random(4)
+    library = Tokenizer.from_file(FILE)
+    rows = ["".join(rnd.choice(" \n\t'abcdetsrvlmXéÉ€½1239.,!-¿ß’…ŁŸ語\x00İ") for _ in range(rnd.randint(0, 60)))
+            for _ in range(400)] + ["", "a" * 40_000, "<|endoftext|>", " x" * 3000]
+    want = [x.ids for x in library.encode_batch(rows, add_special_tokens=False)]
+    for limit, number in ((2_000_000, word_ids.BASE), (30, word_ids.BASE), (2_000_000, 1)):  # 1: all numbers clash
+        monkeypatch.setattr(word_ids, "KEPT_WORDS", limit)
+        monkeypatch.setattr(word_ids, "BASE", number)
+        words = word_ids.WordIds(FILE)
+        for _ in range(2):
+            assert [x.tolist() for x in words.encode(rows)] == want
+
+
 def test_query_equals_the_library(spark):
     rnd = random.Random(8)
     odd = ["", " ", "  a", "\n\n a 's don't ''s <|endoftext|> x<|endoftext|>", "日本語 é é", "\x00\x01", "½²", "🙂🙃",
