@@ -79,6 +79,14 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_digests(find_runs(plant_runs(table(spark, sf_dir, "documents"))))
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rivernet.llm.conversation_repair import find_edits, plant_damage, repair_report
+
+    conversations = table(spark, sf_dir, "conversations")
+    turns = plant_damage(conversations)
+    return repair_report(conversations, turns, find_edits(turns))
+
+
 def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     from rivernet.llm.token_files import store_tokens, token_digests
 
@@ -98,6 +106,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_toxicity": op9_toxicity,
     "op10_lm_score": op10_lm_score,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_conversation_repair": op12_conversation_repair,
     "op13_token_files": op13_token_files,
 }
 
