@@ -118,3 +118,9 @@ def exact_avg(x, scale: int) -> Column:
     result does not depend on partitioning or summation order."""
     q = float(10 ** scale)
     return F.sum(F.round(_c(x) * q).cast("long")) / F.count(_c(x)) / q
+
+
+def exact_sum(x, scale: int = 9):
+    """Sum in decimals of ``scale`` places: the same for any partitioning and
+    order of the rows.  Values stay below 10^(28 - scale)."""
+    return F.sum(_c(x).cast(f"decimal(28,{scale})")).cast("double")

@@ -4,9 +4,8 @@
   (Kiveris et al., "Connected Components in MapReduce and Beyond", SoCC
   2014).  O(log^2 n) rounds, independent of the river length, so a long
   main stem does not mean thousands of Spark jobs.
-* ``reach`` (G6): breadth-first frontier expansion from many sources at once
-  with the BFS level (``hop``) of every reached vertex.
-* ``diameter`` (G14): the largest ``hop`` of a full reach.
+* ``Layers``: the levels of a search as one table (the path search of G9).
+* ``reach`` (G6) and ``diameter`` (G14) are in ``doubling``.
 
 Every key is composite: the ``keys`` columns (at least ``wrid``) plus the
 vertex id, because vertex ids are unique inside one water region only.
@@ -19,7 +18,6 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,10 +38,6 @@ def cut(df: DataFrame, tag: str = "t") -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def keep(df: DataFrame) -> DataFrame:
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
-
-
 class Layers:
     """The levels of an iterative search as one table in the checkpoint
     folder, partitioned by ``level`` and bucketed on ``keys``.
@@ -120,56 +114,3 @@ def connected_components(vertices: DataFrame, edges: DataFrame,
     v = vertices.select(*keys, vertex).distinct()
     return (v.join(parent, [*keys, vertex], "left")
             .select(*keys, vertex, F.coalesce("component", vertex).alias("component")))
-
-
-def reach(arcs: DataFrame, sources: DataFrame, keys: Sequence[str] = ("wrid",),
-          a: str = "a", b: str = "b", src: str = "src",
-          step: int = 2) -> DataFrame:
-    """All vertices reachable from each source over ``a -> b`` arcs.
-
-    ``sources`` has ``keys + [src]``; ``arcs`` has ``keys + [a, b]``.  Extra key
-    columns (for instance a direction tag) run independent searches in one
-    job.  Returns ``keys + [src, "v", "hop"]``, the source itself excluded,
-    ``hop`` = fewest arcs.  Cycles are safe: a vertex is expanded once.
-
-    With ``step=2`` each level also follows the precomputed two-arc paths:
-    the frontier then holds the vertices at distances d-1 and d, and every
-    vertex at d+1 or d+2 is found with its exact distance (the smallest
-    candidate hop), so half as many levels (Spark jobs) are needed.
-    """
-    keys = list(keys)
-    spark = arcs.sparkSession
-    one = arcs.select(*keys, F.col(a).alias("_a"), F.col(b).alias("_b")).distinct()
-    hops = one.withColumn("_h", F.lit(1))
-    if step >= 2:
-        first = one.withColumnRenamed("_b", "_m")
-        second = one.withColumnsRenamed({"_a": "_m", "_b": "_c"})
-        two = (first.join(second, [*keys, "_m"])
-               .select(*keys, "_a", F.col("_c").alias("_b"))
-               .distinct().withColumn("_h", F.lit(2)))
-        hops = hops.unionByName(two)
-    hops = keep(hops.groupBy(*keys, "_a", "_b").agg(F.min("_h").alias("_h"))
-                .repartition(*keys, "_a"))
-    layers = Layers(spark, "reach", [*keys, "src", "v"])
-    seeds = sources.select(*keys, F.col(src).alias("src")).distinct()
-    frontier = layers.append(seeds.select(*keys, "src", F.col("src").alias("v"),
-                                          F.lit(0).alias("hop")), 0)
-    level = 0
-    while True:
-        level += 1
-        visited = layers.all().select(*keys, "src", "v")
-        cand = (frontier.withColumnRenamed("v", "_a").join(hops, [*keys, "_a"])
-                .select(*keys, "src", F.col("_b").alias("v"), (F.col("hop") + F.col("_h")).alias("hop")))
-        new = (cand.join(visited, [*keys, "src", "v"], "left_anti")
-               .groupBy(*keys, "src", "v").agg(F.min("hop").alias("hop")))
-        frontier = layers.append(new, level)
-        if not layers.has(level):
-            break
-    hops.unpersist()
-    out = layers.all()
-    return out.where(F.col("level") > 0).select(*keys, F.col("src").alias(src), "v", "hop")
-
-
-def diameter(reached: DataFrame, keys: Sequence[str] = ("wrid",)) -> DataFrame:
-    """Longest shortest path (in arcs) per key, from a full ``reach``."""
-    return reached.groupBy(*keys).agg(F.max("hop").alias("diameter"))

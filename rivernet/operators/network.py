@@ -12,8 +12,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.exprs import (STATS, classify_vertex, direction_weight, exact_avg, fill_edge_stats,
-                               is_lake)
+from ..functions.exprs import (STATS, classify_vertex, direction_weight, exact_avg, exact_sum,
+                               fill_edge_stats, is_lake)
 from .iterate import connected_components, cut
 
 STAT_COLUMNS = [f"{p}_{s}" for p in ("altitude", "slope") for s in STATS]
@@ -189,7 +189,7 @@ def cluster_stats(vertices: DataFrame) -> DataFrame:
     """Lake area sum and distinct lake count of each cluster, on every vertex."""
     lake = is_lake("area_ha")
     per = vertices.groupBy("wrid", "cluster").agg(
-        F.coalesce(F.sum(F.when(lake, F.col("area_ha"))), F.lit(0.0)).alias("cluster_lake_area_ha"),
+        F.coalesce(exact_sum(F.when(lake, F.col("area_ha"))), F.lit(0.0)).alias("cluster_lake_area_ha"),
         F.count_distinct(F.when(lake, F.col("lakeid"))).cast("int").alias("cluster_lake_n"))
     return vertices.join(per, ["wrid", "cluster"])
 

@@ -10,8 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.exprs import is_lake
-from .iterate import reach
+from ..functions.exprs import exact_sum, is_lake
+from .doubling import reach
 from .network import Network
 
 SUMMARY_COLUMNS = ["wrid", "cluster", "lakeID", "typ", "indegree", "outdegree",
@@ -33,8 +33,9 @@ def directed_arcs(arcs: DataFrame) -> DataFrame:
 
 def reach_both(network: Network, sources: DataFrame) -> DataFrame:
     """G6 from ``sources(wrid, src)`` both ways: ``(wrid, dir, src, v, hop)``."""
-    s = sources.select("wrid", "src", F.explode(F.array(F.lit("down"), F.lit("up"))).alias("dir"))
-    return reach(directed_arcs(network.arcs), s, keys=("wrid", "dir"))
+    arcs = directed_arcs(network.arcs)
+    ways = [reach(arcs.where(F.col("dir") == d).drop("dir"), sources).withColumn("dir", F.lit(d)) for d in ("down", "up")]
+    return ways[0].unionByName(ways[1]).select("wrid", "dir", "src", "v", "hop")
 
 
 def _ordered_ids(cond) -> F.Column:
@@ -64,12 +65,12 @@ def lake_summary(network: Network) -> DataFrame:
         (F.count(F.when(F.col("dir") == "up", 1)) + 1).cast("int").alias("neighborhood_size"),
         _ordered_ids(down).alias("downstream_lakes"),
         F.count(F.when(down, 1)).cast("int").alias("downstream_lakes_n"),
-        F.sum(F.when(down, F.col("area_ha"))).alias("downstream_lakes_area_ha"),
+        exact_sum(F.when(down, F.col("area_ha"))).alias("downstream_lakes_area_ha"),
         F.min_by(F.when(down, F.col("v")), F.when(down, F.struct("hop", "v")))
         .alias("first_downstream_lake"),
         _ordered_ids(up).alias("upstream_lakes"),
         F.count(F.when(up, 1)).cast("int").alias("upstream_lakes_n"),
-        F.sum(F.when(up, F.col("area_ha"))).alias("upstream_lakes_area_ha"),
+        exact_sum(F.when(up, F.col("area_ha"))).alias("upstream_lakes_area_ha"),
     )
     out = lakes.join(agg.withColumnRenamed("src", "vid"), ["wrid", "vid"], "left")
 

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import exprs as X
+from ..operators import doubling as D
 from ..operators import iterate as I
 from ..operators import network as N
 from ..operators import paths as P
@@ -276,10 +277,7 @@ def q_reach(spark, sf_dir):
 
 def q_diameter(spark, sf_dir):
     net = fixture_network(spark, sf_dir)
-    nat = net.arcs.where(F.col("direction") == "downstream")
-    r = I.reach(nat, net.vertices.select("wrid", F.col("vid").alias("src")), keys=("wrid",),
-                a="src", b="dst")
-    return I.diameter(r)
+    return D.diameter(net.arcs.where(F.col("direction") == "downstream"), a="src", b="dst")
 
 
 def q_first_downstream(spark, sf_dir):

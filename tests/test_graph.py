@@ -1,7 +1,8 @@
 from pyspark.sql import functions as F
 
 from rivernet.functions.exprs import STATS
-from rivernet.operators.iterate import connected_components, reach
+from rivernet.operators.doubling import reach
+from rivernet.operators.iterate import connected_components
 from rivernet.operators.network import Network, add_reverse_arcs
 from rivernet.operators.paths import lake_combinations, shortest_paths, walk_arcs
 
