@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import MISSING, is_lake, slope_to_cdeg, weighted_avg
+from .forest import split_network, tree_combinations
 from .iterate import Layers
 from .network import Network
 
@@ -174,7 +175,23 @@ def _direction_stats(lab: int, prefix: str) -> list:
 def lake_combinations(network: Network, focal: DataFrame | None = None,
                       weight: str | None = None) -> DataFrame:
     """One row per lake pair ``from_lake < to_lake`` of a cluster, 30
-    columns; an absent direction holds -9999 in its 11 columns (X13)."""
+    columns; an absent direction holds -9999 in its 11 columns (X13).
+
+    Tree clusters need no search (``forest``); the path search runs over the
+    others."""
+    trees, others = split_network(network)
+    parts = []
+    if not trees.vertices.isEmpty():
+        parts.append(tree_combinations(trees, lake_vertices(trees, focal), weight))
+    if not parts or not others.vertices.isEmpty():
+        parts.append(searched_combinations(others, focal, weight))
+    out = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    return out.select(*COMBINATION_COLUMNS)
+
+
+def searched_combinations(network: Network, focal: DataFrame | None = None,
+                          weight: str | None = None) -> DataFrame:
+    """:func:`lake_combinations` of any clusters, by the path search."""
     ends = lake_vertices(network, focal)
     arcs = walk_arcs(network)
     pruned = prune_to_paths(network, ends, arcs)

@@ -106,6 +106,14 @@ def q_lake_combinations(spark, sf_dir):
     return _combinations(spark, sf_dir)
 
 
+def q_tree_combinations(spark, sf_dir):
+    """G11 on the fixture rivers as trees: pairs without a path search."""
+    inp = _inputs(spark, sf_dir)
+    views = {name: spark.sql(body) for name, body in O.TREE_VIEWS}
+    edges = N.edge_table(views["ft_lines"], inp["samples"], fixed_scale=FIXED_SCALE)
+    return P.lake_combinations(N.compile_network(views["ft_lines"], views["ft_nodes"], edges, views["ft_adjacency"]))
+
+
 def q_focal_combinations(spark, sf_dir):
     """Pairs among focal lakes only (lakes of at least 5 ha)."""
     net = fixture_network(spark, sf_dir)
@@ -365,6 +373,7 @@ def q_threshold_clusters(spark, sf_dir):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "G12_lake_summary": q_lake_summary,
     "G11_lake_combinations": q_lake_combinations,
+    "G11_tree_combinations": q_tree_combinations,
     "X7_focal_combinations": q_focal_combinations,
     "S4_read_topology": q_read_topology,
     "X1_slope_to_cdeg": q_slope_to_cdeg,

@@ -299,6 +299,30 @@ LAKE_COMBINATIONS_SQL = with_clause(NETWORK_CTES, EDGE_CTES, COMBINATION_CTES,
                                     views=EDGE_VIEWS) + COMBINATION_TAIL
 
 
+# the fixture rivers without bifurcations, borders and merged lakes: trees
+TREE_VIEWS: list[tuple[str, str]] = [
+    ("ft_lines", "SELECT * FROM fx_lines WHERE line_cat < 1000000"),
+    ("ft_nodes", """
+SELECT wrid, node_id, node_id AS lakeid,
+       CASE WHEN k % 3 = 0 OR k % 7 = 2 THEN 0.5e0 + (node_id % 1000) / 100e0 END AS area_ha
+FROM fx_node_raw"""),
+    ("ft_adjacency", "SELECT * FROM fx_adjacency WHERE wrid < 0"),
+]
+
+
+def _of_trees(ctes: list[tuple[str, str]]) -> list[tuple[str, str]]:
+    out = []
+    for name, body in ctes:
+        for view, _ in TREE_VIEWS:
+            body = body.replace(view.replace("ft_", "fx_"), view)
+        out.append((name, body))
+    return out
+
+
+TREE_COMBINATIONS_SQL = with_clause(TREE_VIEWS, _of_trees(NETWORK_CTES), _of_trees(EDGE_CTES), _of_trees(COMBINATION_CTES),
+                                    views=EDGE_VIEWS) + COMBINATION_TAIL
+
+
 def _net(select: str) -> str:
     return with_clause(NETWORK_CTES, views=NETWORK_VIEWS) + select
 
@@ -359,6 +383,7 @@ def _lakes(tail: str) -> str:
 
 
 NETWORK_ORACLE: dict[str, str] = {
+    "G11_tree_combinations": TREE_COMBINATIONS_SQL,
     "G13_threshold_clusters": THRESHOLD_SQL,
     "G12_lake_summary": LAKE_SUMMARY_SQL,
     "G11_lake_combinations": LAKE_COMBINATIONS_SQL,
