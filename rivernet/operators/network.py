@@ -202,23 +202,25 @@ def drop_small_clusters(vertices: DataFrame, arcs: DataFrame,
     return v, a
 
 
-def add_reverse_arcs(arcs: DataFrame) -> DataFrame:
+def add_reverse_arcs(arcs: DataFrame, weigh_reversed: bool = False) -> DataFrame:
     """G5 (+X8, X9, U3): every arc copied with ends swapped, ``upstream``.
 
     ``dir_weight`` (X9) is set before the reversed arcs exist, so these copy
-    the 0 of their arc, as in the reference (Q2)."""
+    the 0 of their arc, as in the reference (Q2); with ``weigh_reversed`` they
+    get the 1 that is meant for going against the flow."""
     fwd = (arcs.withColumn("direction", F.lit("downstream"))
            .withColumn("dir_weight", direction_weight()))
     rev = fwd.select(*[F.col("dst").alias("src") if c == "src" else
                         F.col("src").alias("dst") if c == "dst" else
-                        F.lit("upstream").alias("direction") if c == "direction" else F.col(c)
+                        F.lit("upstream").alias("direction") if c == "direction" else
+                        direction_weight(F.lit("upstream")).alias(c) if c == "dir_weight" and weigh_reversed else F.col(c)
                         for c in fwd.columns])
     return fwd.unionByName(rev)
 
 
 def compile_network(lines: DataFrame, nodes: DataFrame, edges: DataFrame,
                     adjacency: DataFrame | None = None, min_lakes: int = 2,
-                    fill_area: bool = False) -> Network:
+                    fill_area: bool = False, weigh_reversed: bool = False) -> Network:
     """network_compilation for all regions: G4 -> J8 -> X10 -> J10 -> G7 ->
     A7/X11 -> A8 -> X15 -> G5.
 
@@ -236,7 +238,7 @@ def compile_network(lines: DataFrame, nodes: DataFrame, edges: DataFrame,
     v = degrees(v, arcs)
     v = cluster_stats(v)
     v, arcs = drop_small_clusters(v, arcs, min_lakes)
-    arcs = add_reverse_arcs(arcs)
+    arcs = add_reverse_arcs(arcs, weigh_reversed)
     v = cut(v.select(*VERTEX_COLUMNS))
     arcs = cut(arcs.select(*ARC_COLUMNS))
     return Network(v, arcs)

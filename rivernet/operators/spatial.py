@@ -215,13 +215,13 @@ def streams_in_regions(lines: DataFrame, regions: DataFrame, size: float = 1000.
 
 
 def lakes_in_regions(lakes: DataFrame, regions: DataFrame, size: float = 1000.0) -> DataFrame:
-    """A row per lake that meets a region, with the largest region id and
-    the list of all, ordered by lake (O5)."""
+    """A row per region and lake that meet (Q10), with the region as
+    ``water_region_id`` and as a list, ordered by lake and region (O5)."""
     pairs = polygons_intersect(lakes, regions, size)
-    return (pairs.groupBy(F.col("a").alias("lakeid"))
+    return (pairs.groupBy(F.col("a").alias("lakeid"), "b")
             .agg(F.max("b").alias("water_region_id"),
                  F.sort_array(F.collect_list("b")).alias("water_region_ids"))
-            .orderBy("lakeid"))
+            .orderBy("lakeid", "b").drop("b"))
 
 
 def regions_with_features(regions: DataFrame, features: DataFrame, size: float = 1000.0,
@@ -275,16 +275,19 @@ def border_lakes(borders: DataFrame, categories: DataFrame) -> DataFrame:
     return borders.join(left, "left_cat", "left").join(right, "right_cat", "left")
 
 
-def shared_borders(polygons: DataFrame, key: str | None = None, size: float = 1000.0) -> DataFrame:
-    """Pairs of different polygons whose borders share a stretch of
-    positive length (their vertices may differ), ``(left_lake < right_lake)``,
-    each pair once."""
+def shared_borders(polygons: DataFrame, key: str | None = None, size: float = 1000.0,
+                   tolerance: float = 1e-6) -> DataFrame:
+    """Pairs of different polygons whose borders share a stretch longer
+    than ``tolerance`` (their vertices may differ), ``(left_lake < right_lake)``,
+    each pair once.  Borders are one where both ends of a segment lie within
+    ``tolerance`` of the line through the other: on a slope, coordinates that
+    are rounded to doubles are never exactly on it."""
     s = ring_segments(polygons).select("fid", "x1", "y1", "x2", "y2")
     other = s.select(F.col("fid").alias("pfid"), *[F.col(c).alias("p" + c) for c in ("x1", "y1", "x2", "y2")])
     c = F.col
-    j = (_cells(s, size).join(_cells(other, size, xs=("px1", "px2"), ys=("py1", "py2")), ["gx", "gy"])
+    j = (_cells(s, size, pad=tolerance).join(_cells(other, size, xs=("px1", "px2"), ys=("py1", "py2")), ["gx", "gy"])
          .where((c("fid") < c("pfid"))
-                & _first_cell_only(size, F.least(c("x1"), c("x2")), F.least(c("y1"), c("y2")),
+                & _first_cell_only(size, F.least(c("x1"), c("x2")) - tolerance, F.least(c("y1"), c("y2")) - tolerance,
                                    F.least(c("px1"), c("px2")), F.least(c("py1"), c("py2")))))
     if key:
         j = j.where(F.col("fid")[key] == F.col("pfid")[key])
@@ -297,8 +300,10 @@ def shared_borders(polygons: DataFrame, key: str | None = None, size: float = 10
         return (c(x) - c("x1")) * rx + (c(y) - c("y1")) * ry
 
     t1, t2 = along("px1", "py1"), along("px2", "py2")
-    shared = ((off("px1", "py1") == 0) & (off("px2", "py2") == 0) & (t1 != t2)
-              & (F.greatest(t1, t2) > 0) & (F.least(t1, t2) < rx * rx + ry * ry))
+    length2 = rx * rx + ry * ry
+    near = F.sqrt(length2) * tolerance  # distances and places are times the length
+    overlap = F.least(F.greatest(t1, t2), length2) - F.greatest(F.least(t1, t2), F.lit(0.0))
+    shared = (F.abs(off("px1", "py1")) <= near) & (F.abs(off("px2", "py2")) <= near) & (overlap > near)
     return (j.where(shared).select(c("fid").alias("left_lake"), c("pfid").alias("right_lake")).distinct())
 
 

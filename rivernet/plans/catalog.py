@@ -250,6 +250,12 @@ def q_reverse_arcs(spark, sf_dir):
     return a.select("wrid", "src", "dst", "line_cat", "direction", "dir_weight")
 
 
+def q_meant_weight(spark, sf_dir):
+    """X9 as it is meant: arcs against the flow weigh 1."""
+    arcs = N.add_reverse_arcs(_stages(spark, sf_dir)["a2"], weigh_reversed=True)
+    return arcs.select("wrid", "src", "dst", "line_cat", "direction", "dir_weight")
+
+
 def q_max_lake_id(spark, sf_dir):
     return N.max_lake_id(_region_lakes(spark, sf_dir))
 
@@ -396,6 +402,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "X15_drop_small_clusters": q_kept_vertices,
     "U2_cluster_set": q_cluster_set,
     "G5_X8_X9_U3_arcs": q_reverse_arcs,
+    "X9_meant_weight": q_meant_weight,
     "A6_max_lake_id": q_max_lake_id,
     "J5_attach_lake_area": q_attach_lake_area,
     "A15_region_guard": q_region_guard,

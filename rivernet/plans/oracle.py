@@ -437,6 +437,10 @@ FROM nw_cstat WHERE cluster_lake_n >= 2"""),
     "X15_drop_small_clusters": _net(
         "SELECT wrid, vid, cluster, typ, indegree, outdegree, cluster_lake_n FROM nw_vert"),
     "U2_cluster_set": _net("SELECT DISTINCT wrid, cluster FROM nw_vert"),
+    "X9_meant_weight": _net("""
+SELECT wrid, src, dst, line_cat, 'downstream' AS direction, 0 AS dir_weight FROM nw_arcs
+UNION ALL
+SELECT wrid, dst, src, line_cat, 'upstream', 1 FROM nw_arcs"""),
     "G5_X8_X9_U3_arcs": _net("""
 SELECT wrid, src, dst, line_cat, 'downstream' AS direction, 0 AS dir_weight FROM nw_nat
 UNION ALL

@@ -8,6 +8,8 @@ rewrites only their partitions (S11).
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,12 +38,19 @@ def run(spark: SparkSession, out: str, lines: DataFrame | None = None,
     ``lines(wrid, line_cat, from_node, to_node, length_m)``, ``nodes(wrid,
     node_id, lakeid, area_ha)``, ``edges(wrid, cat, length_m, 18 stats)``,
     ``adjacency(wrid, left_lake, right_lake)`` are the products of the gis
-    step.  ``wrids`` limits the run to some regions (list or DataFrame)."""
+    step.  ``wrids`` limits the run to some regions (list or DataFrame);
+    without it the run is for the regions of its inputs, or of the guard table
+    where it starts from the saved network.  All rows of these regions are
+    replaced, also where a region has none any more."""
     results: dict[str, DataFrame] = {}
     if isinstance(wrids, DataFrame):
         # the region list may be read from a table this run overwrites:
         # store it first so the run does not read files it replaces
         wrids = cut(wrids.select("wrid").distinct(), "wrids")
+    if wrids is None:
+        given = ([x.select("wrid") for x in (lines, nodes, edges, adjacency) if x is not None]
+                 if "network_compilation" in sections else [io.read_partitioned(spark, f"{out}/regions").select("wrid")])
+        wrids = cut(reduce(DataFrame.union, given).distinct(), "wrids")
     if "network_compilation" in sections:
         lines, nodes, edges, adjacency = (_regions(x, wrids) for x in (lines, nodes, edges, adjacency))
         net = compile_network(lines, nodes, edges, adjacency, min_lakes=min_lakes)

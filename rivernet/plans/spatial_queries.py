@@ -175,9 +175,8 @@ FROM fx_stream_line s JOIN fx_catchment c
 ON (c.y1 <= s.y0 AND s.y0 <= c.y2 AND least(s.x0, s.xm) <= c.x2 AND greatest(s.x0, s.xm) >= c.x1)
 OR (c.x1 <= s.xm AND s.xm <= c.x2 AND least(s.y0, s.y2) <= c.y2 AND greatest(s.y0, s.y2) >= c.y1)""",
     "J2_O5_lakes_with_regions": _W + f"""
-SELECT l.id AS lakeid, max(c.gid) AS water_region_id,
-       string_agg(CAST(c.gid AS VARCHAR), ',' ORDER BY c.gid) AS water_region_ids
-FROM fx_lake_rect l JOIN fx_catchment c ON {_OVERLAP} GROUP BY l.id""",
+SELECT DISTINCT l.id AS lakeid, c.gid AS water_region_id, CAST(c.gid AS VARCHAR) AS water_region_ids
+FROM fx_lake_rect l JOIN fx_catchment c ON {_OVERLAP}""",
     "G1_snap_points": with_clause([
         ("sp_pts", """
 SELECT ogc_fid % 5 AS wrid, ogc_fid * 2 AS pid, x0 AS x, y0 AS y FROM fx_stream_line

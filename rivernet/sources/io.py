@@ -149,8 +149,9 @@ def load_network(spark: SparkSession, path: str, wrids=None):
                    read_partitioned(spark, f"{path}/arcs", wrids))
 
 
-def export_layers(edges: DataFrame, nodes: DataFrame, path: str, id_name: str = "cat") -> None:
-    """Line and point layers with the id column under a chosen name."""
-    write_partitioned(edges.withColumnRenamed("cat", id_name), f"{path}/lines", order=(id_name,))
+def export_layers(edges: DataFrame, nodes: DataFrame, path: str, id_name: str = "cat", wrids=None) -> None:
+    """Line and point layers with the id column under a chosen name;
+    ``wrids`` as in :func:`write_partitioned`."""
+    write_partitioned(edges.withColumnRenamed("cat", id_name), f"{path}/lines", order=(id_name,), wrids=wrids)
     key = "vid" if "vid" in nodes.columns else "gid"
-    write_partitioned(nodes.withColumnRenamed(key, id_name), f"{path}/points", order=(id_name,))
+    write_partitioned(nodes.withColumnRenamed(key, id_name), f"{path}/points", order=(id_name,), wrids=wrids)

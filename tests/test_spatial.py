@@ -82,3 +82,20 @@ def test_borders_shared_in_part(spark):
     sq = _rects(spark, [(1, 0.0, 0.0, 4.0, 4.0, None), (2, 4.0, 1.0, 6.0, 9.0, None), (3, 6.0, 9.0, 8.0, 10.0, None)])
     got = G.shared_borders(sq).collect()
     assert [(r["left_lake"], r["right_lake"]) for r in got] == [(1, 2)]
+
+
+def test_sloping_borders_are_shared(spark):
+    """Vertices rounded to doubles lie beside a sloping border, not on it."""
+    from rivernet.operators.spatial import shared_borders
+
+    a, b = (0.1, 0.2), (30.7, 19.3)
+    mid = (a[0] + 0.37 * (b[0] - a[0]), a[1] + 0.37 * (b[1] - a[1]))
+    rings = {1: [a, b, (30.0, 40.0), (0.0, 40.0)], 2: [b, mid, a, (0.0, -9.0), (30.0, -9.0)],
+             3: [b, (50.0, 19.3), (50.0, 40.0)],                                # touches in a point
+             4: [(a[0], a[1] - 20), (b[0], b[1] - 20), (40.0, -30.0)]}           # parallel
+    rows = []
+    for fid, ring in rings.items():
+        rows += [(fid, 0, 0, i, x, y) for i, (x, y) in enumerate([*ring, ring[0]])]
+    polygons = spark.createDataFrame(rows, "fid bigint, part int, ring int, seq int, x double, y double")
+    got = sorted(map(tuple, shared_borders(polygons, size=7.0).collect()))
+    assert got == [(1, 2)]
