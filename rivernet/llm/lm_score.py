@@ -16,6 +16,7 @@ the count table by the token itself.
 
 from __future__ import annotations
 
+import copy
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -230,6 +231,7 @@ def _train(data: DataFrame, lex: Lexicon, start: LogBilinear, batch_size: int, r
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lex, model = shared.value
+        model = copy.deepcopy(model)  # a worker keeps the shared one for its next task
         rnd, end, seen = np.random.default_rng(11), end_class(lex), 0
         for batch in batches:
             for _, own, _, _, classes in encoded(batch.column("text").to_pylist(), lex):

@@ -24,3 +24,11 @@ def test_warm_up_reads_a_written_sample(spark, tmp_path, monkeypatch):
     assert warm.rdd.getNumPartitions() == 1
     # rows without an id are sampled like the others
     assert 0 < warm.count() < 200 and warm.where(F.col("text").rlike("word(0|3|6|9)")).count() < 100
+
+
+def test_each_task_starts_from_the_shared_model(spark):
+    """Tasks of one worker that read the same texts end with the same parameters."""
+    parts = spark.range(0, 120, 1, 3).selectExpr("id AS doc_id", "concat('w', id % 40 % 5, ' then w', id % 40 % 3, ' on') AS text")
+    lex = lm_score.lexicon(lm_score.token_table(parts), 20, 8, 100)
+    got = lm_score._train(parts, lex, lm_score.LogBilinear(lex.frequency), 16, 0.1).collect()
+    assert len(got) == 3 and len({(r["tokens"], bytes(r["next"]), bytes(r["given"])) for r in got}) == 1
