@@ -131,7 +131,8 @@ def token_counts(docs: DataFrame, vocabulary: str, cache_path: str, limit: int =
     A null or empty text has 0 bytes and 0 tokens; repeated rows and ids give
     one row each; other columns are not read.  The counts of contents new to
     the cache are written to ``cache_path`` before the result is read, so a
-    later call, or a run repeated after a failure, encodes what is missing.
+    later call, or a run repeated after a failure, encodes what is missing.  A
+    content that was appended twice counts once.
     """
     spark = docs.sparkSession
     ship(spark)
@@ -141,7 +142,7 @@ def token_counts(docs: DataFrame, vocabulary: str, cache_path: str, limit: int =
     encode_misses(source, cache, vocabulary, tokenizer).write.mode("append").parquet(cache_path)
     counts = (spark.read.schema(CACHE_SCHEMA).parquet(cache_path)
               .where(F.col("tokenizer") == tokenizer)
-              .select(F.col("content").alias("stored"), "n_tokens"))
+              .groupBy(F.col("content").alias("stored")).agg(F.max("n_tokens").alias("n_tokens")))
     keys = source.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"),
                          content_digest(F.col("text")).alias("content"))
     return (keys.join(counts, F.col("content") == F.col("stored"), "left")
