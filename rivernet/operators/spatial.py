@@ -20,9 +20,10 @@ ray crossings against that polygon's segments in the point's horizontal band.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .doubling import chains, stored
 from .iterate import connected_components
 
 # ---------------------------------------------------------------------------
@@ -453,24 +454,75 @@ def build_topology(lines: DataFrame, keys=()) -> DataFrame:
     return fr.join(to, [*keys, "line_cat", "part"]).drop("part")
 
 
+def chain_lines(topology: DataFrame) -> DataFrame:
+    """Lines that meet where exactly two line ends meet, in order.
+
+    ``topology(wrid, line_cat, from_node, to_node)`` -> ``(wrid, chain, pos,
+    line_cat, reversed, from_node, to_node)``: ``chain`` is the smallest
+    category, whose line keeps its direction; ``reversed`` lines run against
+    it, and their nodes are given as they are passed.  A closed ring begins
+    with its smallest line.
+
+    Each line is walked both ways (a number each: twice its category, one more
+    against its direction).  The walk after a walk is known at each node of two
+    ends; list ranking by doubling tells how many walks follow each, and one of
+    the two walks along each chain stays."""
+    t = topology.select("wrid", "line_cat", "from_node", "to_node")
+    # a walk arrives by one line end and goes on from the other end at the node
+    ends = (t.select("wrid", F.col("from_node").alias("node"), (F.col("line_cat") * 2 + 1).alias("arrive"),
+                     (F.col("line_cat") * 2).alias("leave"))
+            .unionByName(t.select("wrid", F.col("to_node").alias("node"), (F.col("line_cat") * 2).alias("arrive"),
+                                  (F.col("line_cat") * 2 + 1).alias("leave"))))
+    two = (ends.groupBy("wrid", "node").agg(F.count("*").alias("n"), F.min_by("arrive", "leave").alias("a"),
+                                            F.min("leave").alias("la"), F.max_by("arrive", "leave").alias("b"),
+                                            F.max("leave").alias("lb")).where("n = 2"))
+    step, _ = stored(two.select("wrid", F.col("a").alias("v"), F.col("lb").alias("w"))
+                     .union(two.select("wrid", F.col("b"), F.col("la"))), "next")
+    walks = t.select("wrid", (F.col("line_cat") * 2).alias("v")).union(t.select("wrid", F.col("line_cat") * 2 + 1))
+    size = walks.groupBy("wrid").count().agg(F.max("count")).first()[0] or 0
+    last = walks.join(step.select("wrid", "v"), ["wrid", "v"], "left_anti")
+    found, rings = chains(step, last, ["wrid"], size, forward=False)
+    ring = step.select("wrid", "v").limit(0) if rings is None else stored(rings.distinct(), "rings")[0]
+    if rings is not None:  # a ring is cut after its smallest walk
+        found, _ = chains(step.join(ring, ["wrid", "v"], "left_anti"), last.union(ring), ["wrid"], size, forward=False)
+    found, _ = stored(found, "walks")
+    whole = found.groupBy("wrid", "q").agg(F.min("p").alias("least"), F.count("*").alias("n")).where("least % 2 = 0")
+    closed = ring.select("wrid", F.col("v").alias("q"), F.lit(True).alias("closed"))
+    pos = F.when(F.col("closed"), (F.col("n") - F.col("hop")) % F.col("n")).otherwise(F.col("n") - 1 - F.col("hop"))
+    out = (found.join(whole, ["wrid", "q"]).join(closed, ["wrid", "q"], "left")
+           .select("wrid", F.expr("least div 2").alias("chain"), pos.alias("pos"), F.expr("p div 2").alias("line_cat"),
+                   (F.col("p") % 2 == 1).alias("reversed")))
+    return out.join(t, ["wrid", "line_cat"]).select(
+        "wrid", "chain", "pos", "line_cat", "reversed",
+        F.when(F.col("reversed"), F.col("to_node")).otherwise(F.col("from_node")).alias("from_node"),
+        F.when(F.col("reversed"), F.col("from_node")).otherwise(F.col("to_node")).alias("to_node"))
+
+
 def merge_chains(topology: DataFrame, lengths: DataFrame) -> DataFrame:
-    """Lines meeting at nodes where exactly two lines meet are joined;
-    each chain keeps the smallest category and the summed length.
-
-    ``topology(wrid, line_cat, from_node, to_node)``, ``lengths(wrid,
-    line_cat, length_m)``.  Returns ``(wrid, line_cat, n_lines, length_m)``."""
-    ends = (topology.select("wrid", "line_cat", F.col("from_node").alias("node"))
-            .unionByName(topology.select("wrid", "line_cat", F.col("to_node").alias("node"))))
-    deg = ends.groupBy("wrid", "node").agg(F.count("*").alias("deg"))
-    two = ends.join(deg.where("deg = 2"), ["wrid", "node"])
-    links = (two.groupBy("wrid", "node").agg(F.min("line_cat").alias("src"),
-                                              F.max("line_cat").alias("dst")))
-    comp = connected_components(topology.select("wrid", F.col("line_cat").alias("vid")), links,
-                                keys=("wrid",), vertex="vid")
-    j = comp.join(lengths.select("wrid", F.col("line_cat").alias("vid"), "length_m"), ["wrid", "vid"])
-    return j.groupBy("wrid", "component").agg(
-        F.min("vid").alias("line_cat"), F.count("*").alias("n_lines"),
-        F.sum("length_m").alias("length_m")).drop("component")
+    """One row for each chain of :func:`chain_lines`, with the smallest
+    category, the summed length and the nodes at which it begins and ends.
+
+    ``lengths(wrid, line_cat, length_m)``.  Returns ``(wrid, line_cat, n_lines,
+    length_m, from_node, to_node)``."""
+    j = chain_lines(topology).join(lengths.select("wrid", "line_cat", "length_m"), ["wrid", "line_cat"])
+    return j.groupBy("wrid", F.col("chain").alias("line_cat")).agg(
+        F.count("*").alias("n_lines"), F.sum("length_m").alias("length_m"),
+        F.min_by("from_node", "pos").alias("from_node"), F.max_by("to_node", "pos").alias("to_node"))
+
+
+def merged_points(order: DataFrame, lines: DataFrame) -> DataFrame:
+    """The points of merged lines in order: ``order`` from :func:`chain_lines`,
+    ``lines(wrid, fid, seq, x, y)`` -> ``(wrid, chain, seq, x, y)``; the point
+    at which two lines meet stands once."""
+    per = lines.groupBy("wrid", F.col("fid").alias("line_cat")).agg(F.max("seq").alias("top"))
+    # a row for each line of a chain, not for each point
+    before = Window.partitionBy("wrid", "chain").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
+    placed = (order.join(per, ["wrid", "line_cat"])
+              .withColumn("offset", F.coalesce(F.sum("top").over(before), F.lit(0))))
+    p = lines.select("wrid", F.col("fid").alias("line_cat"), "seq", "x", "y").join(placed, ["wrid", "line_cat"])
+    at = F.when(F.col("reversed"), F.col("top") - F.col("seq")).otherwise(F.col("seq"))
+    return (p.withColumn("at", at).where("at > 0 OR pos = 0")
+            .select("wrid", "chain", (F.col("offset") + F.col("at")).cast("long").alias("seq"), "x", "y"))
 
 
 def snap_points(points: DataFrame, threshold: float = 1.0, size: float | None = None,

@@ -117,6 +117,12 @@ def q_merge_chains(spark, sf_dir):
     return m.select("wrid", "line_cat", "n_lines", F.round("length_m", 6).alias("length_m"))
 
 
+def q_chain_order(spark, sf_dir):
+    """The lines of each chain in order, with their direction."""
+    register_fixtures(spark, sf_dir)
+    return G.chain_lines(spark.table("fx_lines"))
+
+
 def q_snap_points(spark, sf_dir):
     ends = _stream_ends(spark, sf_dir)
     ends = ends.select((F.col("pid.ogc_fid") % 5).alias("wrid"),
@@ -151,6 +157,7 @@ QUERIES = {
     "A3_line_length_m": q_line_length,
     "G1_snap_points": q_snap_points,
     "G2_merge_chains": q_merge_chains,
+    "G2_chain_order": q_chain_order,
     "G3_build_topology": q_build_topology,
 }
 
@@ -235,6 +242,28 @@ SELECT id, round(((x2 - x1) * (y2 - y1) - coalesce(4 * island_half * island_half
        AS area_ha FROM fx_lake_rect""",
     "A3_line_length_m": _W + """
 SELECT ogc_fid, round(abs(xm - x0) + abs(y2 - y0), 6) AS length_m FROM fx_stream_line""",
+    # the fixture lines have no closed ring: each chain is walked from an end
+    "G2_chain_order": with_clause([
+        ("co_end", """
+SELECT wrid, line_cat, from_node AS node, 2 * line_cat + 1 AS arrive, 2 * line_cat AS leave FROM fx_lines
+UNION ALL SELECT wrid, line_cat, to_node, 2 * line_cat, 2 * line_cat + 1 FROM fx_lines"""),
+        ("co_two", "SELECT wrid, node FROM co_end GROUP BY wrid, node HAVING count(*) = 2"),
+        ("co_next", """
+SELECT a.wrid, a.arrive AS v, b.leave AS w FROM co_two t
+JOIN co_end a ON a.wrid = t.wrid AND a.node = t.node
+JOIN co_end b ON b.wrid = t.wrid AND b.node = t.node AND b.leave <> a.leave"""),
+        ("co_walk", """
+SELECT wrid, leave AS first, leave AS p, CAST(0 AS BIGINT) AS pos FROM co_end e
+WHERE NOT EXISTS (SELECT 1 FROM co_next n WHERE n.wrid = e.wrid AND n.w = e.leave)
+UNION ALL
+SELECT c.wrid, c.first, n.w, c.pos + 1 FROM co_walk c JOIN co_next n ON n.wrid = c.wrid AND n.v = c.p"""),
+        ("co_whole", "SELECT wrid, first, min(p) AS least FROM co_walk GROUP BY wrid, first HAVING min(p) % 2 = 0"),
+    ], views=("fx_lines",)) + """
+SELECT c.wrid, w.least // 2 AS chain, c.pos, l.line_cat, c.p % 2 = 1 AS "reversed",
+       CASE WHEN c.p % 2 = 1 THEN l.to_node ELSE l.from_node END AS from_node,
+       CASE WHEN c.p % 2 = 1 THEN l.from_node ELSE l.to_node END AS to_node
+FROM co_walk c JOIN co_whole w ON w.wrid = c.wrid AND w.first = c.first
+JOIN fx_lines l ON l.wrid = c.wrid AND l.line_cat = c.p // 2""",
     "G2_merge_chains": with_clause(views=("fx_lines",)) + """,
 ends AS (SELECT wrid, line_cat, from_node AS node FROM fx_lines
          UNION ALL SELECT wrid, line_cat, to_node FROM fx_lines),
