@@ -93,32 +93,35 @@ def phrase_matches(source: DataFrame, windows: DataFrame, lists: int = 3) -> Dat
            .groupBy("row", "window", "start", "n", "lists")
            .agg(F.bit_or(F.expr("shiftleft(1, rank)")).alias("seen"))
            .where(F.col("seen") == F.pow(F.lit(2), F.col("lists")).cast("int") - 1))
-    return (in_text(source, windows, met.select("row", "window", "start", "n"), rows)
-            .where(F.expr("slice(words, x.start + 1, x.n)") == F.col("x.phrase"))
+    return (in_text(source, windows, met.select("row", "window", "start", "n"), rows,
+                    "slice(words, x.start + 1, x.n) = x.phrase")
             .select("row", "x.window", "x.start", "x.n").distinct())
 
 
-def in_text(source: DataFrame, windows: DataFrame, met: DataFrame, rows: int) -> DataFrame:
-    """Candidates beside the text they are in: row, words, x (window, start, n, phrase)."""
+def in_text(source: DataFrame, windows: DataFrame, met: DataFrame, rows: int, holds: str) -> DataFrame:
+    """Candidates that hold in the text they are in: row, x (window, start, n,
+    phrase).  ``holds`` is an SQL condition of ``words`` (the text's) and ``x``."""
     phrases = windows.select(F.col("window").alias("id"), F.col("words").alias("phrase"))
     asked = (met.join(small(phrases, rows), F.col("window") == F.col("id"), "inner")
              .groupBy(F.col("row").alias("at"))
              .agg(F.collect_list(F.struct("window", "start", "n", "phrase")).alias("asked")))
-    # the text of each row that is asked for is split once
+    # the text of each row that is asked for is split once: a variable holds its
+    # words, and they are not copied beside each candidate
     return (source.select("row", "text").join(asked, F.col("row") == F.col("at"), "inner")
-            .select("row", word_list(F.col("text")).alias("words"), F.explode("asked").alias("x")))
+            .select("row", "asked", F.array(word_list(F.col("text"))).alias("split"))
+            .select("row", F.explode(F.expr(f"transform(split, words -> filter(asked, x -> {holds}))[0]")).alias("x")))
 
 
-def all_near(within: int) -> Column:
+def all_near(within: int) -> str:
     """Whether the text ``words`` has every word of ``x.phrase`` at most
     ``within`` words away from where the phrase, begun at ``x.start``, has it,
     a word that the phrase repeats so many times: between any two of its
     places the text, ``within`` words wider, has it as often as the phrase."""
     ahead = f"greatest(x.start + i - {within}, 0)"
-    return F.expr(f"""forall(sequence(0, x.n - 1), i -> forall(sequence(i, x.n - 1), k ->
+    return f"""forall(sequence(0, x.n - 1), i -> forall(sequence(i, x.n - 1), k ->
         x.phrase[i] != x.phrase[k]
         OR size(filter(slice(words, {ahead} + 1, greatest(x.start + k + {within} + 1 - {ahead}, 0)), w -> w = x.phrase[i]))
-           >= size(filter(slice(x.phrase, i + 1, k - i + 1), w -> w = x.phrase[i]))))""")
+           >= size(filter(slice(x.phrase, i + 1, k - i + 1), w -> w = x.phrase[i]))))"""
 
 
 def proximity_matches(source: DataFrame, windows: DataFrame, within: int, lists: int = 3) -> DataFrame:
@@ -135,7 +138,7 @@ def proximity_matches(source: DataFrame, windows: DataFrame, within: int, lists:
            .where(F.col("seen") + 1 == F.pow(F.lit(2), F.col("lists")).cast("int") - 1))
     alone = moved.where("lists = 1")
     places = met.select("row", "window", "start", "n").unionByName(alone.select("row", "window", "start", "n")).distinct()
-    return in_text(source, windows, places, rows).where(all_near(within)).select("row", "x.window", "x.start").distinct()
+    return in_text(source, windows, places, rows, all_near(within)).select("row", "x.window", "x.start").distinct()
 
 
 def contamination(docs: DataFrame, items: DataFrame, window: int = 10, lists: int = 3, id_col: str = "doc_id",
