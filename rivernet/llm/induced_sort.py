@@ -14,6 +14,7 @@ arrays.
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 from typing import IO
 
@@ -25,6 +26,8 @@ from rivernet.llm.quality_rules import common_prefixes, suffix_array
 DIRECT = 6_000_000
 #: Bytes of queue entries held in memory.
 MEMORY = 64_000_000
+#: Entries scanned, or characters hashed, at a time.
+PIECE = 1 << 18
 _ENTRY = np.dtype([("at", "<i4"), ("lcp", "<i2")])
 
 
@@ -66,7 +69,7 @@ class BucketQueue:
         for entries in self.held.pop(bucket, []):
             self.used -= entries.nbytes
             parts.append(entries)
-        return np.concatenate(parts).copy() if parts else np.zeros(0, dtype=_ENTRY)
+        return np.concatenate(parts) if parts else np.zeros(0, dtype=_ENTRY)
 
 
 class _Inducer:
@@ -80,8 +83,10 @@ class _Inducer:
         self.least = np.zeros(buckets, dtype=np.int16)  # no entry yet: no common prefix
 
     def scan(self, at: np.ndarray, lcp: np.ndarray) -> None:
-        if not len(at):
-            return
+        for a in range(0, len(at), PIECE):
+            self._scan(at[a:a + PIECE], lcp[a:a + PIECE])
+
+    def _scan(self, at: np.ndarray, lcp: np.ndarray) -> None:
         left = at - 1
         ok = (left >= 0) & self.wanted[left]
         here = np.flatnonzero(ok)
@@ -144,32 +149,37 @@ class _RangeMin:
         return out
 
 
-def s_types(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Whether each suffix is smaller than the next one, and the end of the
-    run of equal characters that it begins with."""
-    n = len(text)
-    change = np.flatnonzero(text[1:] != text[:-1])
-    out = np.empty(n, dtype=bool)
-    run_end = np.empty(n, dtype=np.int64)
-    if len(change):
-        lengths = np.diff(np.append(-1, change))
-        out[:change[-1] + 1] = np.repeat(text[change] < text[change + 1], lengths)
-        run_end[:change[-1] + 1] = np.repeat(change + 1, lengths)
-    tail = change[-1] + 1 if len(change) else 0
-    out[tail:], run_end[tail:] = True, n
-    return out, run_end
+def s_types(text: np.ndarray) -> np.ndarray:
+    """Whether each suffix is smaller than the next one, piece by piece from the end."""
+    out = np.empty(len(text), dtype=bool)
+    out[-1:] = True
+    for b in range(len(text) - 1, 0, -PIECE):
+        a = max(0, b - PIECE)
+        part = text[a:b + 1]
+        change = np.flatnonzero(part[1:] != part[:-1])
+        tail = a + (change[-1] + 1 if len(change) else 0)
+        out[a:tail] = np.repeat(part[change] < part[change + 1], np.diff(np.append(-1, change)))
+        out[tail:b] = out[b]  # equal to the character after the piece
+    return out
+
 
+def _run(text: np.ndarray, at: int, cap: int) -> int:
+    """How often the character at ``at`` stands there in a row, at most ``cap`` times."""
+    other = np.flatnonzero(text[at:at + cap] != text[at])
+    return int(other[0]) if len(other) else min(cap, len(text) - at)
 
-def _meet(run_end: np.ndarray, a: int, b: int, cap: int) -> int:
+
+def _meet(text: np.ndarray, a: int, b: int, cap: int) -> int:
     """An L and an S suffix of one character share the shorter of their runs."""
-    return min(int(run_end[a]) - int(a), int(run_end[b]) - int(b), cap)
+    return min(_run(text, int(a), cap), _run(text, int(b), cap))
 
 
-def _induce(text: np.ndarray, types: np.ndarray, run_end: np.ndarray, lms: np.ndarray, lms_lcp: np.ndarray,
-            alone: int, cap: int, memory: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Scan from sorted LMS suffixes: for each character its L suffixes and its
-    S suffixes as tuples, the latter from the largest on.  Characters under
-    ``alone`` occur once and are scanned as one bucket, which is not returned."""
+def _induce(text: np.ndarray, types: np.ndarray, lms: np.ndarray, lms_lcp: np.ndarray,
+            alone: int, cap: int, memory: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Scan from sorted LMS suffixes: for each character, from the largest on,
+    its L suffixes and its S suffixes as tuples, the latter from the largest on.
+    Characters under ``alone`` occur once and are scanned as one bucket, which is
+    not put out.  What was put out is not held any longer."""
     size = int(text.max()) + 1
     queue = BucketQueue(memory)
     ups = _Inducer(text, ~types, size, cap, queue)
@@ -187,10 +197,9 @@ def _induce(text: np.ndarray, types: np.ndarray, run_end: np.ndarray, lms: np.nd
         a, b = bound[c - alone], bound[c - alone + 1]
         if b > a:
             common = lms_lcp[a:b].copy()
-            common[0] = _meet(run_end, large[-1]["at"][-1], lms[a], cap) if len(large[-1]) else 0
+            common[0] = _meet(text, large[-1]["at"][-1], lms[a], cap) if len(large[-1]) else 0
             ups.scan(lms[a:b], common)
     downs = _Inducer(text, types, size, cap, queue)
-    small: list[np.ndarray] = []
     for c in range(size - 1, alone - 1, -1):
         parts = []
         while len(entries := queue.pop(c)):
@@ -198,34 +207,53 @@ def _induce(text: np.ndarray, types: np.ndarray, run_end: np.ndarray, lms: np.nd
                 entries["lcp"][0] = 0
             parts.append(entries)
             downs.scan(entries["at"], entries["lcp"])
-        small.append(np.concatenate(parts) if parts else np.zeros(0, dtype=_ENTRY))
-        entries = large[c - alone]
+        small = np.concatenate(parts) if parts else np.zeros(0, dtype=_ENTRY)
+        entries = large.pop()
         if len(entries):
             # backwards, each entry's common prefix is the one its follower had
             common = np.append(0, entries["lcp"][:0:-1]).astype(np.int16)
-            common[0] = _meet(run_end, entries["at"][-1], small[-1]["at"][-1], cap) if len(small[-1]) else 0
+            common[0] = _meet(text, entries["at"][-1], small["at"][-1], cap) if len(small) else 0
             downs.scan(entries["at"][::-1], common)
-    return list(zip(large, small[::-1], strict=True))
+        yield entries, small
 
 
 def _hashes(text: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Hashes of the substrings [begin, end]."""
-    x = (text.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
-    x ^= x >> np.uint64(32)
-    x *= np.uint64(0xC2B2AE3D27D4EB4F)
+    """Hashes of the substrings [begin, end], both ascending: differences of
+    running sums, which are kept only where a substring begins or ends."""
     step = 0xD6E8FEB86659FD93
-    powers = np.full(len(text) + 1, step, dtype=np.uint64)
-    powers[0] = 1
+    back = pow(step, -1, 1 << 64)
+    powers, backs = np.full(PIECE, step, dtype=np.uint64), np.full(PIECE, back, dtype=np.uint64)
+    powers[0] = backs[0] = 1
     np.cumprod(powers, out=powers)
-    sums = np.append(np.uint64(0), np.cumsum(x * powers[:-1]))
-    back = np.full(len(text) + 1, pow(step, -1, 1 << 64), dtype=np.uint64)
-    back[0] = 1
-    np.cumprod(back, out=back)
-    return (sums[end + 1] - sums[begin]) * back[begin]
+    np.cumprod(backs, out=backs)
+    out, before = np.empty(len(begin), dtype=np.uint64), np.empty(len(begin), dtype=np.uint64)
+    scale = np.empty(len(begin), dtype=np.uint64)
+    total, ahead, behind = np.uint64(0), 1, 1  # the sum up to a piece, step to its place, and the inverse
+    for a in range(0, len(text), PIECE):
+        x = (text[a:a + PIECE].astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+        x ^= x >> np.uint64(32)
+        x *= np.uint64(0xC2B2AE3D27D4EB4F)
+        x *= powers[:len(x)] * np.uint64(ahead)
+        sums = np.append(np.zeros(1, np.uint64), np.cumsum(x)) + total
+        lo, hi = np.searchsorted(begin, [a, a + len(x)])
+        at = begin[lo:hi] - a
+        before[lo:hi], scale[lo:hi] = sums[at], backs[at] * np.uint64(behind)
+        lo, hi = np.searchsorted(end, [a, a + len(x)])
+        out[lo:hi] = sums[end[lo:hi] - a + 1]
+        total = sums[-1]
+        ahead, behind = ahead * pow(step, PIECE, 1 << 64) % (1 << 64), behind * pow(back, PIECE, 1 << 64) % (1 << 64)
+    return (out - before) * scale
 
 
 def _extended(text: np.ndarray, a: np.ndarray, b: np.ndarray, have: np.ndarray, cap: int) -> np.ndarray:
     """Common prefixes of the suffixes a and b, of which ``have`` is known."""
+    out = np.empty(len(a), dtype=np.int16)
+    for k in range(0, len(a), PIECE):
+        out[k:k + PIECE] = _extended_part(text, a[k:k + PIECE], b[k:k + PIECE], have[k:k + PIECE], cap)
+    return out
+
+
+def _extended_part(text: np.ndarray, a: np.ndarray, b: np.ndarray, have: np.ndarray, cap: int) -> np.ndarray:
     out = np.minimum(have, cap).astype(np.int16)
     open_ = np.flatnonzero(out < cap)
     while len(open_):
@@ -238,7 +266,7 @@ def _extended(text: np.ndarray, a: np.ndarray, b: np.ndarray, have: np.ndarray,
     return out
 
 
-def _sorted_lms(text: np.ndarray, types: np.ndarray, run_end: np.ndarray, alone: int, cap: int, memory: int,
+def _sorted_lms(text: np.ndarray, types: np.ndarray, alone: int, cap: int, memory: int,
                 direct: int) -> tuple[np.ndarray, np.ndarray]:
     """LMS positions sorted by suffix, with common prefixes (at most ``cap``)."""
     lms = np.flatnonzero(types[1:] & ~types[:-1]) + 1
@@ -246,18 +274,21 @@ def _sorted_lms(text: np.ndarray, types: np.ndarray, run_end: np.ndarray, alone:
     rough = lms[np.argsort(text[lms], kind="stable")]
     is_lms = np.zeros(len(text), dtype=bool)
     is_lms[lms] = True
-    by_substring = [rough[text[rough] < alone]]
-    for _, small in _induce(text, types, run_end, rough, nothing, alone, 0, memory):
+    by_substring = []
+    for _, small in _induce(text, types, rough, nothing, alone, 0, memory):
         at = small["at"][::-1]
         by_substring.append(at[is_lms[at]])
-    order = np.concatenate(by_substring).astype(np.int64)
+    order = np.concatenate([rough[text[rough] < alone], *by_substring[::-1]]).astype(np.int64)
+    del by_substring, rough, is_lms, nothing
     # names: equal substrings, up to and with the next LMS position, get equal numbers
     ends = np.append(lms[1:], len(text) - 1)
-    place = np.empty(len(text), dtype=np.int64)
+    place = np.empty(len(text), dtype=np.int32)
     place[lms] = np.arange(len(lms))
     rank = place[order]
+    del place
     h, n = _hashes(text, lms, ends), ends - lms
     new = np.append(True, (h[rank[1:]] != h[rank[:-1]]) | (n[rank[1:]] != n[rank[:-1]]))
+    del h, n, ends
     have = np.zeros(len(lms), dtype=np.int64)
     if not new.all():
         names = np.empty(len(lms), dtype=np.int64)
@@ -265,9 +296,11 @@ def _sorted_lms(text: np.ndarray, types: np.ndarray, run_end: np.ndarray, alone:
         if len(names) <= direct:
             rank, ranks = suffix_array(names)
             shared = common_prefixes(rank, ranks)
+            del ranks
         else:
             rank, shared = sort_suffixes(names, 1, cap, memory, direct)
             rank, shared = np.append(len(names) - 1, rank), np.append(0, shared)  # the last name is the least
+        del names
         order = lms[rank]
         ahead = np.append(lms, len(text))
         have[1:] = ahead[np.minimum(rank[1:] + shared[1:], len(lms))] - lms[rank[1:]]
@@ -276,23 +309,30 @@ def _sorted_lms(text: np.ndarray, types: np.ndarray, run_end: np.ndarray, alone:
     return order, lcp
 
 
+def sorted_parts(text: np.ndarray, alone: int, cap: int, memory: int = MEMORY,
+                 direct: int = DIRECT) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The suffixes of each character from ``alone`` on, sorted, and their common
+    prefixes with the one before, at most ``cap`` (0 for the first): one part for
+    each character, the largest first."""
+    types = s_types(text)
+    lms, lms_lcp = _sorted_lms(text, types, alone, cap, memory, direct)
+    for large, small in _induce(text, types, lms, lms_lcp, alone, cap, memory):
+        a, b = large["at"], small["at"][::-1]
+        # common prefixes of S suffixes were kept with the follower
+        common = np.append(0, small["lcp"][:0:-1]).astype(np.int16)
+        if len(a) and len(b):
+            common[0] = _meet(text, a[-1], b[0], cap)
+        yield np.concatenate([a, b]), np.concatenate([large["lcp"], common[:len(b)]])
+
+
 def sort_suffixes(text: np.ndarray, alone: int, cap: int, memory: int = MEMORY,
                   direct: int = DIRECT) -> tuple[np.ndarray, np.ndarray]:
     """All suffixes that begin with a character from ``alone`` on, sorted, and
     their common prefixes with the one before, at most ``cap``.  The last
     character must be 0, and characters under ``alone`` occur once."""
-    types, run_end = s_types(text)
-    lms, lms_lcp = _sorted_lms(text, types, run_end, alone, cap, memory, direct)
-    at, lcp = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    for large, small in _induce(text, types, run_end, lms, lms_lcp, alone, cap, memory):
-        a, b = large["at"].astype(np.int64), small["at"][::-1].astype(np.int64)
-        # common prefixes of S suffixes were kept with the follower
-        common = np.append(0, small["lcp"][:0:-1]).astype(np.int64)
-        if len(a) and len(b):
-            common[0] = _meet(run_end, a[-1], b[0], cap)
-        at += [a, b]
-        lcp += [large["lcp"].astype(np.int64), common[:len(b)]]
-    return np.concatenate(at), np.concatenate(lcp)
+    parts = list(sorted_parts(text, alone, cap, memory, direct))[::-1]
+    return (np.concatenate([np.zeros(0, np.int64), *(at for at, _ in parts)]),
+            np.concatenate([np.zeros(0, np.int64), *(lcp for _, lcp in parts)]))
 
 
 def repeated_starts(blocks: list[bytes], length: int, memory: int = MEMORY, direct: int = DIRECT) -> list[np.ndarray]:
@@ -308,14 +348,14 @@ def repeated_starts(blocks: list[bytes], length: int, memory: int = MEMORY, dire
     sizes = np.array([len(b) for b in blocks], dtype=np.int64)
     ends = np.cumsum(sizes + 1) - 1
     text = np.zeros(int(ends[-1]) + 1, dtype=np.int32)
-    joined = np.frombuffer(b"\0".join(blocks) + b"\0", dtype=np.uint8)
-    text[:] = joined[:len(text)]
+    for block, end, n in zip(blocks, ends.tolist(), sizes.tolist(), strict=True):
+        text[end - n:end] = np.frombuffer(block, dtype=np.uint8)
     text += m
     text[ends] = np.arange(m)[::-1]  # each block ends with a character of its own, the last with the least
-    at, lcp = sort_suffixes(text, m, length, memory, direct)
     hit = np.zeros(len(text), dtype=bool)
-    twice = np.flatnonzero(lcp >= length)
-    hit[at[twice]] = True
-    hit[at[twice - 1]] = True
+    for at, lcp in sorted_parts(text, m, length, memory, direct):
+        twice = np.flatnonzero(lcp >= length)
+        hit[at[twice]] = True
+        hit[at[twice - 1]] = True
     starts = ends - sizes
     return [np.flatnonzero(hit[a:a + n]) for a, n in zip(starts.tolist(), sizes.tolist(), strict=True)]
