@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .doubling import chains, stored
-from .iterate import connected_components
+from .iterate import connected_components, cut
 
 # ---------------------------------------------------------------------------
 # construction
@@ -334,6 +334,8 @@ def clip_lines_outside(lines: DataFrame, polygons: DataFrame, size: float = 1000
                              c("px1"), c("py1"), c("px2"), c("py2")))
     if key:
         j = j.where(F.col("sid.fid")[key] == F.col("pfid")[key])
+    # crossings and pieces are read several times below
+    j = cut(j.select("sid", "pfid", "x1", "y1", "x2", "y2", "px1", "py1", "px2", "py2"), "crossings")
     rx, ry = c("x2") - c("x1"), c("y2") - c("y1")
     sx, sy = c("px2") - c("px1"), c("py2") - c("py1")
     den = rx * sy - ry * sx
@@ -358,6 +360,7 @@ def clip_lines_outside(lines: DataFrame, polygons: DataFrame, size: float = 1000
         "pid": F.struct("sid", "t0"),
         "x": c("x1") + (c("t0") + c("t1")) / 2 * (c("x2") - c("x1")),
         "y": c("y1") + (c("t0") + c("t1")) / 2 * (c("y2") - c("y1"))})
+    pieces = cut(pieces, "pieces")
     covered = point_in_polygon(pieces.select("pid", "x", "y"), ext, size)
     # pieces along a border of the polygon that their midpoint counts into
     touched = (j.where(den == 0).select("sid", F.col("pfid").alias("fid"), F.least(*t_both).alias("lo"),

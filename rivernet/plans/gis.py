@@ -1,8 +1,9 @@
 """The ``gis`` section: from catchments, lakes, streams and a terrain model
 to the inputs of the network compilation, for all regions at once.
 
-select streams and lakes per region (J1, J2) -> islands dropped (A1) -> streams
-cut at lakes (J12) -> contiguous pieces chained into lines -> nodes at line
+select streams and lakes per region (J1, J2) -> islands dropped (A1) -> line
+ends snapped (G1) and lines merged where just two meet (G2) -> streams cut at
+lakes (J12) -> contiguous pieces chained into lines -> nodes at line
 ends (G3) -> nearest lake per node (J4, ``snap``) -> node ids for non-lake
 nodes (X5) -> lake areas (A2, J5) -> cells under each line (J14) with
 altitude and local slope (R1) -> per-line profiles (A4, A5) -> lake borders
@@ -32,16 +33,57 @@ def _keyed(vertices: DataFrame, pairs: DataFrame) -> DataFrame:
     return j.withColumn("fid", F.struct("wrid", F.col("fid").alias("id"))).drop("wrid")
 
 
+def joined_streams(streams: DataFrame, snap: float | None = 1.0, merge: bool = True) -> DataFrame:
+    """Line vertices with ``fid`` = ``struct(wrid, id)`` after line ends
+    closer than ``snap`` metres were made one point (None: no snapping) and, with
+    ``merge``, lines that meet where just two line ends meet became one line with
+    the id and part of its first.  Only ends are snapped: the vertices of a
+    densely drawn line would all become one."""
+    v = streams.select("fid", "part", "seq", "x", "y")
+    first = v.groupBy("fid", "part").agg(F.min("seq").alias("low"), F.max("seq").alias("high"))
+    v = v.join(first, ["fid", "part"])
+    if snap is not None:
+        ends = v.where((F.col("seq") == F.col("low")) | (F.col("seq") == F.col("high"))).select(
+            F.col("fid.wrid").alias("wrid"), F.struct("fid", "part", "seq").alias("pid"), "x", "y")
+        moved = G.snap_points(ends, snap, keys=("wrid",)).select(
+            F.col("pid.fid").alias("fid"), F.col("pid.part").alias("part"), F.col("pid.seq").alias("seq"),
+            F.col("x").alias("sx"), F.col("y").alias("sy"))
+        v = v.join(moved, ["fid", "part", "seq"], "left").withColumns(
+            {"x": F.coalesce("sx", "x"), "y": F.coalesce("sy", "y")}).drop("sx", "sy")
+    v = cut(v, "snapped")
+    if not merge:
+        return v.select("fid", "part", "seq", "x", "y")
+    line = F.struct(F.col("fid.id").alias("id"), "part")
+    cats = cut(consecutive_ids(v.select(F.col("fid.wrid").alias("wrid"), line.alias("line")).distinct(),
+                               "line", keys=("wrid",), out="cat"), "stream_cats")
+    keyed = cut(v.withColumns({"wrid": F.col("fid.wrid"), "line": line, "seq": F.col("seq") - F.col("low")})
+                .join(cats, ["wrid", "line"]).select("wrid", F.col("cat").alias("fid"), "seq", "x", "y",
+                                                     (F.col("high") - F.col("low") == F.col("seq")).alias("is_last")), "stream_points")
+    ends = (keyed.where("seq = 0 OR is_last").groupBy("wrid", "fid")
+            .agg(F.min_by(F.struct("x", "y"), "seq").alias("a"), F.max_by(F.struct("x", "y"), "seq").alias("b")))
+    points = ends.select("wrid", F.col("a").alias("xy")).union(ends.select("wrid", "b")).distinct()
+    nodes = cut(consecutive_ids(points, "xy", keys=("wrid",), out="node"), "stream_nodes")
+    at = {e: nodes.select("wrid", F.col("xy").alias(e), F.col("node").alias(n)) for e, n in (("a", "from_node"), ("b", "to_node"))}
+    topology = cut(ends.join(at["a"], ["wrid", "a"]).join(at["b"], ["wrid", "b"])
+                   .select("wrid", F.col("fid").alias("line_cat"), "from_node", "to_node"), "stream_topology")
+    merged = G.merged_points(cut(G.chain_lines(topology), "stream_chains"), keyed)
+    return (merged.join(cats.withColumnRenamed("cat", "chain"), ["wrid", "chain"])
+            .select(F.struct("wrid", F.col("line.id").alias("id")).alias("fid"), F.col("line.part").alias("part"),
+                    "seq", "x", "y"))
+
+
 def gis_section(catchments: DataFrame, lakes: DataFrame, streams: DataFrame,
                 dem: DataFrame | None = None, wrids=None, snap: float = 1.0,
-                resolution: float = 10.0, size: float = 1000.0) -> dict[str, DataFrame]:
+                resolution: float = 10.0, size: float = 1000.0, snap_lines: float | None = 1.0,
+                merge: bool = True) -> dict[str, DataFrame]:
     """Returns ``lines(wrid, line_cat, from_node, to_node, length_m)``,
     ``nodes(wrid, node_id, lakeid, area_ha)``, ``edges(wrid, cat, length_m,
     stats)``, ``adjacency(wrid, left_lake, right_lake)`` and ``pieces``.
 
     ``catchments``/``lakes``: polygon vertices with ``fid`` = region id /
     lake id; ``streams``: line vertices; ``dem``: cells ``(row, col, z)`` of
-    ``resolution`` metres with the origin at (0, 0)."""
+    ``resolution`` metres with the origin at (0, 0).  ``snap`` is the reach of
+    lakes for nodes; ``snap_lines`` and ``merge`` as in :func:`joined_streams`."""
     sw = G.lines_in_polygons(streams, catchments, size).select(
         F.col("line").alias("id"), F.col("polygon").alias("wrid"))
     lw = G.polygons_intersect(lakes, catchments, size).select(
@@ -49,7 +91,7 @@ def gis_section(catchments: DataFrame, lakes: DataFrame, streams: DataFrame,
     if wrids is not None:
         sw, lw = io.select_region(sw, wrids, "wrid"), io.select_region(lw, wrids, "wrid")
     sw, lw = cut(sw, "streams_in_regions"), cut(lw, "lakes_in_regions")
-    streams_k = cut(_keyed(streams, sw), "streams")
+    streams_k = cut(joined_streams(_keyed(streams, sw), snap_lines, merge), "streams")
     lakes_k = cut(_keyed(G.exterior_lakes(lakes, size), lw), "lakes_ext")   # islands filled
     lakes_full_k = cut(_keyed(lakes, lw), "lakes")                          # for the area
 

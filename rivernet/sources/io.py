@@ -95,16 +95,17 @@ def write_partitioned(df: DataFrame, path: str, order=(), partitions: int | None
     (out.write.mode(mode).option("partitionOverwriteMode", "dynamic")
      .partitionBy("wrid").parquet(path))
     if wrids is not None:
-        stored = select_region(spark.read.parquet(path), wrids, column="wrid").select("wrid").distinct()
+        stored = select_region(spark.read.schema(df.schema).parquet(path), wrids, column="wrid").select("wrid").distinct()
         empty = spark.createDataFrame([], df.drop("wrid").schema)
         # one folder for each region that became empty
         for row in stored.join(df.select("wrid").distinct(), "wrid", "left_anti").collect():
             empty.write.mode("overwrite").parquet(f"{path}/wrid={row['wrid']}")
 
 
-def read_partitioned(spark: SparkSession, path: str, wrids=None) -> DataFrame:
-    """Read a ``wrid``-partitioned table; a region list prunes partitions."""
-    df = spark.read.parquet(path)
+def read_partitioned(spark: SparkSession, path: str, wrids=None, schema=None) -> DataFrame:
+    """Read a ``wrid``-partitioned table; a region list prunes partitions.  With
+    a ``schema`` the table may be without files."""
+    df = spark.read.parquet(path) if schema is None else spark.read.schema(schema).parquet(path)
     if wrids is None:
         return df
     return select_region(df, wrids, column="wrid")

@@ -8,14 +8,14 @@ from pyspark.sql import functions as F
 from ..plans import pipeline
 
 
-def refresh(spark: SparkSession, out: str, wrids, sections=pipeline.SECTIONS,
+def refresh(spark: SparkSession, out: str, wrids, sections=None,
             **inputs: DataFrame) -> dict[str, DataFrame]:
     """Re-run ``sections`` for ``wrids`` only; other regions keep their rows."""
     return pipeline.run(spark, out, wrids=wrids, sections=sections, **inputs)
 
 
 def refresh_on_arrival(spark: SparkSession, requests_dir: str, out: str, checkpoint: str,
-                       sections=pipeline.SECTIONS, available_now: bool = True,
+                       sections=None, available_now: bool = True,
                        **inputs: DataFrame):
     """Watch ``requests_dir`` for parquet files with a ``wrid`` column; every
     micro-batch refreshes the regions it lists.  The stream checkpoint makes
