@@ -121,16 +121,6 @@ def q_focal_combinations(spark, sf_dir):
     return P.lake_combinations(net, focal=focal)
 
 
-# ---------------------------------------------------------------------------
-# sources
-def q_read_topology(spark, sf_dir):
-    """Typed read of the line report and vertex attributes."""
-    lines = _inputs(spark, sf_dir)["lines"]
-    return lines.select("wrid", F.col("line_cat").cast("int").alias("line_cat"),
-                        F.col("from_node").cast("int").alias("from_node"),
-                        F.col("to_node").cast("int").alias("to_node"))
-
-
 # ---------------------------------------------------------------------------
 # scalar expressions
 def q_slope_to_cdeg(spark, sf_dir):
@@ -381,7 +371,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "G11_lake_combinations": q_lake_combinations,
     "G11_tree_combinations": q_tree_combinations,
     "X7_focal_combinations": q_focal_combinations,
-    "S4_read_topology": q_read_topology,
     "X1_slope_to_cdeg": q_slope_to_cdeg,
     "X2_slope_degrees": q_slope_degrees,
     "X3_coerce_scalar": q_coerce_scalar,

@@ -99,7 +99,42 @@ def q_gis_section(spark, sf_dir):
     return out["lines"].join(e, ["wrid", "line_cat"])
 
 
+def _report(spark, df, schema, columns, sep=" ", header=False):
+    """``df`` written as text reports, one folder a region, and read back by S4."""
+    path = scratch_path(spark, "report")
+    # as in the reports, no value is quoted and an absent one is empty
+    (df.select("wrid", *(F.col(c).alias(name) for c, name in zip(columns, schema.names, strict=True)))
+     .write.partitionBy("wrid").options(sep=sep, header=header).csv(path))
+    return io.read_report(spark, path, schema, sep, header).withColumn("wrid", F.col("wrid").cast(df.schema["wrid"].dataType))
+
+
+def q_read_topology(spark, sf_dir):
+    """Typed read of the line reports."""
+    register_fixtures(spark, sf_dir)
+    got = _report(spark, spark.table("fx_lines"), io.TOPOLOGY_SCHEMA, ("line_cat", "from_node", "to_node"))
+    return got.select("wrid", "line_cat", "from_node", "to_node")
+
+
+def q_read_vertices(spark, sf_dir):
+    """Typed read of the vertex attributes."""
+    register_fixtures(spark, sf_dir)
+    got = _report(spark, spark.table("fx_nodes"), io.VERTEX_ATTR_SCHEMA, ("node_id", "lakeid", "area_ha"), "|", True)
+    return got.select("wrid", "cat", "lakeid", "area_ha")
+
+
+def q_read_adjacency(spark, sf_dir):
+    """The border report, which also has the borders of lakes with no lake (-1 or 0)."""
+    register_fixtures(spark, sf_dir)
+    both = spark.table("fx_adjacency").select("wrid", "left_lake", "right_lake")
+    report = (both.union(both.select("wrid", "left_lake", F.lit(-1))).union(both.select("wrid", F.lit(0), "right_lake")))
+    got = _report(spark, report, io.ADJACENCY_SCHEMA, ("left_lake", "right_lake"))
+    return io.read_adjacency(got).select("wrid", "left_lake", "right_lake")
+
+
 QUERIES = {
+    "S4_read_topology": q_read_topology,
+    "S4_read_vertices": q_read_vertices,
+    "S4_read_adjacency": q_read_adjacency,
     "S1_read_features": q_read_features,
     "S1_S6_S7_gis_section": q_gis_section,
     "S3_select_region": q_select_region,
@@ -122,6 +157,11 @@ UNION ALL SELECT 'stream', ogc_fid FROM fx_stream_line""",
 SELECT DISTINCT l.id, c.gid FROM fx_lake_rect l JOIN fx_catchment c
 ON l.x1 <= c.x2 AND l.x2 >= c.x1 AND l.y1 <= c.y2 AND l.y2 >= c.y1
 WHERE c.county IN ({', '.join(repr(x) for x in COUNTIES)})""",
+    "S4_read_vertices": O.with_clause(views=("fx_nodes",)) + """
+SELECT wrid, CAST(node_id AS INTEGER) AS cat, CAST(lakeid AS INTEGER) AS lakeid, CAST(area_ha AS DOUBLE) AS area_ha
+FROM fx_nodes""",
+    "S4_read_adjacency": O.with_clause(views=("fx_adjacency",)) + """
+SELECT wrid, CAST(left_lake AS INTEGER) AS left_lake, CAST(right_lake AS INTEGER) AS right_lake FROM fx_adjacency""",
     "S5_save_load_network": O.NETWORK_ORACLE["X15_drop_small_clusters"],
     "S6_write_edges": O.NETWORK_ORACLE["A4_A5_X4_edge_table"],
     "S7_write_nodes": O.with_clause(views=("fx_nodes",)) +
