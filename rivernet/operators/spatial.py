@@ -23,6 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import work_partitions
 from .doubling import chains, stored
 from .iterate import connected_components, cut
 
@@ -159,14 +160,8 @@ def point_in_polygon(points: DataFrame, rings: DataFrame, size: float = 1000.0,
     cand = (pts.join(boxes, ["gx", "gy"])
             .where((F.col("x") >= F.col("bx1")) & (F.col("x") <= F.col("bx2"))
                    & (F.col("y") >= F.col("by1")) & (F.col("y") <= F.col("by2")))
-            .select("pid", "fid", "x", "y", F.floor(F.col("y") / band).alias("band")))
-    sb = seg.withColumn("band", F.explode(F.sequence(F.floor(F.least("y1", "y2") / band),
-                                                     F.floor(F.greatest("y1", "y2") / band))))
-    j = cand.join(sb.select("fid", "band", "x1", "y1", "x2", "y2"), ["fid", "band"])
-    x, y, x1, y1, x2, y2 = (F.col(c) for c in ("x", "y", "x1", "y1", "x2", "y2"))
-    crosses = ((y1 > y) != (y2 > y)) & (x < x1 + F.try_divide((y - y1) * (x2 - x1), y2 - y1))
-    return (j.where(crosses).groupBy("pid", "fid").count()
-            .where(F.col("count") % 2 == 1).select("pid", "fid"))
+            .select("pid", "fid", "x", "y"))
+    return _inside(cand, seg, band)
 
 
 def exterior_only(rings: DataFrame) -> DataFrame:
@@ -174,6 +169,84 @@ def exterior_only(rings: DataFrame) -> DataFrame:
     return rings.where(F.col("ring") == 0)
 
 
+def _key_of(fid: str, key: str | None):
+    """The field ``key`` of struct ids; one value for all without it."""
+    return F.col(fid)[key] if key else F.lit(0)
+
+
+def unlike_polygons(rings: DataFrame, key: str | None = None) -> DataFrame:
+    """One of each set of polygons with the same border segments (and the same
+    ``key``): the smallest id.  Borders are told apart by their number of
+    segments, their box and two sums of 64-bit hashes."""
+    c = [F.col(n) + 0.0 for n in ("x1", "y1", "x2", "y2")]   # -0.0 is 0.0
+    h = [F.sum(F.xxhash64(F.lit(i), *c).cast("decimal(20,0)")).alias(f"h{i}") for i in range(2)]
+    g = ring_segments(rings).groupBy("fid").agg(
+        F.count("*").alias("n"), F.min(F.least("x1", "x2")).alias("bx1"), F.max(F.greatest("x1", "x2")).alias("bx2"),
+        F.min(F.least("y1", "y2")).alias("by1"), F.max(F.greatest("y1", "y2")).alias("by2"), *h)
+    one = g.groupBy(_key_of("fid", key).alias("k"), "n", "bx1", "bx2", "by1", "by2", "h0", "h1").agg(F.min("fid").alias("fid"))
+    return rings.join(one.select("fid"), "fid", "left_semi")
+
+
+def cell_size(seg: DataFrame, least: float = 0.0) -> float:
+    """Half the median extent of the polygons with segments ``seg``: most of
+    them then cover some cells whole, and few of them meet in one cell."""
+    box = seg.groupBy("fid").agg(F.greatest(F.max(F.greatest("x1", "x2")) - F.min(F.least("x1", "x2")),
+                                            F.max(F.greatest("y1", "y2")) - F.min(F.least("y1", "y2"))).alias("e"))
+    half = box.where("e > 0").agg(F.percentile_approx("e", 0.5)).first()[0]
+    return max(half / 2 if half else 1000.0, least)
+
+
+def _passed_cells(df: DataFrame, size: float, pad: float = 0.0, cols=("x1", "y1", "x2", "y2")) -> DataFrame:
+    """Explode segments over the grid cells they pass (come within ``pad`` of),
+    column by column: as many cells as the segment is long, not its box."""
+    x1, y1, x2, y2 = (F.col(n) for n in cols)
+    out = df.withColumn("gx", F.explode(F.sequence(F.floor((F.least(x1, x2) - pad) / size),
+                                                   F.floor((F.greatest(x1, x2) + pad) / size))))
+    left, right = F.col("gx") * size - pad, (F.col("gx") + 1) * size + pad
+    slope = F.try_divide(y2 - y1, x2 - x1)
+
+    def at(x):
+        return F.greatest(F.least(y1, y2), F.least(F.greatest(y1, y2), y1 + (x - x1) * slope))
+
+    ya = F.when(x1 == x2, y1).otherwise(at(F.greatest(F.least(x1, x2), left)))
+    yb = F.when(x1 == x2, y2).otherwise(at(F.least(F.greatest(x1, x2), right)))
+    return out.withColumn("gy", F.explode(F.sequence(F.floor((F.least(ya, yb) - pad) / size),
+                                                     F.floor((F.greatest(ya, yb) + pad) / size))))
+
+
+def polygon_cells(seg: DataFrame, size: float) -> tuple[DataFrame, DataFrame]:
+    """Cells that polygons with segments ``seg(k, fid, ...)`` cover whole, and
+    cells with a border of theirs: two tables ``(k, fid, gx, gy)``.
+
+    A cell without a border is covered when its centre is inside: in each row
+    of cells, between every second two crossings of the line of centres."""
+    border = cut(_passed_cells(seg.select("k", "fid", "x1", "y1", "x2", "y2"), size, size * 1e-6)
+                 .select("k", "fid", "gx", "gy").distinct(), "border_cells")
+    x1, y1, x2, y2 = (F.col(n) for n in ("x1", "y1", "x2", "y2"))
+    rows = seg.select("k", "fid", "x1", "y1", "x2", "y2", F.explode(F.sequence(
+        F.floor(F.least(y1, y2) / size), F.floor(F.greatest(y1, y2) / size))).alias("gy"))
+    yc = (F.col("gy") + 0.5) * size
+    rows = rows.where((y1 > yc) != (y2 > yc)).select(
+        "k", "fid", "gy", (x1 + F.try_divide((yc - y1) * (x2 - x1), y2 - y1)).alias("x"))
+    w = Window.partitionBy("k", "fid", "gy").orderBy("x")
+    spans = rows.withColumns({"i": F.row_number().over(w), "to": F.lead("x").over(w)}).where("i % 2 = 1 and to is not null")
+    first, last = F.floor(F.col("x") / size - 0.5) + 1, F.ceil(F.col("to") / size - 0.5) - 1
+    whole = spans.where(first <= last).select("k", "fid", F.explode(F.sequence(first, last)).alias("gx"), "gy")
+    return whole.join(border, ["k", "fid", "gx", "gy"], "left_anti"), border
+
+
+def _inside(cand: DataFrame, seg: DataFrame, band: float) -> DataFrame:
+    """Which of the candidate pairs ``(pid, fid, x, y)`` are points strictly
+    inside (even-odd), by ray crossings in the point's horizontal band."""
+    sb = seg.select("fid", "x1", "y1", "x2", "y2", F.explode(F.sequence(
+        F.floor(F.least("y1", "y2") / band), F.floor(F.greatest("y1", "y2") / band))).alias("band"))
+    j = cand.withColumn("band", F.floor(F.col("y") / band)).join(sb, ["fid", "band"])
+    x, y, x1, y1, x2, y2 = (F.col(c) for c in ("x", "y", "x1", "y1", "x2", "y2"))
+    crosses = ((y1 > y) != (y2 > y)) & (x < x1 + F.try_divide((y - y1) * (x2 - x1), y2 - y1))
+    return (j.where(crosses).groupBy("pid", "fid").count()
+            .where(F.col("count") % 2 == 1).select("pid", "fid"))
+
+
 # ---------------------------------------------------------------------------
 # joins
 
@@ -308,7 +381,7 @@ def shared_borders(polygons: DataFrame, key: str | None = None, size: float = 10
     return (j.where(shared).select(c("fid").alias("left_lake"), c("pfid").alias("right_lake")).distinct())
 
 
-def clip_lines_outside(lines: DataFrame, polygons: DataFrame, size: float = 1000.0,
+def clip_lines_outside(lines: DataFrame, polygons: DataFrame, size: float | None = None,
                        key: str | None = None) -> DataFrame:
     """Parts of line segments outside all polygons (holes filled).
 
@@ -318,22 +391,28 @@ def clip_lines_outside(lines: DataFrame, polygons: DataFrame, size: float = 1000
     any side.  Pieces of at most 1e-9 of their segment are dropped.  With
     ``key``, ids are structs and only polygons with the same ``key`` field
     (e.g. the region) cut a line.  Returns ``(fid, part, seq, t0, t1, x1, y1,
-    x2, y2)``."""
-    ext = exterior_only(polygons)
+    x2, y2)``.
+
+    Where polygons lie on one another, one of each set of equal ones is looked
+    at, and nothing in a cell that one polygon covers whole: lines are cut at
+    the sides of the cells (``size``; :func:`cell_size` if None) as well, each
+    piece is tested against the borders of its cell only, and what was cut at
+    a side alone is joined again."""
+    ext = unlike_polygons(exterior_only(polygons), key)
+    ps = cut(ring_segments(ext).withColumn("k", _key_of("fid", key)), "borders")
+    size = size or cell_size(ps)
+    whole, border = polygon_cells(ps, size)
+    whole = cut(whole.select("k", "gx", "gy").distinct(), "covered")
     ls = (line_segments(lines).where((F.col("x1") != F.col("x2")) | (F.col("y1") != F.col("y2")))
-          .withColumn("sid", F.struct("fid", "part", "seq")))
-    ps = ring_segments(ext).select(F.col("fid").alias("pfid"),
-                                   *[F.col(c).alias("p" + c) for c in ("x1", "y1", "x2", "y2")])
-    A = _cells(ls.select("sid", "x1", "y1", "x2", "y2"), size)
-    B = _cells(ps, size, xs=("px1", "px2"), ys=("py1", "py2"))
+          .select(F.struct("fid", "part", "seq").alias("sid"), _key_of("fid", key).alias("k"), "x1", "y1", "x2", "y2"))
+    ls = cut(ls.repartition(work_partitions(lines.sparkSession), "sid"), "segments")   # small rows, much work for each
+    A = _passed_cells(ls, size)
+    B = _passed_cells(ps.select("k", F.col("fid").alias("pfid"), *[F.col(c).alias("p" + c) for c in ("x1", "y1", "x2", "y2")]),
+                      size, size * 1e-6, ("px1", "py1", "px2", "py2")).join(whole, ["k", "gx", "gy"], "left_anti")
     c = F.col
-    j = A.join(B, ["gx", "gy"]).where(
-        _first_cell_only(size, F.least(c("x1"), c("x2")), F.least(c("y1"), c("y2")),
-                         F.least(c("px1"), c("px2")), F.least(c("py1"), c("py2")))
-        & segments_intersect(c("x1"), c("y1"), c("x2"), c("y2"),
-                             c("px1"), c("py1"), c("px2"), c("py2")))
-    if key:
-        j = j.where(F.col("sid.fid")[key] == F.col("pfid")[key])
+    j = A.join(B, ["k", "gx", "gy"]).where(
+        segments_intersect(c("x1"), c("y1"), c("x2"), c("y2"),
+                           c("px1"), c("py1"), c("px2"), c("py2")))
     # crossings and pieces are read several times below
     j = cut(j.select("sid", "pfid", "x1", "y1", "x2", "y2", "px1", "py1", "px2", "py2"), "crossings")
     rx, ry = c("x2") - c("x1"), c("y2") - c("y1")
@@ -348,30 +427,44 @@ def clip_lines_outside(lines: DataFrame, polygons: DataFrame, size: float = 1000
     t_coll = F.array(*t_both)
     ts = j.select("sid", F.explode(F.when(den != 0, t_cross).otherwise(t_coll)).alias("t"))
     ts = ts.where((F.col("t") > 0) & (F.col("t") < 1))
-    tlist = ts.groupBy("sid").agg(F.array_distinct(F.collect_list("t")).alias("ts"))
-    seg = ls.join(tlist, "sid", "left")
-    bounds = F.array_sort(F.concat(F.array(F.lit(0.0), F.lit(1.0)),
-                                   F.coalesce("ts", F.array().cast("array<double>"))))
-    pieces = seg.select("sid", "x1", "y1", "x2", "y2", F.explode(F.arrays_zip(
+    tlist = ts.groupBy("sid").agg(F.collect_set("t").alias("ts"))
+    none = F.array().cast("array<double>")
+
+    def sides(v1, v2):   # where the segment passes from cell to cell
+        lo, hi = F.floor(F.least(v1, v2) / size) + 1, F.floor(F.greatest(v1, v2) / size)
+        return F.when(lo <= hi, F.transform(F.sequence(lo, hi), lambda g: (g * size - v1) / (v2 - v1))).otherwise(none)
+
+    seg = (ls.join(tlist, "sid", "left").withColumn("ts", F.coalesce("ts", none))
+           .withColumn("cs", F.filter(F.concat(sides(c("x1"), c("x2")), sides(c("y1"), c("y2"))),
+                                      lambda g: (g > 1e-9) & (g < 1 - 1e-9)
+                                      & ~F.exists("ts", lambda t: F.abs(t - g) <= 1e-9))))
+    bounds = F.array_sort(F.concat(F.array(F.lit(0.0), F.lit(1.0)), "ts", "cs"))
+    pieces = seg.select("sid", "k", "x1", "y1", "x2", "y2", "ts", F.explode(F.arrays_zip(
         F.slice(bounds, 1, F.size(bounds) - 1), F.slice(bounds, 2, F.size(bounds)))).alias("iv"))
-    pieces = pieces.select("sid", "x1", "y1", "x2", "y2", F.col("iv.0").alias("t0"),
-                           F.col("iv.1").alias("t1")).where(F.col("t1") - F.col("t0") > 1e-9)
+    pieces = pieces.select("sid", "k", "x1", "y1", "x2", "y2", F.col("iv.0").alias("t0"), F.col("iv.1").alias("t1"),
+                           F.array_contains("ts", F.col("iv.0")).alias("met")).where(F.col("t1") - F.col("t0") > 1e-9)
     pieces = pieces.withColumns({
         "pid": F.struct("sid", "t0"),
         "x": c("x1") + (c("t0") + c("t1")) / 2 * (c("x2") - c("x1")),
         "y": c("y1") + (c("t0") + c("t1")) / 2 * (c("y2") - c("y1"))})
-    pieces = cut(pieces, "pieces")
-    covered = point_in_polygon(pieces.select("pid", "x", "y"), ext, size)
+    pieces = pieces.withColumns({"gx": F.floor(c("x") / size), "gy": F.floor(c("y") / size)})
+    pieces = cut(pieces.join(whole, ["k", "gx", "gy"], "left_anti"), "pieces")
+    cand = pieces.select("k", "gx", "gy", "pid", "x", "y").join(border, ["k", "gx", "gy"]).select("pid", "fid", "x", "y")
+    covered = _inside(cand, ps, size)
     # pieces along a border of the polygon that their midpoint counts into
     touched = (j.where(den == 0).select("sid", F.col("pfid").alias("fid"), F.least(*t_both).alias("lo"),
                                         F.greatest(*t_both).alias("hi")))
     on_border = (pieces.select("sid", "pid", ((F.col("t0") + F.col("t1")) / 2).alias("mid")).join(touched, "sid")
                  .where((F.col("mid") > F.col("lo")) & (F.col("mid") < F.col("hi"))).select("pid", "fid").distinct())
-    covered = covered.join(on_border, ["pid", "fid"], "left_anti")
-    if key:
-        covered = covered.where(F.col("pid.sid.fid")[key] == F.col("fid")[key])
-    covered = covered.select("pid").distinct()
+    covered = covered.join(on_border, ["pid", "fid"], "left_anti").select("pid").distinct()
     out = pieces.join(covered, "pid", "left_anti")
+    # a cut at the side of a cell is none
+    w = Window.partitionBy("sid").orderBy("t0")
+    before = F.lag("t1").over(w)
+    begins = F.when(before.isNull() | F.col("met") | (F.col("t0") - before > 2e-9), 1).otherwise(0)
+    out = (out.withColumn("begins", begins).withColumn("run", F.sum("begins").over(w))
+           .groupBy("sid", "run").agg(F.min("t0").alias("t0"), F.max("t1").alias("t1"),
+                                      *[F.first(n).alias(n) for n in ("x1", "y1", "x2", "y2")]))
     return out.select(
         F.col("sid.fid").alias("fid"), F.col("sid.part").alias("part"), F.col("sid.seq").alias("seq"),
         "t0", "t1",
