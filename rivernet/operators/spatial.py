@@ -310,31 +310,53 @@ def regions_with_features(regions: DataFrame, features: DataFrame, size: float =
 
 
 def nearest_polygon(points: DataFrame, polygons: DataFrame, dmax: float = 1.0,
-                    size: float = 1000.0, key: str | None = None) -> DataFrame:
+                    size: float | None = None, key: str | None = None) -> DataFrame:
     """For each point ``(pid, x, y)`` the id of the nearest polygon (holes
     filled) within ``dmax``; 0 inside; ties -> smaller id; NULL if none.
 
     Squared distances are computed without division where the foot of the
     perpendicular falls inside the segment (cross^2 / len^2), so axis-parallel
-    borders give exact distances and exact ties."""
-    ext = exterior_only(polygons)
-    seg = ring_segments(ext).select("fid", "x1", "y1", "x2", "y2")
-    pc = _cells(points.select("pid", "x", "y"), size, pad=dmax, xs=("x",), ys=("y",))
-    sc = _cells(seg, size)
-    j = pc.join(sc, ["gx", "gy"])
-    x, y, x1, y1, x2, y2 = (F.col(c) for c in ("x", "y", "x1", "y1", "x2", "y2"))
-    dx, dy = x2 - x1, y2 - y1
-    dot = (x - x1) * dx + (y - y1) * dy
-    len2 = dx * dx + dy * dy
-    cross = dx * (y - y1) - dy * (x - x1)
-    d2 = (F.when(dot <= 0, (x - x1) * (x - x1) + (y - y1) * (y - y1))
-          .when(dot >= len2, (x - x2) * (x - x2) + (y - y2) * (y - y2))
-          .otherwise(F.try_divide(cross * cross, len2)))
-    near = j.select("pid", "fid", d2.alias("d2")).where(F.col("d2") <= dmax * dmax)
-    inside = point_in_polygon(points, ext, size).withColumn("d2", F.lit(0.0))
-    if key:   # ids are structs; match only inside the same region
-        near = near.where(F.col("pid")[key] == F.col("fid")[key])
-        inside = inside.where(F.col("pid")[key] == F.col("fid")[key])
+    borders give exact distances and exact ties.
+
+    A point meets the polygons of its cell only (``size``; :func:`cell_size` if
+    None): one of each set of equal ones; where one covers the cell whole, just
+    borders in the cell with a smaller id; else no border that is farther from
+    all of the cell than another one from any place in it."""
+    ext = unlike_polygons(exterior_only(polygons), key)
+    seg = cut(ring_segments(ext).select(_key_of("fid", key).alias("k"), "fid", "x1", "y1", "x2", "y2"), "borders")
+    size = size or cell_size(seg, dmax)
+    whole, border = polygon_cells(seg, size)
+    cell = ["k", "gx", "gy"]
+    whole = cut(whole.groupBy(*cell).agg(F.min("fid").alias("least")), "covered")
+    border = border.join(whole, cell, "left").where("least is null or fid < least").drop("least")
+
+    def far2(x, y):
+        """Squared distance of the place (x, y) from the segment."""
+        x1, y1, x2, y2 = (F.col(c) for c in ("x1", "y1", "x2", "y2"))
+        dx, dy = x2 - x1, y2 - y1
+        dot = (x - x1) * dx + (y - y1) * dy
+        len2 = dx * dx + dy * dy
+        cross = dx * (y - y1) - dy * (x - x1)
+        return (F.when(dot <= 0, (x - x1) * (x - x1) + (y - y1) * (y - y1))
+                .when(dot >= len2, (x - x2) * (x - x2) + (y - y2) * (y - y2))
+                .otherwise(F.try_divide(cross * cross, len2)))
+
+    left, low = F.col("gx") * size, F.col("gy") * size
+    gap = lambda lo, hi, a, b: F.greatest(lo - F.greatest(a, b), F.least(a, b) - hi, F.lit(0.0))
+    dx, dy = gap(left, left + size, F.col("x1"), F.col("x2")), gap(low, low + size, F.col("y1"), F.col("y2"))
+    # the distance from a segment is greatest in a corner of the cell
+    most = F.greatest(*[far2(left + i * size, low + j * size) for i in (0, 1) for j in (0, 1)])
+    sc = (_passed_cells(seg, size, dmax * (1 + 1e-9) + size * 1e-6).withColumns({"lo": dx * dx + dy * dy, "most": most})
+          .join(whole, cell, "left").where(f"least is null or (fid < least and lo <= {1e-9 * size * size!r})"))
+    sc = (sc.withColumn("bound", F.min("most").over(Window.partitionBy(*cell)))
+          .where(F.col("lo") <= F.col("bound") * (1 + 1e-6) + 1e-9 * size * size)
+          .select(*cell, "fid", "x1", "y1", "x2", "y2"))
+    pc = points.select("pid", _key_of("pid", key).alias("k"), "x", "y", F.floor(F.col("x") / size).alias("gx"),
+                       F.floor(F.col("y") / size).alias("gy"))
+    near = (pc.join(sc, cell).select("pid", "fid", far2(F.col("x"), F.col("y")).alias("d2"))
+            .where(F.col("d2") <= dmax * dmax))
+    inside = (_inside(pc.join(border, cell).select("pid", "fid", "x", "y"), seg, size)
+              .union(pc.join(whole, cell).select("pid", "least")).withColumn("d2", F.lit(0.0)))
     best = (near.unionByName(inside)
             .groupBy("pid").agg(F.min(F.struct("d2", "fid")).alias("m"))
             .select("pid", F.col("m.fid").alias("lakeid"), F.sqrt("m.d2").alias("distance")))

@@ -49,3 +49,41 @@ def test_clip_joins_what_the_grid_cut(spark):
                                              "id long, x1 double, y1 double, x2 double, y2 double"), "id")
     out = G.clip_lines_outside(_line(spark, [(0.3, 0.7), (97.1, 43.9)]), far).collect()
     assert [(r.t0, r.t1) for r in out] == [(0.0, 1.0)]
+
+
+def test_nearest_among_many_polygons(spark):
+    """Quadrangles on one another, against all distances."""
+    rng = random.Random(5)
+    rings = {}
+    for fid in range(60):
+        cx, cy, r, a = rng.uniform(0, 60), rng.uniform(0, 60), rng.uniform(3, 14), rng.uniform(0, 6)
+        rings[fid] = [(cx + r * math.cos(a + k * math.pi / 2), cy + r * math.sin(a + k * math.pi / 2)) for k in range(4)]
+    rings[60] = rings[7]
+    pts = {i: (rng.uniform(-20, 80), rng.uniform(-20, 80)) for i in range(300)}
+
+    def distance(p, ring):
+        inside, best = False, math.inf
+        for (ax, ay), (bx, by) in zip(ring, ring[1:] + ring[:1]):
+            if (ay > p[1]) != (by > p[1]) and p[0] < ax + (p[1] - ay) * (bx - ax) / (by - ay):
+                inside = not inside
+            t = max(0.0, min(1.0, ((p[0] - ax) * (bx - ax) + (p[1] - ay) * (by - ay)) / ((bx - ax) ** 2 + (by - ay) ** 2)))
+            best = min(best, math.hypot(p[0] - ax - t * (bx - ax), p[1] - ay - t * (by - ay)))
+        return 0.0 if inside else best
+
+    want = {}
+    for i, p in pts.items():
+        d, fid = min((distance(p, ring), fid) for fid, ring in rings.items())
+        want[i] = fid if d <= 5.0 else None
+    polygons = spark.createDataFrame([(f, 0, 0, k, x, y) for f, ring in rings.items() for k, (x, y) in enumerate(ring)],
+                                     "fid long, part int, ring int, seq int, x double, y double")
+    points = spark.createDataFrame([(i, x, y) for i, (x, y) in pts.items()], "pid long, x double, y double")
+    for size in (None, 2.0, 50.0):
+        got = {r.pid: r.lakeid for r in G.nearest_polygon(points, polygons, dmax=5.0, size=size).collect()}
+        assert got == want
+
+
+def test_nearest_looks_once_at_equal_polygons(spark, monkeypatch):
+    rows = _written(monkeypatch)
+    points = spark.createDataFrame([(1, 50.0, 50.0), (2, 100.0, 101.0)], "pid long, x double, y double")
+    got = {r.pid: r.lakeid for r in G.nearest_polygon(points, _squares(spark, 60, 0.0)).collect()}
+    assert got == {1: 0, 2: 0} and rows["borders"] == 4
