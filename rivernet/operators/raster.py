@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .iterate import connected_components, cut
@@ -22,28 +22,56 @@ OFFSETS = [(0, 1, False), (-1, 1, True), (-1, 0, False), (-1, -1, True),
            (0, -1, False), (1, -1, True), (1, 0, False), (1, 1, True)]
 
 
-def _offsets():
-    """The offsets as an array literal, exploded per cell (no join)."""
-    return F.array(*[F.struct(F.lit(i + 1).alias("d"), F.lit(dr).alias("dr"), F.lit(dc).alias("dc"),
-                              F.lit(diag).alias("diagonal"))
-                     for i, (dr, dc, diag) in enumerate(OFFSETS)])
+BLOCK = 1024   # cells of a row or column that one window passes
+
+
+def _beside(cells: DataFrame, keys, along: str, across: str, value) -> DataFrame:
+    """``cells`` with the place in ``along`` and ``value`` of the cells before
+    (``p``, ``pv``) and after (``n``, ``nv``) that are at most two away.
+    Windows pass blocks of rows or columns; the two cells at each end of a
+    block also stand in the next."""
+    block, inside = F.floor(F.col(along) / BLOCK), F.pmod(along, F.lit(BLOCK))
+    blocks = F.array(block, F.when(inside < 2, block - 1), F.when(inside >= BLOCK - 2, block + 1))
+    c = cells.withColumns({"own": block, "value": value}).withColumn("block", F.explode(F.array_compact(blocks)))
+    w = Window.partitionBy(*keys, across, "block").orderBy(along)
+    c = c.withColumns({"p": F.lag(along).over(w), "pv": F.lag("value").over(w),
+                       "n": F.lead(along).over(w), "nv": F.lead("value").over(w)})
+    return c.where("block = own").drop("block", "own", "value")
 
 
 def neighbour_cells(cells: DataFrame, keys=(), only_stream: bool = True) -> DataFrame:
     """``(keys, row, col, d, diagonal, nrow, ncol, z, nz)`` for the 8
     neighbours that exist (and are stream cells when ``only_stream``).
 
-    Each cell is exploded into its 8 offsets, then one equi-join finds them."""
+    Places with a cell, or with one beside them in their row, see these three;
+    each cell then sees what the places above and below it see: cells move
+    twice, not once for each neighbour.  A cell stands once in ``cells``."""
     keys = list(keys)
     c = cells.where(F.col("cat").isNotNull()) if only_stream else cells
-    c = c.select(*keys, "row", "col", "z")
-    out = (c.select(*keys, "row", "col", "z", F.explode(_offsets()).alias("o"))
-           .select(*keys, "row", "col", "z", F.col("o.d").alias("d"),
-                   F.col("o.diagonal").alias("diagonal"),
-                   (F.col("row") + F.col("o.dr")).alias("nrow"),
-                   (F.col("col") + F.col("o.dc")).alias("ncol")))
-    n = c.select(*keys, F.col("row").alias("nrow"), F.col("col").alias("ncol"), F.col("z").alias("nz"))
-    return out.join(n, [*keys, "nrow", "ncol"])
+    me, none, col = F.struct("z"), F.when(F.lit(False), F.struct("z")), F.col("col")
+    c = _beside(c.select(*keys, "row", "col", "z"), keys, "col", "row", me)
+
+    def place(at, mid, west, east):
+        return F.struct(at.alias("col"), mid.alias("mid"), west.alias("west"), east.alias("east"))
+
+    # an empty place between two cells comes from the one before it
+    places = F.array(place(col, me, F.when(F.col("p") == col - 1, F.col("pv")), F.when(F.col("n") == col + 1, F.col("nv"))),
+                     F.when(F.col("n").isNull() | (F.col("n") > col + 1),
+                            place(col + 1, none, me, F.when(F.col("n") == col + 2, F.col("nv")))),
+                     F.when(F.col("p").isNull() | (F.col("p") < col - 2), place(col - 1, none, none, me)))
+    c = c.select(*keys, "row", F.explode(F.array_compact(places)).alias("o")).select(*keys, "row", "o.*")
+    c = _beside(c, keys, "row", "col", F.struct("mid", "west", "east")).where("mid is not null")
+    c = c.withColumns({"low": F.when(F.col("p") == F.col("row") - 1, F.col("pv")),
+                       "high": F.when(F.col("n") == F.col("row") + 1, F.col("nv")), "z": F.col("mid.z")})
+
+    def seen(dr, dc):
+        side = {-1: "west", 0: "mid", 1: "east"}[dc]
+        return F.col(side) if dr == 0 else F.col("low" if dr < 0 else "high")[side]
+
+    found = F.array_compact(F.array(*[F.when(seen(dr, dc).isNotNull(), F.struct(
+        F.lit(i + 1).alias("d"), F.lit(diag).alias("diagonal"), (F.col("row") + dr).alias("nrow"),
+        (F.col("col") + dc).alias("ncol"), seen(dr, dc)["z"].alias("nz"))) for i, (dr, dc, diag) in enumerate(OFFSETS)]))
+    return c.select(*keys, "row", "col", "z", F.explode(found).alias("o")).select(*keys, "row", "col", "z", "o.*")
 
 
 def local_slope(cells: DataFrame, nsres: float, ewres: float, formula: str = "reference",
@@ -121,13 +149,13 @@ def extract_streams(d8: DataFrame, acc: DataFrame, threshold: int = 2000,
     ``round(min_length_m / resolution)`` cells are dropped."""
     keys = list(keys)
     k = [*keys, "row", "col"]
-    s = acc.where(F.col("acc") >= threshold).select(*k)
+    s = cut(acc.where(F.col("acc") >= threshold).select(*k), "stream_cells")
     d = d8.join(s, k, "left_semi").select(*k, "nrow", "ncol")
-    nxt = d.join(s.select(*keys, F.col("row").alias("nrow"), F.col("col").alias("ncol")),
-                 [*keys, "nrow", "ncol"], "left_semi")
+    nxt = cut(d.join(s.select(*keys, F.col("row").alias("nrow"), F.col("col").alias("ncol")),
+                     [*keys, "nrow", "ncol"], "left_semi"), "stream_arcs")
     inflow = nxt.groupBy(*keys, F.col("nrow").alias("row"), F.col("ncol").alias("col")) \
         .agg(F.count("*").alias("inflow"))
-    s2 = s.join(inflow, k, "left").fillna(0, ["inflow"])
+    s2 = cut(s.join(inflow, k, "left").fillna(0, ["inflow"]), "inflow")
     # first-order chains are the components, with a source, of the arcs into
     # cells with exactly one stream inflow
     arcs = (nxt.join(s2.select(*keys, F.col("row").alias("nrow"), F.col("col").alias("ncol"),
@@ -136,7 +164,7 @@ def extract_streams(d8: DataFrame, acc: DataFrame, threshold: int = 2000,
             .select(*keys, F.struct("row", "col").alias("src"),
                     F.struct(F.col("nrow").alias("row"), F.col("ncol").alias("col")).alias("dst")))
     cells = s2.select(*keys, F.struct("row", "col").alias("cell"), "inflow")
-    chain = connected_components(cells, arcs, keys=keys, vertex="cell").join(cells, [*keys, "cell"])
+    chain = cut(connected_components(cells, arcs, keys=keys, vertex="cell").join(cells, [*keys, "cell"]), "chains")
     by_chain = chain.groupBy(*keys, "component").agg(F.count("*").alias("n"), F.min("inflow").alias("least"))
     short = (chain.join(by_chain, [*keys, "component"])
              .where((F.col("least") == 0) & (F.col("n") < round(min_length_m / resolution)))

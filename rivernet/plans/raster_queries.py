@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.exprs import fixed_round
 from ..operators import raster as RS
 from ..operators import spatial as G
+from ..operators.iterate import cut
 from ..sources.fixtures import register_fixtures
 from .oracle import _stat_sql, with_clause
 
@@ -68,7 +69,7 @@ def q_accumulation(spark, sf_dir):
 
 
 def q_extract_streams(spark, sf_dir):
-    d8 = _d8(spark, sf_dir)
+    d8 = cut(_d8(spark, sf_dir), "d8")   # read by both steps
     acc = RS.flow_accumulation(d8)
     return RS.extract_streams(d8, acc, threshold=THRESHOLD, min_length_m=MIN_LENGTH_M,
                               resolution=RES)
