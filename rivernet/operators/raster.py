@@ -123,23 +123,26 @@ def flow_accumulation(d8: DataFrame, keys=()) -> DataFrame:
 
     Pointer doubling on the drainage forest: after k rounds a cell counts the
     cells less than 2^k steps above it and points 2^k steps down, so the rounds
-    are logarithmic in the longest flow path.  Every round is written to the
-    checkpoint folder."""
+    are logarithmic in the longest flow path.  A round holds only the cells
+    whose way goes on that far; what they hand down is added up at the end.
+    Every round is written to the checkpoint folder."""
     keys = list(keys)
     k, p = [*keys, "row", "col"], [*keys, "nrow", "ncol"]
-    state = cut(d8.select(*k, F.when(F.col("d").isNotNull(), F.col("nrow")).alias("nrow"),
+    cells = cut(d8.select(*k, F.when(F.col("d").isNotNull(), F.col("nrow")).alias("nrow"),
                           F.when(F.col("d").isNotNull(), F.col("ncol")).alias("ncol"),
                           F.lit(1).cast("long").alias("acc")), "accum")
-    while not state.where(F.col("nrow").isNotNull()).isEmpty():
-        moving = state.where(F.col("nrow").isNotNull())
-        above = (moving.groupBy(*p).agg(F.sum("acc").alias("more"))
-                 .withColumnsRenamed({"nrow": "row", "ncol": "col"}))
-        ahead = state.select(*keys, F.col("row").alias("nrow"), F.col("col").alias("ncol"),
-                             F.col("nrow").alias("row2"), F.col("ncol").alias("col2"))
-        state = cut(state.join(above, k, "left").join(ahead, p, "left")
-                    .select(*k, F.col("row2").alias("nrow"), F.col("col2").alias("ncol"),
-                            (F.col("acc") + F.coalesce("more", F.lit(0))).alias("acc")), "accum")
-    return state.select(*k, "acc")
+    moving = cells.where(F.col("nrow").isNotNull())
+    total = cells.select(*k, "acc")
+    while not moving.isEmpty():
+        above = cut(moving.groupBy(*p).agg(F.sum("acc").alias("more"))
+                    .withColumnsRenamed({"nrow": "row", "ncol": "col"}), "handed")
+        total = total.unionByName(above.withColumnRenamed("more", "acc"))
+        ahead = moving.select(*keys, F.col("row").alias("nrow"), F.col("col").alias("ncol"),
+                              F.col("nrow").alias("row2"), F.col("ncol").alias("col2"))
+        moving = cut(moving.join(ahead, p).join(above, k, "left")
+                     .select(*k, F.col("row2").alias("nrow"), F.col("col2").alias("ncol"),
+                             (F.col("acc") + F.coalesce("more", F.lit(0))).alias("acc")), "accum")
+    return total.groupBy(*k).agg(F.sum("acc").alias("acc"))
 
 
 def extract_streams(d8: DataFrame, acc: DataFrame, threshold: int = 2000,
