@@ -13,6 +13,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import work_partitions
 from .iterate import connected_components, cut
 from .network import edge_profile
 from .spatial import _cells, point_in_polygon, ring_segments
@@ -231,8 +232,11 @@ def cells_of_lines(segments: DataFrame, resolution: float = 10.0) -> DataFrame:
     """Every cell a line segment touches, ``(fid, row, col)`` distinct.
 
     Walks the segment column by column (the y-range inside each column gives
-    the rows), so the work is proportional to the cells touched."""
+    the rows), so the work is proportional to the cells touched.  Segments are
+    few bytes each and are dealt by line before they become cells, else one
+    task makes the cells of all the segments of its input."""
     r = float(resolution)
+    segments = segments.repartition(work_partitions(segments.sparkSession), "fid")
     x1, y1, x2, y2 = (F.col(c) for c in ("x1", "y1", "x2", "y2"))
     s = segments.select("fid", "x1", "y1", "x2", "y2",
                         F.explode(F.sequence(F.floor(F.least(x1, x2) / r),

@@ -43,3 +43,11 @@ def test_rounds_hold_the_cells_that_move_on(spark, monkeypatch):
     got = {(r["row"], r["col"]): r["acc"] for r in RS.flow_accumulation(_river(spark, 64).unionByName(short)).collect()}
     assert len(got) == 464 and all(got[i, 0] == i + 1 for i in range(64)) and got[1, 11] == 2 and got[0, 10] == 1
     assert rows[0] == 464 and rows[1:] == [62, 60, 56, 48, 32, 0]
+
+
+def test_cells_of_lines_are_made_by_many_tasks(spark):
+    segments = spark.range(0, 400, 1, 1).select(F.col("id").alias("fid"), *[F.lit(v).alias(c) for c, v in zip(
+        ("x1", "y1", "x2", "y2"), (0.0, 0.0, 300.0, 90.0), strict=True)])
+    cells = RS.cells_of_lines(segments)
+    assert cells.rdd.glom().filter(len).count() == 4
+    assert cells.count() == 400 * cells.where("fid = 0").count()
