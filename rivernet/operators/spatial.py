@@ -371,22 +371,21 @@ def border_lakes(borders: DataFrame, categories: DataFrame) -> DataFrame:
     return borders.join(left, "left_cat", "left").join(right, "right_cat", "left")
 
 
-def shared_borders(polygons: DataFrame, key: str | None = None, size: float = 1000.0,
+def shared_borders(polygons: DataFrame, key: str | None = None, size: float | None = None,
                    tolerance: float = 1e-6) -> DataFrame:
     """Pairs of different polygons whose borders share a stretch longer
     than ``tolerance`` (their vertices may differ), ``(left_lake < right_lake)``,
     each pair once.  Borders are one where both ends of a segment lie within
     ``tolerance`` of the line through the other: on a slope, coordinates that
     are rounded to doubles are never exactly on it."""
-    s = ring_segments(polygons).select("fid", "x1", "y1", "x2", "y2")
-    other = s.select(F.col("fid").alias("pfid"), *[F.col(c).alias("p" + c) for c in ("x1", "y1", "x2", "y2")])
+    s = cut(ring_segments(polygons).select(_key_of("fid", key).alias("k"), "fid", "x1", "y1", "x2", "y2"), "borders")
+    size = size or cell_size(s)
+    other = s.select("k", F.col("fid").alias("pfid"), *[F.col(c).alias("p" + c) for c in ("x1", "y1", "x2", "y2")])
     c = F.col
-    j = (_cells(s, size, pad=tolerance).join(_cells(other, size, xs=("px1", "px2"), ys=("py1", "py2")), ["gx", "gy"])
-         .where((c("fid") < c("pfid"))
-                & _first_cell_only(size, F.least(c("x1"), c("x2")) - tolerance, F.least(c("y1"), c("y2")) - tolerance,
-                                   F.least(c("px1"), c("px2")), F.least(c("py1"), c("py2")))))
-    if key:
-        j = j.where(F.col("fid")[key] == F.col("pfid")[key])
+    # a pair may meet in more than one cell
+    j = (_passed_cells(s, size, tolerance + size * 1e-6)
+         .join(_passed_cells(other, size, 0.0, ("px1", "py1", "px2", "py2")), ["k", "gx", "gy"])
+         .where(c("fid") < c("pfid")))
     rx, ry = c("x2") - c("x1"), c("y2") - c("y1")
 
     def off(x, y):   # 0 on the line through the segment

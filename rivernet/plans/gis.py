@@ -83,7 +83,8 @@ def gis_section(catchments: DataFrame, lakes: DataFrame, streams: DataFrame,
     ``catchments``/``lakes``: polygon vertices with ``fid`` = region id /
     lake id; ``streams``: line vertices; ``dem``: cells ``(row, col, z)`` of
     ``resolution`` metres with the origin at (0, 0).  ``snap`` is the reach of
-    lakes for nodes; ``snap_lines`` and ``merge`` as in :func:`joined_streams`."""
+    lakes for nodes; ``snap_lines`` and ``merge`` as in :func:`joined_streams`.  ``size``: grid
+    cells of the joins with the catchments; those with the lakes choose theirs."""
     sw = G.lines_in_polygons(streams, catchments, size).select(
         F.col("line").alias("id"), F.col("polygon").alias("wrid"))
     lw = G.polygons_intersect(lakes, catchments, size).select(
@@ -95,7 +96,7 @@ def gis_section(catchments: DataFrame, lakes: DataFrame, streams: DataFrame,
     lakes_k = cut(_keyed(G.exterior_lakes(lakes, size), lw), "lakes_ext")   # islands filled
     lakes_full_k = cut(_keyed(lakes, lw), "lakes")                          # for the area
 
-    pieces = cut(G.clip_lines_outside(streams_k, lakes_k, size, key="wrid"), "pieces")
+    pieces = cut(G.clip_lines_outside(streams_k, lakes_k, key="wrid"), "pieces")
     # chain contiguous pieces of one stream into one line
     w = Window.partitionBy("fid", "part").orderBy("seq", "t0")
     start = (F.lag("seq").over(w).isNull() | (F.col("t0") > 0)
@@ -128,7 +129,7 @@ def gis_section(catchments: DataFrame, lakes: DataFrame, streams: DataFrame,
 
     # nodes: nearest lake within the snap distance, else an id above all lakes
     pts = node_ids.select(F.struct("wrid", F.col("node_id").alias("id")).alias("pid"), "x", "y")
-    near = cut(G.nearest_polygon(pts, lakes_k, dmax=snap, size=size, key="wrid"), "near")
+    near = cut(G.nearest_polygon(pts, lakes_k, dmax=snap, key="wrid"), "near")
     nodes = near.select(F.col("pid.wrid").alias("wrid"), F.col("pid.id").alias("node_id"),
                         F.col("lakeid.id").alias("lakeid"))
     nodes = assign_node_lake(nodes, lakes_full_k.select(

@@ -87,3 +87,11 @@ def test_nearest_looks_once_at_equal_polygons(spark, monkeypatch):
     points = spark.createDataFrame([(1, 50.0, 50.0), (2, 100.0, 101.0)], "pid long, x double, y double")
     got = {r.pid: r.lakeid for r in G.nearest_polygon(points, _squares(spark, 60, 0.0)).collect()}
     assert got == {1: 0, 2: 0} and rows["borders"] == 4
+
+
+def test_full_run_and_borders_choose_cells_by_the_lakes():
+    """Cells of the size of a region would pair all lakes of it with all lines."""
+    import inspect
+
+    for operator in (G.clip_lines_outside, G.nearest_polygon, G.shared_borders):
+        assert inspect.signature(operator).parameters["size"].default is None
