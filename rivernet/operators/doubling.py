@@ -16,15 +16,18 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from .iterate import scratch_path
+from .iterate import merged, scratch_path
+
+#: Steps that every task may know; more are joined by merging.
+FEW = 10_000
 
 
 def stored(df: DataFrame, tag: str, counted: str = "true") -> tuple[DataFrame, int]:
-    """``df`` written to the checkpoint folder and read back, and how many of
-    its rows are ``counted``, found while they are written."""
+    """``df`` written to the checkpoint folder and read back (:func:`merged`),
+    and how many of its rows are ``counted``, found while they are written."""
     path, seen = scratch_path(df.sparkSession, tag), Observation()
     df.observe(seen, F.count_if(F.expr(counted)).alias("n")).write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path), seen.get["n"]
+    return merged(df.sparkSession.read.schema(df.schema).parquet(path)), seen.get["n"]
 
 
 def steps_squared(step: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -46,7 +49,7 @@ def chains(step: DataFrame, seeds: DataFrame, keys: Sequence[str], n: int,
     where steps of that length are left there is a cycle, and one vertex of
     each cycle is returned as the second result."""
     keys = list(keys)
-    jump = step.select(*keys, "v", "w", F.lit(1).alias("hop"), F.col("w").alias("least"))
+    jump = merged(step.select(*keys, "v", "w", F.lit(1).alias("hop"), F.col("w").alias("least")))
     found = seeds.select(*keys, F.col("v").alias("p"), F.col("v").alias("q"), F.lit(0).alias("hop"))
     length, more = 1, True
     while more:
@@ -62,6 +65,8 @@ def chains(step: DataFrame, seeds: DataFrame, keys: Sequence[str], n: int,
                                              "hop", "least")
             .unionByName(longer.withColumns({"kind": F.lit(1), "least": F.lit(None)})), "steps", "kind = 0")
         jump = both.where("kind = 0").select(*keys, F.col("p").alias("v"), F.col("q").alias("w"), "hop", "least")
+        if left <= FEW:
+            jump = F.broadcast(jump)
         found = found.unionByName(both.where("kind = 1").select(*keys, "p", "q", "hop"))
         length, more = length * 2, left > 0
         if more and length > n:
@@ -106,7 +111,7 @@ def _followed(arcs: DataFrame, keys: list[str], n: int, seeds: Callable[[DataFra
 
 
 def _heads(arcs: DataFrame, core: DataFrame, keys: list[str]) -> DataFrame:
-    return arcs.join(core.withColumnRenamed("v", "a"), [*keys, "a"], "left_semi")
+    return arcs.join(merged(core.withColumnRenamed("v", "a")), [*keys, "a"], "left_semi")
 
 
 def _flow(arcs: DataFrame, keys: list[str], starts: DataFrame | None, ends: DataFrame | None, n: int) -> DataFrame:
@@ -119,14 +124,14 @@ def _flow(arcs: DataFrame, keys: list[str], starts: DataFrame | None, ends: Data
     _, core, found = _followed(arcs, keys, n, seeds, starts is not None)
     if core.isEmpty():
         return found
-    to_core = found.join(core.withColumnRenamed("v", "q"), [*keys, "q"], "left_semi")
+    to_core = merged(found.join(merged(core.withColumnRenamed("v", "q")), [*keys, "q"], "left_semi"))
     heads = _heads(arcs, core, keys).select(*keys, F.col("a").alias("d"), F.col("b").alias("p"))
     walks = _core_walks(heads.join(to_core, [*keys, "p"])
                         .select(*keys, F.col("d").alias("c"), F.col("q").alias("d"), (F.col("hop") + 1).alias("hop")), keys)
     # core vertices without a way to another one
     walks = walks.unionByName(core.select(*keys, F.col("v").alias("c"), F.col("v").alias("d"), F.lit(0).alias("hop")))
-    last = heads.join(found.withColumnRenamed("hop", "far"), [*keys, "p"]).select(*keys, "d", "q", (F.col("far") + 1).alias("far"))
-    beyond = walks.join(last, [*keys, "d"]).groupBy(*keys, "c", "q").agg(F.min(F.col("hop") + F.col("far")).alias("far"))
+    last = heads.join(merged(found.withColumnRenamed("hop", "far")), [*keys, "p"]).select(*keys, "d", "q", (F.col("far") + 1).alias("far"))
+    beyond = walks.join(merged(last), [*keys, "d"]).groupBy(*keys, "c", "q").agg(F.min(F.col("hop") + F.col("far")).alias("far"))
     beyond, _ = stored(beyond, "beyond")
     onward = (to_core.select(*keys, "p", F.col("q").alias("c"), "hop").join(beyond, [*keys, "c"])
               .select(*keys, "p", "q", (F.col("hop") + F.col("far")).alias("hop")))
@@ -180,10 +185,10 @@ def diameter(arcs: DataFrame, keys: Sequence[str] = ("wrid",), a: str = "a", b:
     hard = core
     if some:
         found = reach(one, core.select(*keys, F.col("v").alias("src")), keys)
-        ring = down.select(*keys, F.col("q").alias("src"), F.col("p").alias("v")).join(found, [*keys, "src", "v"], "left_semi")
+        ring = down.select(*keys, F.col("q").alias("src"), F.col("p").alias("v")).join(merged(found), [*keys, "src", "v"], "left_semi")
         hard, _ = stored(core.union(ring.select(*keys, "v")).distinct(), "hard")
-        far = reach(one, hard.select(*keys, F.col("v").alias("src")), keys).groupBy(*keys, F.col("src").alias("q")) \
-            .agg(F.max("hop").alias("far"))
+        far = merged(reach(one, hard.select(*keys, F.col("v").alias("src")), keys).groupBy(*keys, F.col("src").alias("q"))
+                     .agg(F.max("hop").alias("far")))
     outlets = one.select(*keys, F.col("b").alias("v")).join(one.select(*keys, F.col("a").alias("v")), [*keys, "v"], "left_anti")
     tails, _ = chains(step.join(hard, [*keys, "v"], "left_anti"), hard.union(outlets).distinct(), keys, n + 1, False)
     if some:

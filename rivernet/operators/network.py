@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import (STATS, classify_vertex, direction_weight, exact_avg, exact_sum,
                                fill_edge_stats, is_lake)
-from .iterate import connected_components, cut
+from .iterate import connected_components, cut, merged
 
 STAT_COLUMNS = [f"{p}_{s}" for p in ("altitude", "slope") for s in STATS]
 ARC_COLUMNS = ["wrid", "src", "dst", "line_cat", "direction", "dir_weight",
@@ -106,7 +106,7 @@ def edge_table(lines: DataFrame, samples: DataFrame, keys=("wrid",),
     stats = edge_profiles(samples, [("altitude", "altitude"), ("slope", "slope")],
                           keys=(*k, "line_cat"), fixed_scale=fixed_scale)
     e = (lines.select(*k, "line_cat", "length_m")
-         .join(stats, [*k, "line_cat"], "left")
+         .join(merged(stats), [*k, "line_cat"], "left")
          .withColumnRenamed("line_cat", "cat"))
     return fill_edge_stats(e, STAT_COLUMNS)
 
@@ -119,7 +119,7 @@ def collapse_lakes(lines: DataFrame, nodes: DataFrame) -> tuple[DataFrame, DataF
     lakeid, area_ha)``.  Returns ``(vertices(wrid, vid, lakeid, area_ha),
     arcs(wrid, src, dst, line_cat))``.
     """
-    lid = nodes.select("wrid", "node_id", "lakeid")
+    lid = merged(nodes.select("wrid", "node_id", "lakeid"))
     fr = lid.withColumnsRenamed({"node_id": "from_node", "lakeid": "src"})
     to = lid.withColumnsRenamed({"node_id": "to_node", "lakeid": "dst"})
     arcs = (lines.select("wrid", "line_cat", "from_node", "to_node")
@@ -136,7 +136,7 @@ def collapse_lakes(lines: DataFrame, nodes: DataFrame) -> tuple[DataFrame, DataF
 def attach_edge_attrs(arcs: DataFrame, edges: DataFrame) -> DataFrame:
     """Statistics onto arcs by ``(wrid, line_cat = cat)``; X8 tag."""
     e = edges.select("wrid", F.col("cat").alias("line_cat"), "length_m", *STAT_COLUMNS)
-    out = arcs.join(e, ["wrid", "line_cat"], "left")
+    out = arcs.join(merged(e), ["wrid", "line_cat"], "left")
     out = out.withColumn("length_m", F.coalesce("length_m", F.lit(0.0)))
     return fill_edge_stats(out, STAT_COLUMNS).withColumn("direction", F.lit("downstream"))
 
@@ -158,7 +158,7 @@ def append_adjacency_arcs(vertices: DataFrame, arcs: DataFrame,
                                       F.col("left_lake").alias("dst")))
             .where(F.col("src") != F.col("dst"))
             .distinct())
-    new = both.join(arcs.select("wrid", "src", "dst"), ["wrid", "src", "dst"], "left_anti")
+    new = both.join(merged(arcs.select("wrid", "src", "dst")), ["wrid", "src", "dst"], "left_anti")
     new = new.withColumns({
         "line_cat": F.lit(-1).cast("long"),
         "length_m": F.lit(0.0),
@@ -168,7 +168,7 @@ def append_adjacency_arcs(vertices: DataFrame, arcs: DataFrame,
     arcs = arcs.unionByName(new.select(*arcs.columns))
     ids = (pairs.select("wrid", F.col("left_lake").alias("vid"))
            .unionByName(pairs.select("wrid", F.col("right_lake").alias("vid"))).distinct())
-    missing = (ids.join(vertices.select("wrid", "vid"), ["wrid", "vid"], "left_anti")
+    missing = (ids.join(merged(vertices.select("wrid", "vid")), ["wrid", "vid"], "left_anti")
                .withColumns({"lakeid": F.lit(None).cast("long"),
                              "area_ha": F.lit(None).cast("double")}))
     vertices = vertices.unionByName(missing.select(*vertices.columns))
@@ -179,7 +179,7 @@ def degrees(vertices: DataFrame, arcs: DataFrame) -> DataFrame:
     """A7 + X11: in/out degree (parallel arcs count) and vertex type."""
     outd = arcs.groupBy("wrid", F.col("src").alias("vid")).agg(F.count("*").alias("outdegree"))
     ind = arcs.groupBy("wrid", F.col("dst").alias("vid")).agg(F.count("*").alias("indegree"))
-    v = (vertices.join(ind, ["wrid", "vid"], "left").join(outd, ["wrid", "vid"], "left")
+    v = (vertices.join(merged(ind), ["wrid", "vid"], "left").join(merged(outd), ["wrid", "vid"], "left")
          .withColumns({"indegree": F.coalesce("indegree", F.lit(0)).cast("int"),
                        "outdegree": F.coalesce("outdegree", F.lit(0)).cast("int")}))
     return v.withColumn("typ", classify_vertex("indegree", "outdegree"))
@@ -191,14 +191,14 @@ def cluster_stats(vertices: DataFrame) -> DataFrame:
     per = vertices.groupBy("wrid", "cluster").agg(
         F.coalesce(exact_sum(F.when(lake, F.col("area_ha"))), F.lit(0.0)).alias("cluster_lake_area_ha"),
         F.count_distinct(F.when(lake, F.col("lakeid"))).cast("int").alias("cluster_lake_n"))
-    return vertices.join(per, ["wrid", "cluster"])
+    return vertices.join(merged(per), ["wrid", "cluster"])
 
 
 def drop_small_clusters(vertices: DataFrame, arcs: DataFrame,
                         min_lakes: int = 2) -> tuple[DataFrame, DataFrame]:
     """Clusters with fewer than ``min_lakes`` lakes go, with their arcs."""
     v = vertices.where(F.col("cluster_lake_n") >= min_lakes)
-    a = arcs.join(v.select("wrid", F.col("vid").alias("src")), ["wrid", "src"], "left_semi")
+    a = arcs.join(merged(v.select("wrid", F.col("vid").alias("src"))), ["wrid", "src"], "left_semi")
     return v, a
 
 
@@ -233,14 +233,13 @@ def compile_network(lines: DataFrame, nodes: DataFrame, edges: DataFrame,
         vertices, arcs = append_adjacency_arcs(vertices, arcs, adjacency)
     if fill_area:
         vertices = vertices.withColumn("area_ha", F.coalesce("area_ha", F.lit(0.0)))
+    # written once, read by each step below
+    vertices, arcs = merged(cut(vertices, "all-vertices")), merged(cut(arcs, "all-arcs"))
     comp = connected_components(vertices, arcs, keys=("wrid",), vertex="vid")
     v = vertices.join(comp.withColumnRenamed("component", "cluster"), ["wrid", "vid"])
-    v = degrees(v, arcs)
-    v = cluster_stats(v)
+    v = merged(cut(cluster_stats(degrees(v, arcs)).select(*VERTEX_COLUMNS), "vertices"))
     v, arcs = drop_small_clusters(v, arcs, min_lakes)
-    arcs = add_reverse_arcs(arcs, weigh_reversed)
-    v = cut(v.select(*VERTEX_COLUMNS))
-    arcs = cut(arcs.select(*ARC_COLUMNS))
+    arcs = merged(cut(add_reverse_arcs(arcs, weigh_reversed).select(*ARC_COLUMNS), "arcs"))
     return Network(v, arcs)
 
 

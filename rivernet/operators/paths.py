@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import MISSING, is_lake, slope_to_cdeg, weighted_avg
 from .forest import split_network, tree_combinations
-from .iterate import Layers
+from .iterate import Layers, merged
 from .network import Network
 
 DIRECTION_FIELDS = ["length", "altitude_min", "altitude_mean", "altitude_max", "slope_mean",
@@ -72,7 +72,7 @@ def shortest_paths(arcs: DataFrame, sources: DataFrame, weight: str | None = Non
     first = one.withColumnsRenamed({"b": "_m"})
     second = one.select("wrid", F.col("v").alias("_m"), F.col("b").alias("b2"),
                         F.col("steps").alias("s2"), F.col("alen").alias("l2"), F.col("wt").alias("w2"))
-    two = (first.join(second, ["wrid", "_m"])
+    two = (first.join(merged(second), ["wrid", "_m"])
            .groupBy("wrid", "v", F.col("b2").alias("b"))
            .agg(F.min(F.struct((F.col("wt") + F.col("w2")).alias("wt"),
                                (F.col("alen") + F.col("l2")).alias("alen"),
@@ -80,6 +80,7 @@ def shortest_paths(arcs: DataFrame, sources: DataFrame, weight: str | None = Non
            .select("wrid", "v", "b", F.lit(2).alias("h"), "m.wt", "m.alen", "m.steps"))
     w = (one.select("wrid", "v", "b", F.lit(1).alias("h"), "wt", "alen", "steps")
          .unionByName(two).repartition("wrid", "v").persist())
+    near = merged(w)
     order = (["hops", "cost", "len_mm", "arc_ids"] if weight is None
              else ["cost", "hops", "len_mm", "arc_ids"])
     layers = Layers(spark, "paths", ["wrid", "src", "v"])
@@ -91,7 +92,7 @@ def shortest_paths(arcs: DataFrame, sources: DataFrame, weight: str | None = Non
     level = 0
     while True:
         level += 1
-        cand = frontier.join(w, ["wrid", "v"]).select(
+        cand = frontier.join(near, ["wrid", "v"]).select(
             "wrid", "src", F.col("b").alias("v"),
             (F.col("hops") + F.col("h")).alias("hops"),
             (F.col("cost") + F.col("wt")).alias("cost"),
@@ -102,7 +103,7 @@ def shortest_paths(arcs: DataFrame, sources: DataFrame, weight: str | None = Non
         best = cand.groupBy("wrid", "src", "v").agg(F.min(F.struct(*order)).alias("p"))
         if weight is not None:
             old = (layers.all().groupBy("wrid", "src", "v").agg(F.min(F.struct(*order)).alias("old")))
-            best = (best.join(old, ["wrid", "src", "v"], "left")
+            best = (best.join(merged(old), ["wrid", "src", "v"], "left")
                     .where(F.col("old").isNull() | (F.col("p") < F.col("old"))))
         best = best.select("wrid", "src", "v", "p.hops", "p.cost", "p.len_mm", "p.arc_ids")
         frontier = layers.append(best, level)
@@ -130,7 +131,7 @@ def prune_to_paths(network: Network, ends: DataFrame, arcs: DataFrame) -> DataFr
     roots = ends.groupBy("wrid", "cluster").agg(F.min("vid").alias("src"))
     p = shortest_paths(arcs, roots.select("wrid", "src"))
     p = p.join(ends.select("wrid", F.col("vid").alias("v")), ["wrid", "v"], "left_semi")
-    keep = (p.select("wrid", F.explode(F.array_append(
+    keep = merged(p.select("wrid", F.explode(F.array_append(
                 F.transform("arc_ids", lambda x: x["dst"]), F.col("src"))).alias("vid"))
             .distinct())
     a = arcs.join(keep.withColumnRenamed("vid", "a"), ["wrid", "a"], "left_semi")
@@ -144,7 +145,7 @@ def path_arcs(paths: DataFrame, arcs: DataFrame) -> DataFrame:
     e = e.select("wrid", "from_lake", "to_lake", "seq", F.col("arc.src").alias("a"),
                  F.col("arc.dst").alias("b"), F.col("arc.lab").alias("lab"),
                  F.col("arc.cat").alias("cat"))
-    return e.join(arcs, ["wrid", "a", "b", "lab", "cat"])
+    return e.join(merged(arcs), ["wrid", "a", "b", "lab", "cat"])
 
 
 def _direction_stats(lab: int, prefix: str) -> list:
@@ -217,8 +218,8 @@ def searched_combinations(network: Network, focal: DataFrame | None = None,
                   .alias("confluences_along")))
     pairs = paths.select("wrid", F.col("src").alias("from_lake"), F.col("v").alias("to_lake"),
                          "cluster")
-    out = pairs.join(along, ["wrid", "from_lake", "to_lake"]).join(
-        stats, ["wrid", "from_lake", "to_lake"])
+    out = pairs.join(merged(along), ["wrid", "from_lake", "to_lake"]).join(
+        merged(stats), ["wrid", "from_lake", "to_lake"])
     return out.select(*COMBINATION_COLUMNS)
 
 
