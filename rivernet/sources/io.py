@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.exprs import MISSING
-from ..operators.iterate import cut
+from ..operators.iterate import cut, merged
 from ..session import work_partitions
 
 # ---------------------------------------------------------------------------
@@ -146,8 +146,8 @@ def save_network(network, path: str, wrids=None) -> None:
 def load_network(spark: SparkSession, path: str, wrids=None):
     """Reload a saved graph (partition-pruned to ``wrids``)."""
     from ..operators.network import Network
-    return Network(read_partitioned(spark, f"{path}/vertices", wrids),
-                   read_partitioned(spark, f"{path}/arcs", wrids))
+    return Network(merged(read_partitioned(spark, f"{path}/vertices", wrids)),
+                   merged(read_partitioned(spark, f"{path}/arcs", wrids)))
 
 
 def export_layers(edges: DataFrame, nodes: DataFrame, path: str, id_name: str = "cat", wrids=None) -> None:
