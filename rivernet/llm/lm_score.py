@@ -33,6 +33,8 @@ from rivernet.llm.common import chunks, cut, fold, ship
 #: Stands for the end of a text; no word holds a line end.
 END = b"\n"
 _FLUSH = 400_000
+#: Classes up to which a table of class pairs is made for each place (4 MB at 1024 classes).
+_TABLE = 2048
 
 
 def tokens(text: str) -> list[bytes]:
@@ -170,7 +172,7 @@ class LogBilinear:
         self._step("given", context.ravel(), g_given.reshape(-1, g_given.shape[-1]), rate)
         self._step("place", None, g_place, rate)
 
-    def log10_probabilities(self, context: np.ndarray, target: np.ndarray, block: int = 256) -> np.ndarray:
+    def log10_probabilities(self, context: np.ndarray, target: np.ndarray, block: int = 64) -> np.ndarray:
         """log10 p(target | context), each distinct context normalised once."""
         base = len(self.noise)
         key = np.zeros(len(target), dtype=np.int64)
@@ -179,19 +181,58 @@ class LogBilinear:
         order = np.argsort(key, kind="stable")
         new = np.append(True, key[order][1:] != key[order][:-1])
         group = np.cumsum(new) - 1
+        starts = np.append(np.flatnonzero(new), len(target))
         contexts = context[order[new]]
-        ahead = np.ascontiguousarray(self.p["next"].T)
-        out = np.empty(len(target))
+        log_total = self._log_totals(contexts, block)
+        own, wanted = np.empty(len(target)), target[order]
         for a in range(0, len(contexts), block):
+            lo, hi = starts[a], starts[min(a + block, len(contexts))]
             q = (self.p["given"][contexts[a:a + block]] * self.p["place"]).sum(1)
-            logits = q @ ahead
+            own[lo:hi] = np.einsum("bs,bs->b", q[group[lo:hi] - a], self.p["next"][wanted[lo:hi]])
+        own += self.p["bias"][wanted]
+        out = np.empty(len(target))
+        out[order] = (own - log_total[group]) / np.log(10)
+        return out
+
+    def _log_totals(self, contexts: np.ndarray, block: int) -> np.ndarray:
+        """log of the sum over all classes of exp(logit) of each context.
+
+        A logit is a sum over the places, so its exp is a product: of rows of
+        one table for each place, up to ``_TABLE`` classes.  Contexts whose
+        product leaves the range of floats, and all where there are more
+        classes, are summed from their logits."""
+        out, rest = np.empty(len(contexts)), np.arange(len(contexts))
+        ahead = np.ascontiguousarray(self.p["next"].T)
+        if len(self.noise) <= _TABLE:
+            tables, tops = [], np.zeros(len(contexts), np.float32)
+            for k, weights in enumerate(self.p["place"]):
+                logits = (self.p["given"] * weights) @ ahead
+                if not k:
+                    logits += self.p["bias"]
+                top = logits.max(1)
+                logits -= top[:, None]
+                tops += top[contexts[:, k]]
+                tables.append(np.exp(logits, out=logits))
+            ones, held = np.ones(len(self.noise), np.float32), np.empty((2, block, len(self.noise)), np.float32)
+            total = np.empty(len(contexts), np.float32)
+            for a in range(0, len(contexts), block):
+                at = contexts[a:a + block]
+                product, more = held[:, :len(at)]
+                np.take(tables[0], at[:, 0], axis=0, out=product, mode="clip")
+                for k in range(1, len(tables)):
+                    np.take(tables[k], at[:, k], axis=0, out=more, mode="clip")
+                    product *= more
+                np.matmul(product, ones, out=total[a:a + block])
+            near = total > 1e-30
+            out[near] = tops[near] + np.log(total[near].astype(np.float64))
+            rest = np.flatnonzero(~near)
+        for a in range(0, len(rest), block):
+            at = rest[a:a + block]
+            logits = (self.p["given"][contexts[at]] * self.p["place"]).sum(1) @ ahead
             logits += self.p["bias"]
-            logits -= logits.max(1)[:, None]
-            lo, hi = np.searchsorted(group, [a, a + block])
-            rows, at = order[lo:hi], group[lo:hi] - a
-            own = logits[at, target[rows]].astype(np.float64)
-            np.exp(logits, out=logits)
-            out[rows] = (own - np.log(logits.sum(1).astype(np.float64))[at]) / np.log(10)
+            top = logits.max(1)
+            logits -= top[:, None]
+            out[at] = top + np.log(np.exp(logits, out=logits).sum(1).astype(np.float64))
         return out
 
 
