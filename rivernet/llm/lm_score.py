@@ -153,11 +153,10 @@ class LogBilinear:
         q = np.einsum("bks,ks->bs", given, p["place"])
         ahead, beside = p["next"][target], p["next"][drawn]
         right = np.einsum("bs,bs->b", q, ahead) + (p["bias"][target] - self.log_noise[target] - log_k)
-        wrong = q @ beside.T
-        wrong += p["bias"][drawn] - self.log_noise[drawn] - log_k
+        wrong = q @ -beside.T                                         # its sign turned
+        wrong -= p["bias"][drawn] - self.log_noise[drawn] - log_k
         g_right = -1 / (1 + np.exp(np.clip(right, -30, 30)))
         g_wrong = np.clip(wrong, -30, 30, out=wrong)                  # in place: 1 / (1 + exp(-wrong))
-        np.negative(g_wrong, out=g_wrong)
         np.exp(g_wrong, out=g_wrong)
         g_wrong += 1
         np.reciprocal(g_wrong, out=g_wrong)
@@ -185,9 +184,9 @@ class LogBilinear:
         contexts = context[order[new]]
         log_total = self._log_totals(contexts, block)
         own, wanted = np.empty(len(target)), target[order]
-        for a in range(0, len(contexts), block):
-            lo, hi = starts[a], starts[min(a + block, len(contexts))]
-            q = (self.p["given"][contexts[a:a + block]] * self.p["place"]).sum(1)
+        for a in range(0, len(contexts), 32 * block):  # short rows: more of them at once
+            lo, hi = starts[a], starts[min(a + 32 * block, len(contexts))]
+            q = np.einsum("bks,ks->bs", self.p["given"][contexts[a:a + 32 * block]], self.p["place"])
             own[lo:hi] = np.einsum("bs,bs->b", q[group[lo:hi] - a], self.p["next"][wanted[lo:hi]])
         own += self.p["bias"][wanted]
         out = np.empty(len(target))
