@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import MISSING, is_lake, slope_to_cdeg
 from .doubling import stored
+from .iterate import merged
 from .network import Network
 
 #: Columns that add up along a way; all but the first two are weighted with the length.
@@ -62,8 +63,8 @@ def split_network(network: Network) -> tuple[Network, Network]:
     trees, _ = stored(tree_clusters(network), "trees")
     parts = []
     for how in ("left_semi", "left_anti"):
-        v = network.vertices.join(trees, [_ID, "cluster"], how)
-        parts.append(Network(v, network.arcs.join(v.select(_ID, F.col("vid").alias("src")), [_ID, "src"], "left_semi")))
+        v = merged(network.vertices.join(trees, [_ID, "cluster"], how))
+        parts.append(Network(v, merged(network.arcs.join(v.select(_ID, F.col("vid").alias("src")), [_ID, "src"], "left_semi"))))
     return parts[0], parts[1]
 
 

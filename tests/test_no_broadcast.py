@@ -1,8 +1,9 @@
 """Tables that grow with the input are merged, never sent through the driver."""
 
 from rivernet.operators.doubling import diameter, reach, stored
+from rivernet.operators.forest import split_network
 from rivernet.operators.iterate import connected_components
-from rivernet.operators.network import collapse_lakes, cluster_stats, degrees
+from rivernet.operators.network import Network, cluster_stats, collapse_lakes, degrees
 
 
 def _plan(df):
@@ -28,3 +29,11 @@ def test_graph_joins_are_merged(spark):
         if name not in ("diameter",):
             assert "SortMergeJoin" in plan, name
     assert sorted(tuple(r) for r in plans["diameter"].collect()) == [(0, 67), (1, 67), (2, 66)]
+
+
+def test_split_network_is_merged(spark):
+    arcs = spark.range(2).selectExpr("CAST(id DIV 9 AS INT) AS wrid", "id + 1 AS src", "2 - id AS dst", "IF(id = 0, 'downstream', 'upstream') AS direction")
+    vertices = spark.range(2).selectExpr("CAST(id DIV 9 AS INT) AS wrid", "id + 1 AS vid", "id DIV 9 + 1 AS cluster")
+    for part in split_network(Network(vertices, arcs)):
+        both = part.arcs.join(part.vertices.selectExpr("wrid", "vid AS src", "cluster"), ["wrid", "src"])
+        assert "Broadcast" not in _plan(both)
