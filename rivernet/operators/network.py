@@ -58,7 +58,9 @@ def _quantiles(sorted_values, n, prefix: str, quantiles: str) -> list:
 def edge_profiles(samples: DataFrame, columns, keys=("wrid", "cat"), quantiles: str = "disc",
                   deviation: str = "pop", fixed_scale: int | None = None) -> DataFrame:
     """A4/A5: nine statistics per edge for each ``(value column, prefix)``,
-    all from one aggregation (one shuffle of the samples).
+    all from one aggregation (one shuffle of the samples).  The samples move as
+    they are: the lists of an edge whose samples lie all over the input would
+    be made, sorted and shuffled once for nearly each of its samples.
 
     Quartiles and the 90th percentile are nearest-rank by default,
     ``quantiles="cont"`` interpolates; the median is the usual interpolated
@@ -85,7 +87,8 @@ def edge_profiles(samples: DataFrame, columns, keys=("wrid", "cat"), quantiles:
         outs += [f"{prefix}_minimum", f"{prefix}_maximum", f"{prefix}_average",
                  f"{prefix}_stddev", f"{prefix}_variance",
                  *_quantiles(F.col(f"_{prefix}_sorted"), F.col(f"_{prefix}_n"), prefix, quantiles)]
-    return samples.groupBy(*keys).agg(*aggs).select(*keys, *outs)
+    return (samples.select(*keys, *dict.fromkeys(value for value, _ in columns)).repartition(*keys)
+            .groupBy(*keys).agg(*aggs).select(*keys, *outs))
 
 
 def edge_profile(samples: DataFrame, value: str, prefix: str, keys=("wrid", "cat"),
