@@ -29,7 +29,7 @@ from typing import Any
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from rivernet.llm.common import chunks, ship, texts
+from rivernet.llm.common import chunks, kept, lean, ship, texts
 from rivernet.llm.presplit import BYTE_RE, is_plain, split_plain
 
 #: Words whose encoding a worker keeps; beyond it the store is emptied.
@@ -222,9 +222,10 @@ class ByteBpe:
             at = to
 
 
+@kept
 @lru_cache(maxsize=2)
 def load(path: str) -> ByteBpe:
-    """One automaton for each worker process and file."""
+    """One automaton for each worker process and file, until tasks of another kind run there."""
     return ByteBpe(path)
 
 
@@ -271,4 +272,4 @@ def bpe_round_trip(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", tex
                 names += ["ids", "decoded"]
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(lean(run, load), schema)

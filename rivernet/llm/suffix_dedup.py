@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rivernet.llm.common import cut, ship, shuffle_width
+from rivernet.llm.common import cut, lean, ship, shuffle_width
 from rivernet.llm.induced_sort import repeated_starts
 
 #: Bytes of the strings whose hashes lead windows.
@@ -152,10 +152,10 @@ def counted_repeats(source: DataFrame, asked: DataFrame, length: int) -> DataFra
 
     # written first, so that the join below can split a window that very many blocks have
     windows = cut(source.select("row", "text").join(by_row, F.col("row") == F.col("wanted"), "inner")
-                  .select("text", "wants").mapInArrow(fetch, "window bigint, block bigint, at bigint"), "crowd-windows")
+                  .select("text", "wants").mapInArrow(lean(fetch), "window bigint, block bigint, at bigint"), "crowd-windows")
     twice = (windows.groupBy(F.col("window").alias("met")).agg(F.count("*").alias("c")).where("c > 1").select("met"))
     found = (windows.join(twice, F.col("window") == F.col("met"), "inner").groupBy("block")
-             .agg(F.array_sort(F.collect_set("at")).alias("places")).mapInArrow(runs, _REPEATS))
+             .agg(F.array_sort(F.collect_set("at")).alias("places")).mapInArrow(lean(runs), _REPEATS))
     whole = asked.where("times > 1").select("block", F.array(F.lit(0).cast("long")).alias("first"),
                                             F.array(F.col("windows").cast("long")).alias("n"))
     return found.unionByName(whole)
@@ -241,9 +241,9 @@ def shared_blocks(source: DataFrame, length: int, seed: int) -> DataFrame:
         keep = np.append(False, same) | np.append(same, False) | (rows["again"] > 0)
         yield _occurrences(rows[keep])
 
-    return cut(source.select("row", "text").mapInArrow(emit, "shard int, blocks binary, asking boolean")
+    return cut(source.select("row", "text").mapInArrow(lean(emit), "shard int, blocks binary, asking boolean")
                .repartition(width, "shard").mapInArrow(
-                   meet, "lead bigint, block bigint, row bigint, start bigint, windows int"), "blocks")
+                   lean(meet), "lead bigint, block bigint, row bigint, start bigint, windows int"), "blocks")
 
 
 def _occurrences(rows: np.ndarray) -> pa.RecordBatch:
@@ -305,9 +305,9 @@ def block_repeats(source: DataFrame, occurrences: DataFrame, length: int) -> Dat
              pa.array([n[k] for k in some], pa.list_(pa.int64()))], ["block", "first", "n"])
 
     sent = (source.select("row", "text").join(by_row, F.col("row") == F.col("wanted"), "inner")
-            .select("text", "wants").mapInArrow(fetch, "lead bigint, block bigint, times bigint, bytes binary"))
+            .select("text", "wants").mapInArrow(lean(fetch), "lead bigint, block bigint, times bigint, bytes binary"))
     width = max(shuffle_width(spark), int(size) // SHARD + 1)
-    found = sent.repartition(width, "lead").mapInArrow(sort, _REPEATS)
+    found = sent.repartition(width, "lead").mapInArrow(lean(sort), _REPEATS)
     return cut(found if crowd is None else found.unionByName(crowd), "block-repeats")
 
 
@@ -374,4 +374,4 @@ def remove_repeats(docs: DataFrame, length: int = 200, id_col: str = "doc_id", t
                 [batch.column("doc_id"), *(pa.array(c, k) for c, k, _ in zip(out, kinds, names, strict=False)),
                  *(batch.column(c) for c in more)], ["doc_id", *names, *more])
 
-    return met.mapInArrow(run, schema)
+    return met.mapInArrow(lean(run), schema)

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rivernet.llm.common import cut, fold, ship
+from rivernet.llm.common import cut, fold, lean, ship
 
 _WORD = re.compile(r"[^\W\d_]+")
 #: Words whose terms a worker keeps; beyond it the store is emptied.
@@ -194,7 +194,7 @@ def choose_terms(sample: DataFrame, size: int, least: int = 5, share: float = 0.
              pa.array([n[1][t] for t in terms], pa.int64())], ["term", "clean", "toxic"])
 
     seen = (sample.select("text", F.col("toxic").cast("int").alias("toxic"))
-            .mapInArrow(run, "term string, clean bigint, toxic bigint")
+            .mapInArrow(lean(run), "term string, clean bigint, toxic bigint")
             .groupBy("term").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")))
     total = seen.where("term = ''").first()
     if total is None or not total["clean"] or not total["toxic"]:
@@ -220,7 +220,7 @@ def term_frequency(docs: DataFrame, vocabulary: list[str]) -> tuple[np.ndarray,
                 n[-1] += 1
         yield pa.RecordBatch.from_arrays([pa.array(range(len(n)), pa.int64()), pa.array(n, pa.int64())], ["term", "n"])
 
-    rows = (docs.select("text").mapInArrow(run, "term bigint, n bigint")
+    rows = (docs.select("text").mapInArrow(lean(run), "term bigint, n bigint")
             .groupBy("term").agg(F.sum("n").alias("n")).toPandas())
     out = np.zeros(len(vocabulary) + 1, dtype=np.int64)
     out[rows["term"].to_numpy()] = rows["n"].to_numpy()
@@ -249,7 +249,7 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, per_class: int = 2500, te
 
     # at most 2 * per_class rows of at most ``terms`` terms
     rows = (sample.select("doc_id", F.col("toxic").cast("int").alias("toxic"), "order", "text")
-            .mapInArrow(run, f"doc_id {sample.schema['doc_id'].dataType.simpleString()}, toxic int, order bigint, "
+            .mapInArrow(lean(run), f"doc_id {sample.schema['doc_id'].dataType.simpleString()}, toxic int, order bigint, "
                              "at array<int>, n array<int>").orderBy("order", "doc_id").collect())
     counts = [Counter(dict(zip(r["at"], r["n"], strict=True))) for r in rows]
     labels_of = np.array([r["toxic"] for r in rows])
@@ -310,6 +310,6 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, learn_from: Column | None
 
     kind = source.schema["doc_id"].dataType.simpleString()
     more = "".join(f", {c} {source.schema[c].dataType.simpleString()}" for c in carried)
-    scored = source.mapInArrow(run, f"doc_id {kind}, score double, evidence array<{kind}>{more}")
+    scored = source.mapInArrow(lean(run), f"doc_id {kind}, score double, evidence array<{kind}>{more}")
     return scored.select("doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score",
                          (F.col("score") >= 0.5).cast("int").alias("predicted"), "evidence", *carried)
